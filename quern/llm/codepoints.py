@@ -372,23 +372,28 @@ def gram_hashes(words: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return h, rows
 
 
-def gram_sets(texts: Sequence[str | None], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text: its set of n-word runs as sorted hashes (flat, with offsets), its number of words, a 64-bit digest of its words."""
-    flats, counts, words_n, digests = [], [], [], []
+def gram_rows(texts: Sequence[str | None], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: the hashes of its n-word runs in order (flat, with offsets; a hash may repeat), its number of words, a 64-bit digest of its words."""
+    flats, counts, words_n, digests = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for a, b in slices(texts):
         codes, offsets = one_form(*explode(texts[a:b]))
         words, at = word_hashes(codes, offsets)
         grams, rows = gram_hashes(words, at, n)
-        order = np.lexsort((grams, rows))
-        grams, rows = grams[order], rows[order]
-        new = np.r_[True, (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])][: len(grams)]
-        grams, rows = grams[new], rows[new]
         flats.append(grams)
         counts.append(np.bincount(rows, minlength=b - a))
         words_n.append(np.diff(at))
         digests.append(row_digest(words, at))
-    cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return cat(flats, np.uint64), np.r_[0, np.cumsum(cat(counts, np.int64))].astype(np.int64), cat(words_n, np.int64), cat(digests, np.uint64)
+    return np.concatenate(flats), np.r_[0, np.cumsum(np.concatenate(counts))].astype(np.int64), np.concatenate(words_n), np.concatenate(digests)
+
+
+def gram_sets(texts: Sequence[str | None], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same with each text's hashes as a sorted set."""
+    flat, offsets, words_n, digests = gram_rows(texts, n)
+    rows = np.repeat(np.arange(len(words_n)), np.diff(offsets))
+    order = np.lexsort((flat, rows))
+    flat, rows = flat[order], rows[order]
+    new = np.r_[True, (flat[1:] != flat[:-1]) | (rows[1:] != rows[:-1])][: len(flat)]
+    return flat[new], np.r_[0, np.cumsum(np.bincount(rows[new], minlength=len(words_n)))].astype(np.int64), words_n, digests
 
 
 def row_digest(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

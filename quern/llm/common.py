@@ -35,9 +35,16 @@ def table_name(tb: Column) -> Column:
     return out
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """df kept for several readers; what a lost executor held is computed again from its lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def keep(df: DataFrame, now: bool = False) -> DataFrame:
+    """df kept for several readers; what a lost executor held is computed again from its lineage.
+
+    With ``now`` it is filled at once: readers that start together would else
+    each compute the parts that no other has finished yet.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if now:
+        df.count()
+    return df
 
 
 def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -63,23 +70,33 @@ def pair_overlaps(a: pa.Array, b: pa.Array, kind: np.dtype) -> tuple[np.ndarray,
     nx, ny = np.diff(xo), np.diff(yo)
     rows = np.r_[np.repeat(np.arange(len(nx)), nx), np.repeat(np.arange(len(ny)), ny)]
     values = np.r_[x, y]
-    order = np.lexsort((values, rows))
-    rows, values = rows[order], values[order]
+    side = np.r_[np.zeros(len(x), bool), np.ones(len(y), bool)]
+    order = np.lexsort((side, values, rows))
+    rows, values, side = rows[order], values[order], side[order]
+    new = np.r_[True, (rows[1:] != rows[:-1]) | (values[1:] != values[:-1]) | (side[1:] != side[:-1])][: len(rows)]  # a value that a set repeats counts once
+    rows, values, side = rows[new], values[new], side[new]
     same = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
-    return nx, ny, np.bincount(rows[1:][same], minlength=len(nx))
+    n = len(nx)
+    return np.bincount(rows[~side], minlength=n), np.bincount(rows[side], minlength=n), np.bincount(rows[1:][same], minlength=n)
+
+
+def small(df: DataFrame, limit: int = 250_000) -> DataFrame:
+    """df kept, and marked for broadcast if it has at most ``limit`` rows (of a few numbers each); else it is joined by shuffle."""
+    df = keep(df)
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def verified(pairs: DataFrame, sets: DataFrame, on: list[str], threshold: float, kind: str) -> DataFrame:
-    """Pairs (on..., a, b) whose sets have at least this similarity, with both sizes and what they share.
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Pairs (a, b) whose sets have at least this similarity, with both sizes and what they share.
 
-    ``sets`` has the columns on..., id and grams (each set once, sorted, as
-    binary).  Both joins read the same exchange of ``sets``.
+    ``sets`` has the columns id and grams (binary; values may repeat); an id
+    may come more than once with the same set.  Only the sets that some pair
+    needs are moved.
     """
-    left = pairs.join(sets.select(*on, F.col("id").alias("a"), F.col("grams").alias("grams_a")), [*on, "a"])
-    both = left.join(sets.select(*on, F.col("id").alias("b"), F.col("grams").alias("grams_b")), [*on, "b"])
-    fields = ", ".join(f"{c} {t}" for c, t in pairs.dtypes if c in on)
-    names = [*on, "a", "b"]
-    schema = f"{fields + ', ' if fields else ''}a long, b long, size_a int, size_b int, shared int"
+    pairs = keep(pairs)
+    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    held = keep(sets.select("id", "grams").join(small(need), "id", "left_semi").dropDuplicates(["id"]))
+    both = pairs.join(held.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a").join(held.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
     part = 1000
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,52 +104,48 @@ def verified(pairs: DataFrame, sets: DataFrame, on: list[str], threshold: float,
             for k in range(0, whole.num_rows, part):
                 batch = whole.slice(k, part)
                 nx, ny, shared = pair_overlaps(batch.column("grams_a"), batch.column("grams_b"), np.dtype(kind))
-                good = shared >= threshold * (nx + ny - shared) - 1e-9
-                good &= shared > 0
+                good = (shared >= threshold * (nx + ny - shared) - 1e-9) & (shared > 0)
                 mask = pa.array(good)
-                columns = [batch.column(n).filter(mask) for n in names]
+                columns = [batch.column(n).filter(mask) for n in ("a", "b")]
                 columns += [pa.array(v[good].astype(np.int32)) for v in (nx, ny, shared)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "size_a", "size_b", "shared"])
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "size_a", "size_b", "shared"])
 
-    return both.select(*names, "grams_a", "grams_b").mapInArrow(check, schema)
+    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(check, "a long, b long, size_a int, size_b int, shared int")
 
 
-def expanded(links: DataFrame, members: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of records (on..., id_a < id_b) from links between class representatives.
+def expanded(links: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of records (id_a < id_b) from links (a, b) between classes, with the other columns of members.
 
-    ``links`` has on..., a, b (a = b stands for the copies within one class);
-    ``members`` has on..., rep, id.  Skewed classes are split by adaptive
-    execution; the pairs are the result itself, so none can be left out.
+    ``members`` has rep, id and columns that are equal for all members of
+    linked classes; a = b stands for the copies within one class.  The pairs
+    are the result itself, so none can be left out; adaptive execution splits
+    skewed classes.
     """
-    left = links.select(*on, "a", "b").join(members.select(*on, F.col("rep").alias("a"), F.col("id").alias("x")), [*on, "a"])
-    both = left.join(members.select(*on, F.col("rep").alias("b"), F.col("id").alias("y")), [*on, "b"])
+    extra = [c for c in members.columns if c not in ("rep", "id")]
+    left = members.withColumnsRenamed({"rep": "a", "id": "x"}).join(small(links.select("a", "b")), "a")
+    both = left.join(members.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b")
     both = both.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
-    return both.select(*on, F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    return both.select(*extra, F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def components(links: DataFrame, on: list[str], rounds: int = 50) -> DataFrame:
-    """Connected components of links (on..., a, b): one row (on..., id, component) per linked id, component the smallest id.
+def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """Connected components of links (a, b): one row (id, component) per linked id, component the smallest id.
 
     Each round every id takes the least label among itself and its
     neighbours, then the label of its label (pointer jumping), so the rounds
     grow with the logarithm of the longest chain.  Every round is cut off in
-    the shared checkpoint folder; only a count reaches the driver.
+    the shared checkpoint folder; only a flag reaches the driver.
     """
-    both = links.select(*on, F.col("a").alias("id"), F.col("b").alias("other"))
-    both = both.unionByName(links.select(*on, F.col("b").alias("id"), F.col("a").alias("other"))).distinct()
-    edges = cut(both)
-    labels = edges.groupBy(*on, "id").agg(F.least(F.col("id"), F.min("other")).alias("component"))
-    labels = cut(labels)
+    edges = cut(links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other"))).distinct())
+    labels = cut(edges.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("component")))
     for _ in range(rounds):
-        seen = edges.join(labels.select(*on, F.col("id").alias("other"), F.col("component").alias("theirs")), [*on, "other"])
-        least = seen.groupBy(*on, "id").agg(F.min("theirs").alias("theirs"))
-        step = labels.join(least, [*on, "id"], "left").select(*on, "id", F.col("component").alias("was"), F.least("component", "theirs").alias("component"))
-        jump = labels.select(*on, F.col("id").alias("component"), F.col("component").alias("further"))
-        new = step.join(jump, [*on, "component"], "left").select(*on, "id", "was", F.least(F.col("component"), F.coalesce("further", "component")).alias("component"))
-        new = cut(new)
-        changed = new.where("component != was").limit(1).count()
-        labels = new.select(*on, "id", "component")
-        if not changed:
+        seen = edges.join(labels.select(F.col("id").alias("other"), F.col("component").alias("theirs")), "other")
+        least = seen.groupBy("id").agg(F.min("theirs").alias("theirs"))
+        step = labels.join(least, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "theirs").alias("component"))
+        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
+        new = cut(step.join(jump, "component", "left").select("id", "was", F.least(F.col("component"), F.coalesce("further", "component")).alias("component")))
+        labels = new.select("id", "component")
+        if new.where("component != was").isEmpty():
             return labels
     raise RuntimeError("the components did not settle")
 

@@ -105,7 +105,7 @@ def rare_prefixes(sets: DataFrame, counts: np.ndarray, threshold: float) -> Data
 
 def overlaps(rows: DataFrame, threshold: float = 0.6, n: int = 3, min_words: int = 20) -> tuple[DataFrame, DataFrame]:
     """Links (a: evaluation, b: training, size_a, size_b, shared) of class representatives of rows (held, id, text), and members (rep, id, held)."""
-    sets = keep(gram_rows(rows, n, min_words))
+    sets = keep(gram_rows(rows, n, min_words), now=True)
     classes = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"))
     members = sets.select("held", "d1", "d2", "id").join(classes, ["held", "d1", "d2"]).select("rep", "id", "held")
     reps = sets.join(classes.select("held", F.col("rep").alias("id")), ["held", "id"], "left_semi")
@@ -113,7 +113,7 @@ def overlaps(rows: DataFrame, threshold: float = 0.6, n: int = 3, min_words: int
     one = prefixes.where("held").select(F.col("id").alias("a"), F.col("size").alias("n"), "gram")
     two = prefixes.where("not held").select(F.col("id").alias("b"), F.col("size").alias("m"), "gram")
     pairs = one.join(two, "gram").where((F.col("n") >= threshold * F.col("m")) & (F.col("m") >= threshold * F.col("n"))).select("a", "b").distinct()
-    return verified(pairs, sets.select("id", "grams"), [], threshold, "<u8"), members
+    return verified(pairs, sets.select("id", "grams"), threshold, "<u8"), members
 
 
 def split_rows(conversation: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def split_rows(conversation: DataFrame) -> DataFrame:
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """(entry_a, entry_b) as TESTDATA.md states problem 2."""
     links, members = overlaps(split_rows(table(spark, folder, "conversation")))
-    return expanded(links, members.select("rep", "id"), []).select(F.col("id_a").alias("entry_a"), F.col("id_b").alias("entry_b"))
+    return expanded(links, members.select("rep", "id")).select(F.col("id_a").alias("entry_a"), F.col("id_b").alias("entry_b"))
 
 
 def p2_overlaps(spark: SparkSession, folder: str) -> DataFrame:

@@ -92,7 +92,7 @@ def plan(counts: DataFrame, targets: DataFrame, domains: dict[str, str] | None =
     targets' sources (targets times languages, not documents).
     """
     domains = DOMAINS if domains is None else domains
-    sums = keep(counts.groupBy("source", "language").agg(F.sum("n_tokens").alias("tokens")))
+    sums = keep(counts.groupBy("source", "language").agg(F.sum("n_tokens").alias("tokens")), now=True)
     total = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]
     want: dict[str, tuple[Fraction, int]] = {}
     named = targets.where("source is not null").groupBy(F.lower(F.trim("source")).alias("source")).agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("repeats"))

@@ -92,7 +92,7 @@ def lookalike_pairs(rows: DataFrame) -> DataFrame:
     Only classes that hold two kinds of stored text are joined; classes of
     plain copies end at the pre-aggregated minimum and maximum.
     """
-    d = keep(digests(rows))
+    d = keep(digests(rows), now=True)
     key = ["tb", "h1", "h2"]
     mixed = d.groupBy(*key).agg(F.min("plain").alias("lo"), F.max("plain").alias("hi")).where("lo != hi").select(*key)
     some = d.join(mixed, key)
