@@ -119,7 +119,8 @@ def chapter_marker(paragraph: Column) -> Column:
 
 
 # How speech is attributed, and words that are no names.
-ATTRIBUTIONS = (r"(?i)(\w+)\s+said", r"(?i)said\s+(\w+)", r"(?i)(\w+)\s+replied", r"(?i)(\w+)\s+asked", r"(?i)(\w+)\s+exclaimed")
+_NAME = r"([\p{L}\p{N}_]+)"
+ATTRIBUTIONS = (rf"(?i){_NAME}\s+said", rf"(?i)said\s+{_NAME}", rf"(?i){_NAME}\s+replied", rf"(?i){_NAME}\s+asked", rf"(?i){_NAME}\s+exclaimed")
 NOT_NAMES = ("he", "she", "i", "we", "they", "it", "the", "a", "an")
 
 
@@ -127,7 +128,7 @@ def speaker_names(paragraph: Column) -> Column:
     """The names to which a paragraph attributes speech, distinct and sorted."""
     found = F.flatten(F.array(*[F.regexp_extract_all(paragraph, F.lit(p), F.lit(1)) for p in ATTRIBUTIONS]))
     named = F.filter(found, lambda n: ~F.lower(n).isin(*NOT_NAMES))
-    return F.array_sort(F.array_distinct(F.transform(named, lambda n: F.initcap(n))))
+    return F.array_sort(F.array_distinct(F.transform(named, lambda n: F.concat(F.upper(F.left(n, F.lit(1))), F.lower(F.substring(n, 2, 1 << 20))))))
 
 
 def token_estimate(text: Column) -> Column:

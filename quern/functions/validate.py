@@ -196,7 +196,7 @@ def weather_error(messages: Column, locations: list[dict]) -> Column:
     t = _json(told, "$.temperature", "double")
     low, high = F.least(place["summer_lo"], place["winter_lo"]) - SLACK, F.greatest(place["summer_hi"], place["winter_hi"]) + SLACK
     condition, humidity = F.coalesce(_json(told, "$.condition", "string"), F.lit("unknown")), _json(told, "$.humidity", "double")
-    shown = F.format_number(t, "0.#")
+    shown = t.cast("string")
     current = first_error(
         F.when(~t.between(LEAST, MOST), F.concat(F.lit("Temperature "), shown, F.lit("°C out of reasonable range"))),
         F.when(~t.between(low, high), F.concat(F.lit("Temperature "), shown, F.lit("°C unrealistic for "), place["city"])),

@@ -65,15 +65,17 @@ def from_variants(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[field(f) for f in schema.fields], *rest)
 
 
-def inferred_schema(spark: SparkSession, rows: DataFrame) -> T.StructType:
-    """The schema of variant rows, by aggregation over all of them."""
-    text = rows.select(F.to_json("row").alias("value"))
-    return spark.read.json(text.rdd.map(lambda r: r.value)).schema if text.head(1) else T.StructType([])
+def inferred_schema(rows: DataFrame) -> T.StructType:
+    """The schema of variant rows, by aggregation over all of them; what is null everywhere is a string."""
+    told = rows.agg(F.schema_of_variant_agg("row").alias("s")).first()["s"]
+    if not told or not told.startswith("OBJECT<"):
+        return T.StructType([])
+    return T.StructType.fromDDL(told[len("OBJECT<") : -1].replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     rows = variant_rows(spark, path)
-    return from_variants(rows, schema or inferred_schema(spark, rows))
+    return from_variants(rows, schema or inferred_schema(rows))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
