@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import tool_id, words
+from quern.functions.text import let, tool_id, words
 
 # System prompts by persona and user prompts.
 SYSTEM = {
@@ -62,9 +62,11 @@ def single_turn(text: Column, persona: Column, key: Column) -> Column:
 
 def two_parts(text: Column, share: float = FIRST_SHARE) -> tuple[Column, Column]:
     """A text cut after a share of its words, white space collapsed."""
-    w = words(text)
-    cut = F.floor(F.size(w) * F.lit(share)).cast("int")
-    return F.array_join(F.slice(w, F.lit(1), cut), " "), F.array_join(F.slice(w, cut + 1, F.size(w) + 1), " ")
+    def part(w: Column, first: bool) -> Column:
+        cut = F.floor(F.size(w) * F.lit(share)).cast("int")
+        return F.array_join(F.slice(w, F.lit(1), cut) if first else F.slice(w, cut + 1, F.size(w) + 1), " ")
+
+    return let(words(text), lambda w: part(w, True)), let(words(text), lambda w: part(w, False))
 
 
 def multi_turn(text: Column, persona: Column, key: Column) -> Column:

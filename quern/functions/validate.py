@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.chat import calls, final_response, has_calls
+from quern.functions.text import let
 
 # The tools' parameters as (name, type, least, most); all are required.
 TOOLS = {
@@ -190,9 +191,14 @@ def gazetteer(locations: DataFrame, limit: int = 2000) -> list[dict]:
 
 def weather_error(messages: Column, locations: list[dict]) -> Column:
     """The first semantic fault of a tool's answer: range and climate of the temperature, condition, humidity, forecast days and their extremes."""
-    call, told = last_call(messages), last_tool_content(messages)
-    name, arguments = call["function"]["name"], call["function"]["arguments"]
+    arguments = last_call(messages)["function"]["arguments"]
     place = nearest_location(_json(arguments, "$.latitude", "double"), _json(arguments, "$.longitude", "double"), locations)
+    parts = F.struct(last_call(messages).alias("call"), last_tool_content(messages).alias("told"), place.alias("place"))
+    return let(parts, lambda p: _weather_error(p["call"], p["told"], p["place"]))
+
+
+def _weather_error(call: Column, told: Column, place: Column) -> Column:
+    name, arguments = call["function"]["name"], call["function"]["arguments"]
     t = _json(told, "$.temperature", "double")
     low, high = F.least(place["summer_lo"], place["winter_lo"]) - SLACK, F.greatest(place["summer_hi"], place["winter_hi"]) + SLACK
     condition, humidity = F.coalesce(_json(told, "$.condition", "string"), F.lit("unknown")), _json(told, "$.humidity", "double")

@@ -14,13 +14,17 @@ are aggregated map side.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.text import let
+
 PRIME = 2147483647
 PERMUTATIONS = 117
 #: (bands, rows) by threshold: the least of the mean of both error areas for about 128 permutations.
@@ -36,25 +40,39 @@ def coefficients(count: int = PERMUTATIONS, seed: int = 1) -> list[tuple[int, in
 def shingles(text: Column, k: int = 3) -> Column:
     """The distinct runs of k characters of a lower-cased, trimmed text; a shorter text is its own only one."""
     low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
-    runs = F.regexp_extract_all(low, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
-    return F.when(F.length(low) < k, F.array(low)).otherwise(F.array_distinct(runs))
 
+    def runs(chars: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(chars) - k)
+        return F.array_distinct(F.transform(at, lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)])))
 
-def shingle_hashes(text: Column, k: int = 3) -> Column:
-    """28-bit hashes of the shingles, the same as md5 prefixes give in any SQL engine."""
-    return F.transform(shingles(text, k), lambda s: F.conv(F.substring(F.md5(F.encode(s, "utf-8")), 1, 7), 16, 10).cast("long"))
+    return F.when(F.length(low) < k, F.array(low)).otherwise(let(F.split(low, ""), runs))
 
 
-def minhash(hashes: Column, count: int = PERMUTATIONS) -> Column:
-    """The signature of a set of 28-bit hashes: the least of each permutation."""
+def minhash(text: Column, k: int = 3, count: int = PERMUTATIONS) -> Column:
+    """The MinHash signature of a text's shingles: the least of each permutation over 28-bit prefixes of their md5, which any SQL engine can give too."""
     pairs = np.array(coefficients(count), np.int64)
 
     @F.pandas_udf("array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, int] = {}
         for s in batches:
-            yield s.map(lambda h: [] if h is None or not len(h) else _signature(np.asarray(h, np.int64), pairs).tolist())
-
-    return run(hashes)
+            if len(known) > 500_000:
+                known.clear()
+            yield s.map(lambda t: _signature(_hashes(t or "", k, known), pairs).tolist())
+
+    return run(F.lower(F.trim(F.coalesce(text, F.lit("")))))
+
+
+def _hashes(text: str, k: int, known: dict[str, int]) -> np.ndarray:
+    """The hashes of a text's distinct shingles; ``known`` keeps those of frequent ones."""
+    parts = {text[i : i + k] for i in range(len(text) - k + 1)} if len(text) >= k else {text}
+    out = np.empty(len(parts), np.int64)
+    for i, s in enumerate(parts):
+        h = known.get(s)
+        if h is None:
+            h = known[s] = int(hashlib.md5(s.encode()).hexdigest()[:7], 16)
+        out[i] = h
+    return out
 
 
 def _signature(h: np.ndarray, pairs: np.ndarray, step: int = 20_000) -> np.ndarray:
@@ -75,7 +93,7 @@ def bands(signature: Column, threshold: float = 0.8) -> Column:
 
 def band_rows(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
     """(id, band, key) of every record, the band's key as a 16-byte digest."""
-    sig = df.select(F.col(key).alias("id"), minhash(shingle_hashes(F.col(text), k)).alias("s"))
+    sig = df.select(F.col(key).alias("id"), minhash(F.col(text), k).alias("s"))
     return sig.select("id", F.explode(bands(F.col("s"), threshold)).alias("b")).select("id", "b.band", F.md5(F.col("b.key").cast("binary")).alias("key"))
 
 
@@ -97,6 +115,7 @@ def keep_first(rows: DataFrame) -> DataFrame:
     k (itself included) has m(k) < id.  Both hops are minima by bucket and by
     id, so a bucket of any size is only ever a sum of partial minima.
     """
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read four times; lost parts come again from the lineage
     least = rows.groupBy("band", "key").agg(F.min("id").alias("least"))
     m = rows.join(least, ["band", "key"]).groupBy("id").agg(F.min("least").alias("m"))
     reach = rows.join(m, "id").groupBy("band", "key").agg(F.min("m").alias("reach"))

@@ -25,11 +25,11 @@ def dimension(df: DataFrame, limit: int = DIMENSION) -> DataFrame:
 
 
 def detected_language(text: Column, stop_words: dict[str, list[str]] = STOP_WORDS) -> Column:
-    """The language whose frequent words a text has most (the first by name of equals); 'unknown' for texts of under three characters or without any."""
+    """The language of whose frequent words a text has most different ones (the first by name of equals); 'unknown' for texts of under three characters or without any."""
     tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD)
     def score(k: int, lang: str) -> Column:
-        own = stop_words[lang]
-        return F.struct(F.size(F.filter(tokens, lambda t: t.isin(*own))).alias("n"), F.lit(k).alias("rank"), F.lit(lang).alias("lang"))
+        own = F.array(*[F.lit(w) for w in stop_words[lang]])
+        return F.struct(F.size(F.array_intersect(tokens, own)).alias("n"), F.lit(k).alias("rank"), F.lit(lang).alias("lang"))
 
     scores = F.array(*[score(k, lang) for k, lang in enumerate(sorted(stop_words, reverse=True))])
     best = F.array_max(scores)

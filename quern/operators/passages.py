@@ -7,6 +7,8 @@ that overlap too much with a better one are left out, document by document.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,17 +43,16 @@ def centres(rows: DataFrame, key: str, weather: list[str] = WEATHER, humor: list
     return hit.withColumn("_near", F.max("_hit").over(near)).where("_near = 1").drop("_near", "_hit")
 
 
-def grown(paras: Column, centre: Column, target: int = TARGET, most: int = MOST) -> Column:
-    """struct(begin, end): paragraphs [begin, end) of a passage around a centre.
+def grown(counts: Column, centre: Column, target: int = TARGET, most: int = MOST) -> Column:
+    """struct(begin, end): paragraphs [begin, end) of a passage around a centre, by the paragraphs' numbers of words.
 
     One paragraph before and one after; then one more at a time while the
     passage is short of the target; a step beyond the most is taken back and
     ends the growth.
     """
-    n = F.size(paras)
+    n = F.size(counts)
     begin = F.greatest(centre - BEFORE, F.lit(0))
     end = F.least(n, centre + AFTER + 1)
-    counts = F.transform(paras, word_count)
     start = F.struct(end.alias("end"), F.aggregate(F.slice(counts, begin + 1, end - begin), F.lit(0), lambda a, x: a + x).alias("words"), F.lit(False).alias("done"))
 
     def step(s: Column, w: Column) -> Column:
@@ -68,51 +69,75 @@ def grown(paras: Column, centre: Column, target: int = TARGET, most: int = MOST)
 
 def candidates(df: DataFrame, key: str, text: str, weather: list[str] = WEATHER, humor: list[str] = HUMOR, separator: str = r"\n\s*\n", least: int = LEAST) -> DataFrame:
     """(key, position, begin, end, passage, word_count, matched_keywords, context_type, relevance_score) of every centre whose passage fits and has a keyword itself."""
-    docs = df.select(key, paragraphs(F.col(text), separator).alias("paras"))
     half = WINDOW // 2
-    hits = F.transform(F.col("paras"), lambda p: has_keyword(p, weather) | has_keyword(p, humor))
-    docs = docs.withColumn("hits", hits)
-    at = F.filter(
-        F.sequence(F.lit(0), F.size("paras") - 1),
-        lambda i: F.exists(F.slice(F.col("hits"), F.greatest(i - half, F.lit(0)) + 1, F.least(i + half, F.size("paras") - 1) - F.greatest(i - half, F.lit(0)) + 1), lambda h: h),
-    )
-    rows = docs.where(F.size("paras") > 0).select(key, "paras", F.explode(at).alias("position"))
-    rows = rows.withColumn("span", grown(F.col("paras"), F.col("position")))
-    begin, end = F.col("span.begin"), F.col("span.end")
-    rows = rows.withColumn("own", F.slice(F.col("paras"), begin + 1, end - begin))
-    rows = rows.select(
-        key, "position", begin.alias("begin"), end.alias("end"), F.array_join("own", "\n\n").alias("passage"),
-        F.coalesce(F.array_compact(F.transform(F.slice("paras", 1, F.col("position") + 1), chapter_marker)), F.array()).alias("_chapters"),
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.transform("own", speaker_names)))), 1, 5).alias("character_names"),
+
+    def facts(p: Column) -> Column:
+        """All that is needed of a paragraph, computed once however many passages hold it."""
+        hit = has_keyword(p, weather) | has_keyword(p, humor)
+        return F.struct(p.alias("p"), hit.alias("hit"), word_count(p).alias("words"), speaker_names(p).alias("names"), chapter_marker(p).alias("chapter"))
+
+    def spans(paras: Column) -> Column:
+        """The centres of a document, with the passages that grow around them."""
+        last = F.size(paras) - 1
+
+        def near(i: Column) -> Column:
+            begin = F.greatest(i - half, F.lit(0))
+            return F.exists(F.slice(paras, begin + 1, F.least(i + half, last) - begin + 1), lambda x: x["hit"])
+
+        centres_ = F.filter(F.sequence(F.lit(0), last), near)
+        return F.transform(centres_, lambda i: F.struct(i.alias("position"), grown(F.transform(paras, lambda x: x["words"]), i).alias("span")))
+
+    docs = df.select(key, F.explode(F.array(F.transform(paragraphs(F.col(text), separator), facts))).alias("paras")).where(F.size("paras") > 0)
+    rows = docs.select(key, "paras", F.explode(spans(F.col("paras"))).alias("c"))
+    begin, end = F.col("c.span.begin"), F.col("c.span.end")
+    own = F.slice(F.col("paras"), begin + 1, end - begin)
+    seen = F.filter(F.transform(F.slice("paras", 1, F.col("c.position") + 1), lambda x: x["chapter"]), lambda x: x.isNotNull())
+    made = F.struct(
+        F.array_join(F.transform(own, lambda x: x["p"]), "\n\n").alias("passage"), F.when(F.size(seen) > 0, F.element_at(seen, -1)).alias("chapter_section"),
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.transform(own, lambda x: x["names"])))), 1, 5).alias("character_names"),
     )
-    rows = rows.withColumn("word_count", word_count(F.col("passage"))).where(F.col("word_count").between(least, MOST))
-    rows = rows.withColumn("m", matches(F.col("passage"), weather, humor)).where("m.relevance_score > 0")
-    chapter = F.when(F.size("_chapters") > 0, F.element_at("_chapters", -1))
-    return rows.select(key, "position", "begin", "end", "passage", "word_count", chapter.alias("chapter_section"), "character_names", "m.*")
+    # a one-element explode keeps the optimizer from computing the passage again in every later filter
+    rows = rows.select(key, F.col("c.position").alias("position"), begin.alias("begin"), end.alias("end"), F.explode(F.array(made)).alias("p"))
+    rows = rows.withColumn("word_count", word_count(F.col("p.passage"))).where(F.col("word_count").between(least, MOST))
+    rows = rows.withColumn("m", F.explode(F.array(matches(F.col("p.passage"), weather, humor)))).where("m.relevance_score > 0")
+    return rows.select(key, "position", "begin", "end", "p.passage", "word_count", "p.chapter_section", "p.character_names", "m.*")
 
 
 def without_overlap(rows: DataFrame, key: str, overlap: float = OVERLAP, most: int = 1000) -> DataFrame:
     """The rows that stay when, by relevance (then position), each is taken unless it overlaps one taken by more than a share of the smaller.
 
     Sequential within a document, parallel over documents; only (position,
-    begin, end, relevance) goes to Python, the texts are joined back.
+    begin, end, relevance) goes to Python, in batches that hold many
+    documents, and the texts are joined back.
     """
     kind = dict(rows.dtypes)[key]
 
-    def pick(df: pd.DataFrame) -> pd.DataFrame:
+    def chosen_of(group: list[tuple]) -> list[tuple]:
         kept: list[tuple[int, int]] = []
         out = []
-        for r in df.sort_values(["relevance_score", "position"], ascending=[False, True]).itertuples():
+        for k, position, begin, end, _ in sorted(group, key=lambda r: (-r[4], r[1])):
             if len(kept) >= most:
                 break
-            heavy = any(min(r.end, e) - max(r.begin, b) > overlap * min(r.end - r.begin, e - b) for b, e in kept)
-            if not heavy:
-                kept.append((r.begin, r.end))
-                out.append((getattr(r, key), r.position, len(out)))
-        return pd.DataFrame(out, columns=[key, "position", "rank"])
-
-    slim = rows.select(key, "position", "begin", "end", "relevance_score")
-    chosen = slim.groupBy(key).applyInPandas(pick, f"{key} {kind}, position int, rank int")
+            if not any(min(end, e) - max(begin, b) > overlap * min(end - begin, e - b) for b, e in kept):
+                kept.append((begin, end))
+                out.append((k, position, len(out)))
+        return out
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group: list[tuple] = []
+        for df in batches:
+            out: list[tuple] = []
+            for r in df.itertuples(index=False, name=None):
+                if group and r[0] != group[0][0]:
+                    out += chosen_of(group)
+                    group = []
+                group.append(r)
+            yield pd.DataFrame(out, columns=[key, "position", "rank"])
+        if group:
+            yield pd.DataFrame(chosen_of(group), columns=[key, "position", "rank"])
+
+    slim = rows.select(key, "position", "begin", "end", "relevance_score").where(F.col(key).isNotNull())
+    chosen = slim.repartition(key).sortWithinPartitions(key).mapInPandas(pick, f"{key} {kind}, position int, rank int")
     return rows.join(chosen, [key, "position"])
 
 

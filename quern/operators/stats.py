@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.chat import final_response
-from quern.functions.text import word_count
+from quern.functions.text import let, word_count, words
 
 COUNT = F.count
 
@@ -123,8 +123,9 @@ def template_counts(df: DataFrame, text: Column, patterns: dict[str, str]) -> Da
 
 def phrases(text: Column, n: int = 4) -> Column:
     """The runs of n words of a text, lower-cased, joined by blanks."""
-    w = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([^\s\x0b\x1c-\x1f\x85\p{Z}]+)"), F.lit(1))
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    w = words(F.lower(F.coalesce(text, F.lit(""))))
+    none = F.array().cast("array<string>")
+    return let(w, lambda x: F.when(F.size(x) >= n, F.transform(F.sequence(F.lit(1), F.size(x) - n + 1), lambda i: F.array_join(F.slice(x, i, F.lit(n)), " "))).otherwise(none))
 
 
 def top_phrases(df: DataFrame, text: Column, n: int = 4, k: int = 20, over: int = 5) -> DataFrame:

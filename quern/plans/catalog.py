@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quern.functions import chat, keywords, tags, text, validate
 from quern.operators import dedup, generate, joins, passages, sampling, stats
 from quern.plans import pipelines
-from quern.session import table
+from quern.session import spread, table
 from quern.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +99,7 @@ def s4_union(spark: SparkSession, folder: str) -> DataFrame:
 SELECT id, title, array_to_string({sql_keywords("title", keywords.EXPANDED)}, ',') AS matched
 FROM posts WHERE len({sql_keywords("title", keywords.EXPANDED)}) > 0""")
 def f1_keyword_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.keyword_filter(table(spark, folder, "posts")).select("id", "title", joined(F.col("matched_keywords"), "matched"))
+    return joins.keyword_filter(spread(table(spark, folder, "posts"))).select("id", "title", joined(F.col("matched_keywords"), "matched"))
 
 
 _CLEANED = f"SELECT id, subreddit, {sql_clean('title')} AS cleaned_title FROM posts WHERE id IS NOT NULL AND subreddit IS NOT NULL AND title IS NOT NULL AND title <> ''"
@@ -107,7 +107,7 @@ _CLEANED = f"SELECT id, subreddit, {sql_clean('title')} AS cleaned_title FROM po
 
 @query(f"SELECT * FROM ({_CLEANED}) WHERE length(cleaned_title) >= 10 AND regexp_matches(cleaned_title, '[a-zA-Z0-9]')")
 def f2_quality_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.quality_filter(table(spark, folder, "posts"), decompose=False).select("id", "subreddit", "cleaned_title")
+    return joins.quality_filter(spread(table(spark, folder, "posts")), decompose=False).select("id", "subreddit", "cleaned_title")
 
 
 @query(f"SELECT doc_id, coalesce(length({sql_strip('text')}) >= 10 AND regexp_matches(text, '[a-zA-Z0-9]'), false) AS valid FROM documents")
@@ -117,7 +117,7 @@ def f3_valid_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sql_language(c: str, rows: str) -> str:
     langs = sorted(joins.STOP_WORDS)
-    n = {x: f"len(list_filter({sql_tokens(c)}, lambda t: list_contains({sql_list(joins.STOP_WORDS[x])}, t)))" for x in langs}
+    n = {x: f"len(list_distinct(list_filter({sql_tokens(c)}, lambda t: list_contains({sql_list(joins.STOP_WORDS[x])}, t))))" for x in langs}
     top = "greatest(" + ", ".join(f"n_{x}" for x in langs) + ")"
     cases = " ".join(f"WHEN n_{x} = {top} THEN '{x}'" for x in langs)
     return f"SELECT *, CASE WHEN length({sql_strip(f'coalesce({c}, {chr(39) * 2})')}) < 3 OR {top} = 0 THEN 'unknown' {cases} END AS language FROM (SELECT *, " + ", ".join(f"{v} AS n_{k}" for k, v in n.items()) + f" FROM {rows})"
@@ -125,13 +125,13 @@ def _sql_language(c: str, rows: str) -> str:
 
 @query(f"SELECT doc_id, language FROM ({_sql_language('text', 'documents')}) WHERE language = 'en'")
 def f4_language_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select("doc_id", joins.detected_language(F.col("text")).alias("language"))
+    rows = spread(table(spark, folder, "documents")).select("doc_id", joins.detected_language(F.col("text")).alias("language"))
     return joins.english_only(rows, F.col("language"))
 
 
 @query(f"SELECT language, count(*) AS n FROM ({_sql_language('content', 'clean_items')}) GROUP BY language")
 def a1_language_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.histogram(table(spark, folder, "clean_items"), joins.detected_language(F.col("content")), "language")
+    return stats.histogram(spread(table(spark, folder, "clean_items")), joins.detected_language(F.col("content")), "language")
 
 
 _VERDICTS = "SELECT item_id, max(CAST(toxic <> 0 AS INT)) AS f FROM safety_labels WHERE toxic IS NOT NULL AND item_id IS NOT NULL GROUP BY item_id"
@@ -226,7 +226,7 @@ def proj_p03_keywords(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def proj_p03_keyword_spans(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select("doc_id", F.explode(keywords.keyword_spans(F.col("text"), keywords.WEATHER)).alias("m"))
+    rows = spread(table(spark, folder, "documents")).select("doc_id", F.explode(keywords.keyword_spans(F.col("text"), keywords.WEATHER)).alias("m"))
     return rows.select("doc_id", "m.start", "m.end", "m.keyword")
 
 
@@ -238,13 +238,13 @@ SELECT doc_id, CASE WHEN w AND h THEN 'both' WHEN w THEN 'weather' WHEN h THEN '
   array_to_string({sql_keywords('text', keywords.WEATHER + keywords.HUMOR)}, ',') AS matched
 FROM (SELECT doc_id, text, {_W} AS w, {_H} AS h FROM documents)""")
 def proj_p07_matches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select("doc_id", keywords.matches(F.col("text")).alias("m"))
+    rows = spread(table(spark, folder, "documents")).select("doc_id", keywords.matches(F.col("text")).alias("m"))
     return rows.select("doc_id", "m.context_type", long(F.col("m.relevance_score"), "relevance_score"), joined(F.col("m.matched_keywords"), "matched"))
 
 
 @query()
 def proj_p08_clean_post(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "posts").select("id", text.clean_post(F.col("title")).alias("cleaned_title"))
+    return spread(table(spark, folder, "posts")).select("id", text.clean_post(F.col("title")).alias("cleaned_title"))
 
 
 _START, _END = text._EDGE.format("START"), text._EDGE.format("END")
@@ -295,7 +295,7 @@ _NAMES = "flatten([" + ", ".join(f"regexp_extract_all(text, '{p}', 1)" for p in
 SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(list_filter({_NAMES}, lambda n: NOT list_contains({sql_list(text.NOT_NAMES)}, lower(n))), lambda n: upper(n[1]) || lower(n[2:])))), ',') AS names
 FROM documents WHERE text IS NOT NULL""")
 def proj_p13_speakers(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").where("text is not null").select("doc_id", joined(text.speaker_names(F.col("text")), "names"))
+    return spread(table(spark, folder, "documents")).where("text is not null").select("doc_id", joined(text.speaker_names(F.col("text")), "names"))
 
 
 def _contains(c: str, *parts: str) -> str:
@@ -494,14 +494,14 @@ SELECT 'loaded' AS stage, 0 AS place, count(*) AS n FROM base UNION ALL SELECT '
 
 @query(_STAGES)
 def a4_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    items = table(spark, folder, "clean_items").select("id", "content")
+    items = spread(table(spark, folder, "clean_items").select("id", "content"))
     run = pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels")), {"deduplication": {"mode": "exact"}})
     return stats.stages(run.stages)
 
 
 @query()
 def a4_stage_counts_near(spark: SparkSession, folder: str) -> DataFrame:
-    items = table(spark, folder, "clean_items").select("id", "content")
+    items = spread(table(spark, folder, "clean_items").select("id", "content"))
     return stats.stages(pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels"))).stages)
 
 
@@ -567,7 +567,7 @@ _PHRASES4 = f"SELECT unnest(list_transform(range(1, len(w) - 2), lambda i: array
 
 @query(f"SELECT term, n FROM (SELECT term, count(*) AS n FROM ({_PHRASES4}) GROUP BY term ORDER BY n DESC, term LIMIT 20) WHERE n > 5")
 def a13_top_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "conversation").select(chat.final_response(F.col("messages")).alias("r"))
+    rows = spread(table(spark, folder, "conversation")).select(chat.final_response(F.col("messages")).alias("r"))
     return stats.top_phrases(rows, F.col("r"))
 
 
@@ -589,7 +589,7 @@ WITH r AS (SELECT r FROM (SELECT {_FINAL} AS r FROM conversation) WHERE r IS NOT
 m AS (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM ({_PHRASES4}) GROUP BY term))
 SELECT n AS responses, u / n AS unique_ratio, 1 - m / n AS phrase_diversity FROM s, m""")
 def a16_diversity(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.diversity(table(spark, folder, "conversation"), F.col("messages")).select("responses", "unique_ratio", "phrase_diversity")
+    return stats.diversity(spread(table(spark, folder, "conversation")), F.col("messages")).select("responses", "unique_ratio", "phrase_diversity")
 
 
 @query("""
@@ -643,7 +643,7 @@ def o2_balanced_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def o3_passages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pipelines.collect_passages(table(spark, folder, "documents"), "doc_id", "text", weather=keywords.EXPANDED, least=40)
+    rows = pipelines.collect_passages(spread(table(spark, folder, "documents")), "doc_id", "text", weather=keywords.EXPANDED, least=40)
     return rows.select("doc_id", "begin", "end", "word_count", "context_type", joined(F.col("matched_keywords"), "matched"), joined(F.col("character_names"), "names"))
 
 
@@ -698,7 +698,7 @@ _SHINGLES = f"SELECT DISTINCT doc_id, CASE WHEN length(t) < 3 THEN t ELSE substr
 
 @query(f"SELECT doc_id, count(*) AS shingles FROM ({_SHINGLES}) GROUP BY doc_id")
 def proj_p14_shingles(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", long(F.size(dedup.shingles(F.col("text"))), "shingles"))
+    return spread(table(spark, folder, "documents")).select("doc_id", long(F.size(dedup.shingles(F.col("text"))), "shingles"))
 
 
 def _sql_bands() -> str:
@@ -711,7 +711,7 @@ def _sql_bands() -> str:
 
 @query(_sql_bands())
 def j3_lsh_bands(spark: SparkSession, folder: str) -> DataFrame:
-    rows = dedup.band_rows(table(spark, folder, "documents"), "doc_id", "text")
+    rows = dedup.band_rows(spread(table(spark, folder, "documents")), "doc_id", "text")
     return rows.select("id", long(F.col("band"), "band"), "key")
 
 
@@ -720,7 +720,7 @@ WITH b AS MATERIALIZED ({_sql_bands()}), m AS (SELECT x.id, min(y.least) AS m FR
 r AS (SELECT band, key, min(m) AS reach FROM b JOIN m ON b.id = m.id GROUP BY band, key)
 SELECT DISTINCT b.id FROM b JOIN r ON b.band = r.band AND b.key = r.key WHERE reach < b.id""")
 def o13_lsh_removed(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.keep_first(dedup.band_rows(table(spark, folder, "documents"), "doc_id", "text"))
+    return dedup.keep_first(dedup.band_rows(spread(table(spark, folder, "documents")), "doc_id", "text"))
 
 
 # ---------------------------------------------------------------- validation
@@ -790,7 +790,7 @@ def v6_parameter_errors(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def v8_weather_errors(spark: SparkSession, folder: str) -> DataFrame:
     places = validate.gazetteer(table(spark, folder, "locations"))
-    return table(spark, folder, "conversation").select("entry_id", validate.weather_error(F.col("messages"), places).alias("error"))
+    return spread(table(spark, folder, "conversation")).select("entry_id", validate.weather_error(F.col("messages"), places).alias("error"))
 
 
 _TOLD = "(list_filter(messages, lambda m: m.role = 'tool'))[-1].content"
@@ -813,7 +813,7 @@ def v9_groundedness(spark: SparkSession, folder: str) -> DataFrame:
 def a18_failures(spark: SparkSession, folder: str) -> DataFrame:
     places = validate.gazetteer(table(spark, folder, "locations"))
     e = validate.all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), places)
-    return stats.failures(table(spark, folder, "conversation").withColumn("e", e), F.col("e"))
+    return stats.failures(spread(table(spark, folder, "conversation")).withColumn("e", e), F.col("e"))
 
 
 @query("SELECT id, array_to_string(list_filter([CASE WHEN id IS NULL THEN 'id' END, CASE WHEN content IS NULL THEN 'content' END, CASE WHEN source IS NULL THEN 'source' END], lambda x: x IS NOT NULL), ',') AS missing FROM clean_items")
@@ -849,13 +849,13 @@ def g1_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def pipeline_instruct(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pipelines.instruct(table(spark, folder, "passages").dropDuplicates(["passage_id"]), "passage_id").rows
+    rows = pipelines.instruct(spread(table(spark, folder, "passages")).dropDuplicates(["passage_id"]), "passage_id").rows
     return rows.select("passage_id", "persona", "tone", joined(F.col("domain"), "domains"), "split", F.size("messages").alias("messages"))
 
 
 @query()
 def pipeline_posts(spark: SparkSession, folder: str) -> DataFrame:
-    posts = table(spark, folder, "posts").where("id is not null")
+    posts = spread(table(spark, folder, "posts").where("id is not null"))
     newest = dedup.newest(posts, ["id"], F.struct("ingested_at", "num_comments", "title"))
     return pipelines.chat_posts(newest).select("id", "tags.tone", "tags.source", F.size("messages").alias("messages"))
 

@@ -12,6 +12,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if its scan has fewer parts than there are cores: a small file that costs much work per row. Large inputs are left as they are split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as spark.checkpoint.dir names it; one of our own only where it is unset and the session is local."""
     sc = spark.sparkContext
