@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.session import table
+from quern.session import spread, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern by which this public tokenizer cuts texts.
@@ -179,4 +179,4 @@ def token_counts(rows: DataFrame, text: str = "text", out: str = "n_tokens", pat
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, ids) as TESTDATA.md states problem 7."""
-    return encoded(table(spark, folder, "documents"))
+    return encoded(spread(table(spark, folder, "documents").select("doc_id", "text")))

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.session import cut, table
+from quern.session import cut, spread, table
 
 #: The tables whose texts the record-level operators take, with their keys and text columns.
 TEXT_TABLES = (("clean_items", "id", "content"), ("documents", "doc_id", "text"))
@@ -19,7 +19,7 @@ TEXT_TABLES = (("clean_items", "id", "content"), ("documents", "doc_id", "text")
 def text_rows(spark: SparkSession, folder: str) -> DataFrame:
     """(tb, id, text) of every text table; tb is the position in TEXT_TABLES."""
     parts = [
-        table(spark, folder, name).select(F.lit(k).cast("tinyint").alias("tb"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+        spread(table(spark, folder, name).select(F.lit(k).cast("tinyint").alias("tb"), F.col(key).cast("long").alias("id"), F.col(text).alias("text")))
         for k, (name, key, text) in enumerate(TEXT_TABLES)
     ]
     out = parts[0]

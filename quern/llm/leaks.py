@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
 from quern.llm.common import binary_rows, binary_values, expanded, keep, verified
-from quern.session import table
+from quern.session import spread, table
 
 SKETCH = 1 << 22
 
@@ -128,7 +128,7 @@ def split_rows(conversation: DataFrame) -> DataFrame:
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """(entry_a, entry_b) as TESTDATA.md states problem 2."""
-    links, members = overlaps(split_rows(table(spark, folder, "conversation")))
+    links, members = overlaps(split_rows(spread(table(spark, folder, "conversation").select("entry_id", "split", "messages"))))
     return expanded(links, members.select("rep", "id")).select(F.col("id_a").alias("entry_a"), F.col("id_b").alias("entry_b"))
 
 

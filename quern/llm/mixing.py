@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.bpe import VOCABULARY, token_counts
 from quern.llm.common import keep, prefix_by_hash
-from quern.session import table
+from quern.session import spread, table
 
 #: Domain of each source (a parameter of ``mix``); sources not named are a domain of their own.
 DOMAINS = {
@@ -151,20 +151,20 @@ def mix(counts: DataFrame, budgets: list[dict], seed: int = 8) -> DataFrame:
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """(source) as TESTDATA.md states problem 8."""
-    _, report, _ = plan(counted(table(spark, folder, "documents")), table(spark, folder, "mix_targets"))
+    _, report, _ = plan(counted(spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))), table(spark, folder, "mix_targets"))
     return spark.createDataFrame([(r["source"],) for r in report if r["short"]], "source string")
 
 
 def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, source, language, n_tokens, epoch): the mixture."""
-    counts = keep(counted(table(spark, folder, "documents")))
+    counts = keep(counted(spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))))
     budgets, _, _ = plan(counts, table(spark, folder, "mix_targets"))
     return mix(counts, budgets)
 
 
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     """(source, target_share, max_repeats, tokens, budget, short, drawn, actual_share): what each source was to give and gave."""
-    counts = keep(counted(table(spark, folder, "documents")))
+    counts = keep(counted(spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))))
     budgets, report, _ = plan(counts, table(spark, folder, "mix_targets"))
     drawn = {r["source"]: r["n"] for r in mix(counts, budgets).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}  # a row for each target
     whole = sum(drawn.values())
