@@ -124,8 +124,8 @@ def expanded(links: DataFrame, members: DataFrame) -> DataFrame:
     extra = [c for c in members.columns if c not in ("rep", "id")]
     left = members.withColumnsRenamed({"rep": "a", "id": "x"}).join(small(links.select("a", "b")), "a")
     both = left.join(members.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b")
-    both = both.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
-    return both.select(*extra, F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    both = both.where(((F.col("a") != F.col("b")) | (F.col("x") < F.col("y"))) & (F.col("x") != F.col("y")))
+    return both.select(*extra, F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()  # rows may be repeated in the table
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

@@ -98,7 +98,7 @@ def lookalike_pairs(rows: DataFrame) -> DataFrame:
     some = d.join(mixed, key)
     a = some.select(*key, F.col("id").alias("id_a"), F.col("plain").alias("plain_a"))
     b = some.select(*key, F.col("id").alias("id_b"), F.col("plain").alias("plain_b"))
-    return a.join(b, key).where("id_a < id_b and plain_a != plain_b").select("tb", "id_a", "id_b")
+    return a.join(b, key).where("id_a < id_b and plain_a != plain_b").select("tb", "id_a", "id_b").distinct()
 
 
 # ---------------------------------------------------------------- queries
