@@ -86,11 +86,11 @@ POST_REWRITES = (
     (r"_([^_\s][^_]*[^_\s])_", r"\1"),
     (r"\[([^\]]+)\]\([^)]+\)", r"\1"),
     (f"https?://{NOT_SPACE}+", ""),
-    ("[‘’]", "'"),
-    ("[“”]", '"'),
-    ("[—–]", "-"),
-    ("…", "..."),
-    (" ", " "),
+    ("[\u2018\u2019]", "'"),
+    ("[\u201c\u201d]", '"'),
+    ("[\u2014\u2013]", "-"),
+    ("\u2026", "..."),
+    ("\u00a0", " "),
 )
 
 

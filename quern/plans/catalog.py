@@ -72,7 +72,7 @@ def sql_strip(c: str) -> str:
 def sql_clean(c: str) -> str:
     out = f"coalesce({c}, '')"
     for pattern, to in text.POST_REWRITES:
-        out = f"regexp_replace({out}, '{pattern}', '{to.replace(chr(39), chr(39) * 2)}', 'g')".replace("'[‘’]', ''''", "'[‘’]', ''''")
+        out = f"regexp_replace({out}, '{pattern}', '{to.replace(chr(39), chr(39) * 2)}', 'g')"
     return sql_strip(f"regexp_replace({out}, '{text.SPACE}+', ' ', 'g')")
 
 
