@@ -103,9 +103,13 @@ def exact(df: DataFrame, key: str, text: str) -> DataFrame:
     Only (digest, key) is shuffled and pre-aggregated, not the rows' windows;
     the rows are then picked by a semi join on their key.
     """
+    return df.join(first_keys(df, key, text), key, "left_semi")
+
+
+def first_keys(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key) of the rows that ``exact`` keeps."""
     digest = F.md5(F.lower(F.trim(F.coalesce(F.col(text), F.lit("")))).cast("binary"))
-    first = df.select(digest.alias("_d"), F.col(key).alias("_k")).groupBy("_d").agg(F.min("_k").alias("_k"))
-    return df.join(first.select(F.col("_k").alias(key)), key, "left_semi")
+    return df.select(digest.alias("_d"), F.col(key).alias("_k")).groupBy("_d").agg(F.min("_k").alias("_k")).select(F.col("_k").alias(key))
 
 
 def keep_first(rows: DataFrame) -> DataFrame:
@@ -124,8 +128,12 @@ def keep_first(rows: DataFrame) -> DataFrame:
 
 def remove_near(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
     """df without the records that ``keep_first`` removes."""
-    rows = band_rows(df.where(F.col(key).isNotNull()), key, text, threshold, k)
-    return df.join(keep_first(rows).withColumnRenamed("id", key), key, "left_anti")
+    return df.join(near_keys(df, key, text, threshold, k), key, "left_anti")
+
+
+def near_keys(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
+    """(key) of the rows that ``remove_near`` removes."""
+    return keep_first(band_rows(df.where(F.col(key).isNotNull()), key, text, threshold, k)).withColumnRenamed("id", key)
 
 
 def duplicate_stats(total: DataFrame, kept: DataFrame) -> DataFrame:

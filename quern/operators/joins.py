@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.text import NOT_WORD, clean_post, is_valid, strip
+from quern.functions.text import NOT_WORD, clean_post, is_valid, let, strip
 from quern.functions.keywords import EXPANDED, keyword_set
 
 #: Frequent words by which a language is told; languages of Latin script that the data have.
@@ -26,14 +26,17 @@ def dimension(df: DataFrame, limit: int = DIMENSION) -> DataFrame:
 
 def detected_language(text: Column, stop_words: dict[str, list[str]] = STOP_WORDS) -> Column:
     """The language of whose frequent words a text has most different ones (the first by name of equals); 'unknown' for texts of under three characters or without any."""
-    tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD)
-    def score(k: int, lang: str) -> Column:
-        own = F.array(*[F.lit(w) for w in stop_words[lang]])
-        return F.struct(F.size(F.array_intersect(tokens, own)).alias("n"), F.lit(k).alias("rank"), F.lit(lang).alias("lang"))
-
-    scores = F.array(*[score(k, lang) for k, lang in enumerate(sorted(stop_words, reverse=True))])
-    best = F.array_max(scores)
-    return F.when((F.length(strip(F.coalesce(text, F.lit("")))) < 3) | (best["n"] == 0), "unknown").otherwise(best["lang"])
+    known = F.coalesce(text, F.lit(""))
+
+    def best(tokens: Column) -> Column:
+        def score(k: int, lang: str) -> Column:
+            own = F.array(*[F.lit(w) for w in stop_words[lang]])
+            return F.struct(F.size(F.array_intersect(tokens, own)).alias("n"), F.lit(k).alias("rank"), F.lit(lang).alias("lang"))
+
+        return F.array_max(F.array(*[score(k, lang) for k, lang in enumerate(sorted(stop_words, reverse=True))]))
+
+    told = let(let(F.split(F.lower(known), NOT_WORD), best), lambda b: F.when(b["n"] > 0, b["lang"]))
+    return F.when(F.length(strip(known)) < 3, "unknown").otherwise(F.coalesce(told, F.lit("unknown")))
 
 
 def english_only(df: DataFrame, lang: Column) -> DataFrame:

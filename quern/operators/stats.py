@@ -39,6 +39,13 @@ def stages(counts: list[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def marked_stages(df: DataFrame, flags: list[tuple[str, Column]]) -> DataFrame:
+    """(stage, place, n) of rows that carry a flag for each stage: all stages in one pass."""
+    sums = df.agg(*[F.count(F.when(flag, 1)).alias(f"_{k}") for k, (_, flag) in enumerate(flags)])
+    rows = F.array(*[F.struct(F.lit(name).alias("stage"), F.lit(k).alias("place"), F.col(f"_{k}").alias("n")) for k, (name, _) in enumerate(flags)])
+    return sums.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def retention(stage_counts: dict[str, int]) -> dict[str, float]:
     """Initial and final rows, how many were filtered, and what per cent stayed; the final stage is the last that is present."""
     initial = stage_counts.get("loaded", 0)

@@ -496,13 +496,13 @@ SELECT 'loaded' AS stage, 0 AS place, count(*) AS n FROM base UNION ALL SELECT '
 def a4_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
     items = spread(table(spark, folder, "clean_items").select("id", "content"))
     run = pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels")), {"deduplication": {"mode": "exact"}})
-    return stats.stages(run.stages)
+    return run.counts()
 
 
 @query()
 def a4_stage_counts_near(spark: SparkSession, folder: str) -> DataFrame:
     items = spread(table(spark, folder, "clean_items").select("id", "content"))
-    return stats.stages(pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels"))).stages)
+    return pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels"))).counts()
 
 
 @query("""

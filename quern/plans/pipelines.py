@@ -5,21 +5,31 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import chat, tags, text
 from quern.functions.validate import entry_error
-from quern.operators import dedup, joins, passages, sampling
+from quern.operators import dedup, joins, passages, sampling, stats
 from quern.sources import config
 
 
 @dataclass
 class Run:
-    """What a pipeline gives: its rows, and the rows after each stage by name, for statistics."""
+    """What a pipeline gives: its rows, and how many are left after each stage.
+
+    Either the stages are DataFrames, or ``marked`` has every row with a flag
+    for each stage, so that all are counted in one pass.
+    """
 
     rows: DataFrame
     stages: list[tuple[str, DataFrame]] = field(default_factory=list)
+    marked: DataFrame | None = None
+    flags: list[tuple[str, Column]] = field(default_factory=list)
+
+    def counts(self) -> DataFrame:
+        """(stage, place, n)."""
+        return stats.stages(self.stages) if self.marked is None else stats.marked_stages(self.marked, self.flags)
 
 
 def normalize(items: DataFrame, key: str, verdicts: DataFrame | None = None, options: dict[str, Any] | None = None, verdict_key: str = "item_id") -> Run:
@@ -34,14 +44,20 @@ def normalize(items: DataFrame, key: str, verdicts: DataFrame | None = None, opt
     if o["quality"]["most"]:
         rows = rows.where(F.length("_text") <= o["quality"]["most"])
     if o["deduplication"]["mode"] == "exact":
-        unique = dedup.exact(rows, key, "_text")
+        found = dedup.first_keys(rows, key, "_text").withColumn("_found", F.lit(True))
+        marked = rows.join(found, key, "left").withColumn("_unique", F.col("_found").isNotNull())
+    else:
+        found = dedup.near_keys(rows, key, "_text", o["deduplication"]["threshold"], o["deduplication"]["shingle"]).withColumn("_found", F.lit(True))
+        marked = rows.join(found, key, "left").withColumn("_unique", F.col("_found").isNull())
+    spoken = F.when(F.col("_unique"), joins.detected_language(F.col("_text")) == o["language_filter"]["keep"]).otherwise(False)
+    marked = marked.withColumn("_spoken", spoken)
+    if verdicts is None or o["safety"]["skip"]:
+        marked = marked.withColumn("_safe", F.col("_spoken"))
     else:
-        unique = dedup.remove_near(rows, key, "_text", o["deduplication"]["threshold"], o["deduplication"]["shingle"])
-    lang = joins.detected_language(F.col("_text"))
-    spoken = unique.withColumn("_lang", lang).where(F.col("_lang") == o["language_filter"]["keep"]).drop("_lang")
-    safe = spoken if verdicts is None or o["safety"]["skip"] else joins.safe_only(spoken, key, verdicts, verdict_key, o["safety"]["on_missing"])
-    out = safe.drop("_text")
-    return Run(out, [("loaded", items), ("dedup", unique), ("language", spoken), ("safety", safe)])
+        flagged = F.coalesce("flagged", F.lit(o["safety"]["on_missing"] == "drop"))
+        marked = marked.join(verdicts.select(F.col(verdict_key).alias(key), "flagged"), key, "left").withColumn("_safe", F.col("_spoken") & ~flagged)
+    flags = [("loaded", F.lit(True)), ("dedup", F.col("_unique")), ("language", F.col("_spoken")), ("safety", F.col("_safe"))]
+    return Run(marked.where("_safe").select(*items.columns), marked=marked, flags=flags)
 
 
 def instruct(items: DataFrame, key: str, ratio: tuple[int, int] = (9, 10)) -> Run:

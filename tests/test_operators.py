@@ -208,7 +208,7 @@ def test_generated_conversations(spark, data):
 def test_pipelines(spark, data):
     passages_ = spark.read.parquet(f"{data}/passages.parquet").dropDuplicates(["passage_id"])
     run = pipelines.instruct(passages_, "passage_id")
-    counts = {r.stage: r.n for r in stats.stages(run.stages).collect()}
+    counts = {r.stage: r.n for r in run.counts().collect()}
     assert counts["loaded"] >= counts["chats"] >= counts["valid"] == run.rows.count() > 0
     assert {r.split for r in run.rows.select("split").distinct().collect()} <= {"train", "validation"}
     merged = pipelines.merge_datasets([spark.read.parquet(f"{data}/conversation.parquet").select("entry_id", "messages", "tags")], "entry_id")
