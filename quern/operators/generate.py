@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.chat import CALL, SYSTEM
-from quern.functions.validate import gazetteer, nearest_location
+from quern.functions.validate import all_errors, gazetteer, nearest_location
 from quern.operators.sampling import weighted
 
 # Conditions of each climate zone, and chances.
@@ -194,6 +194,17 @@ def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int =
     )
 
 
+def accepted(spark: SparkSession, n: int, locations: DataFrame, seed: int = 42, tries: int = 3, personas: dict[str, float] = PERSONAS) -> DataFrame:
+    """n conversations that pass every check: ``tries`` times as many are made, in order, and the first n sound ones kept.
+
+    A run that broke off is made again from the same seed, with the same rows;
+    written by ranges of ids, it goes on with the first range that is missing.
+    """
+    made = conversations(spark, n * tries, locations, seed, personas)
+    errors = all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), gazetteer(locations))
+    return made.where(F.size(errors) == 0).orderBy("metadata.conversation_id").limit(n)
+
+
 def weather_at(df: DataFrame, lat: str, lon: str, key: str, locations: DataFrame, month: int, seed: int = 42) -> DataFrame:
     """df with ``weather``: the current weather at the place nearest to its coordinates."""
     return df.withColumn("_p", nearest_location(F.col(lat), F.col(lon), gazetteer(locations))).withColumn("weather", current_weather(F.col("_p"), F.col(key), F.lit(month), seed)).drop("_p")

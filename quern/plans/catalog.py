@@ -841,6 +841,11 @@ def g5_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("metadata.conversation_id", "tags.persona", "tags.scenario", "metadata.query_type", F.to_json("messages").alias("messages"))
 
 
+@query()
+def g6_accepted(spark: SparkSession, folder: str) -> DataFrame:
+    return generate.accepted(spark, 500, table(spark, folder, "locations")).select("metadata.conversation_id", "tags.persona", "tags.scenario", F.size("messages").alias("messages"))
+
+
 @query()
 def g1_weather(spark: SparkSession, folder: str) -> DataFrame:
     places = table(spark, folder, "locations")

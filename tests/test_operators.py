@@ -205,6 +205,12 @@ def test_generated_conversations(spark, data):
     assert all(len(set(cities[k : k + n])) == len(cities[k : k + n]) for k in range(0, 400 - n, n))
 
 
+def test_accepted_conversations(spark, data):
+    rows = generate.accepted(spark, 60, spark.read.parquet(f"{data}/locations.parquet"))
+    got = rows.select("tags.scenario", "metadata.query_type").collect()
+    assert len(got) == 60 and all(r.query_type == "geocode" for r in got if r.scenario == "error")
+
+
 def test_pipelines(spark, data):
     passages_ = spark.read.parquet(f"{data}/passages.parquet").dropDuplicates(["passage_id"])
     run = pipelines.instruct(passages_, "passage_id")
