@@ -109,7 +109,7 @@ def overlaps(rows: DataFrame, threshold: float = 0.6, n: int = 3, min_words: int
     classes = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"))
     members = sets.select("held", "d1", "d2", "id").join(classes, ["held", "d1", "d2"]).select("rep", "id", "held")
     reps = sets.join(classes.select("held", F.col("rep").alias("id")), ["held", "id"], "left_semi")
-    prefixes = rare_prefixes(reps, sketch(sets), threshold)
+    prefixes = keep(rare_prefixes(reps, sketch(sets), threshold), now=True)
     one = prefixes.where("held").select(F.col("id").alias("a"), F.col("size").alias("n"), "gram")
     two = prefixes.where("not held").select(F.col("id").alias("b"), F.col("size").alias("m"), "gram")
     pairs = one.join(two, "gram").where((F.col("n") >= threshold * F.col("m")) & (F.col("m") >= threshold * F.col("n"))).select("a", "b").distinct()
