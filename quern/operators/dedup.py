@@ -141,7 +141,7 @@ def duplicate_stats(total: DataFrame, kept: DataFrame) -> DataFrame:
     a = total.agg(F.count(F.lit(1)).alias("original"))
     b = kept.agg(F.count(F.lit(1)).alias("unique_rows"))
     one = F.lit(1).alias("_one")
-    both = a.select("*", one).join(b.select("*", one), "_one").drop("_one")
+    both = a.select("*", one).join(F.broadcast(b.select("*", one)), "_one").drop("_one")  # one row each
     removed = F.col("original") - F.col("unique_rows")
     return both.select("original", "unique_rows", removed.alias("removed"), F.when(F.col("original") > 0, F.bround(removed * 100 / F.col("original"), 2)).otherwise(0.0).alias("rate"))
 

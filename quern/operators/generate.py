@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quern.functions.chat import CALL, SYSTEM
 from quern.functions.validate import all_errors, gazetteer, nearest_location
 from quern.operators.sampling import weighted
+from quern.session import settled
 
 # Conditions of each climate zone, and chances.
 BY_CLIMATE = {
@@ -139,6 +140,7 @@ def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int =
         "scenario": weighted(F.concat(F.lit("s"), row.cast("string")), SCENARIOS, seed), "persona": weighted(F.concat(F.lit("p"), row.cast("string")), personas, seed),
         "query_type": weighted(F.concat(F.lit("q"), row.cast("string")), QUERIES, seed), "place": F.get(listed, which), "start": F.to_date(F.lit(start)),
     })
+    rows = settled(rows)
     place, query, failing = F.col("place"), F.col("query_type"), F.col("scenario") == "error"
     days = F.when(failing, 20).otherwise((F.floor(uniform(seed, row, "days") * 5) + 3).cast("int"))
     function = F.when(query == "current", "get_current_weather").when(query == "forecast", "get_forecast").otherwise("geocode_location")
@@ -149,6 +151,7 @@ def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int =
         .otherwise(F.to_json(F.struct(F.when(failing, "Nonexistent City").otherwise(place["city"]).alias("city"), F.when(failing, "Fake Country").otherwise(place["country"]).alias("country"))))
     )
     rows = rows.withColumns({"function": function, "arguments": arguments, "now": current_weather(place, row, F.month("start"), seed), "later": forecast(place, days, row, F.col("start"), seed)})
+    rows = settled(rows)
     problem = F.when(query == "forecast", "out_of_range").otherwise("invalid_location")
     told = (
         F.when(failing, F.to_json(error_payload(problem, F.col("function"))))
@@ -184,14 +187,14 @@ def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int =
     for p, t in TONES.items():
         tone = F.when(F.col("persona") == p, t).otherwise(tone)
     domain = F.array(F.lit("weather"), F.lit("tool_use"))
-    return rows.select(
+    return settled(rows.select(
         messages.alias("messages"),
         F.struct(F.col("persona"), tone.alias("tone"), domain.alias("domain"), F.lit("synthetic").alias("source"), F.col("scenario")).alias("tags"),
         F.struct(
             F.format_string("conv_%09d", row).alias("conversation_id"), F.struct(place["city"].alias("city"), place["country"].alias("country"), place["climate_zone"].alias("climate_zone")).alias("location"),
             F.col("query_type"), F.date_format("start", "yyyy-MM-dd").alias("generated_at"), F.lit("quern").alias("generator"),
         ).alias("metadata"),
-    )
+    ))
 
 
 def accepted(spark: SparkSession, n: int, locations: DataFrame, seed: int = 42, tries: int = 3, personas: dict[str, float] = PERSONAS) -> DataFrame:

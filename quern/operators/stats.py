@@ -90,10 +90,9 @@ def similarity(df: DataFrame, split: str, value: str, one: str, two: str) -> Dat
     counts = df.where(F.col(split).isin(one, two)).groupBy(F.coalesce(F.col(value).cast("string"), F.lit("unknown")).alias("v")).agg(
         F.count(F.when(F.col(split) == one, 1)).alias("a"), F.count(F.when(F.col(split) == two, 1)).alias("b")
     )
-    # the shares need both totals, which the same few rows give
-    total = counts.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"), F.collect_list(F.struct("a", "b")).alias("all"))
-    far = F.aggregate("all", F.lit(0.0), lambda s, x: s + F.abs(x["a"] / F.col("ta") - x["b"] / F.col("tb")))
-    return total.select(F.when((F.col("ta") > 0) & (F.col("tb") > 0), 1 - far / 2).otherwise(0.0).alias("similarity"))
+    total = counts.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb")).withColumn("_one", F.lit(1))  # one row
+    far = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").agg(F.max("ta").alias("ta"), F.max("tb").alias("tb"), F.sum(F.abs(F.col("a") / F.col("ta") - F.col("b") / F.col("tb"))).alias("far"))
+    return far.select(F.when((F.col("ta") > 0) & (F.col("tb") > 0), 1 - F.col("far") / 2).otherwise(0.0).alias("similarity"))
 
 
 def turns(df: DataFrame, messages: Column) -> DataFrame:
@@ -155,7 +154,7 @@ def diversity(df: DataFrame, messages: Column, patterns: dict[str, str] = TEMPLA
     sums = rows.agg(COUNT(F.lit(1)).alias("n"), F.countDistinct("r").alias("u"), F.coalesce(F.sum(templated), F.lit(0)).alias("t"))
     most = rows.select(F.explode(phrases(F.col("r"))).alias("p")).groupBy("p").agg(COUNT(F.lit(1)).alias("c")).agg(F.coalesce(F.max("c"), F.lit(0)).alias("m"))
     one = F.lit(1).alias("_one")
-    both = sums.select("*", one).join(most.select("*", one), "_one")
+    both = sums.select("*", one).join(F.broadcast(most.select("*", one)), "_one")  # one row each
     n = F.col("n")
     ratio, free, spread = F.col("u") / n, (n - F.col("t")) / n, 1 - F.col("m") / n
     score = (ratio * 0.3 + free * 0.5 + spread * 0.2) * 100
@@ -169,7 +168,7 @@ def generation(df: DataFrame, columns: list[str], city: str) -> DataFrame:
     total = named.agg(COUNT(F.lit(1)).alias("_all")).select("_all", F.lit(1).alias("_one"))
     pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in columns])
     counts = named.select(F.explode(pairs).alias("p"), "_city").groupBy("p.kind", "p.value").agg(COUNT(F.lit(1)).alias("n"), F.countDistinct("_city").alias("cities"))
-    return counts.withColumn("_one", F.lit(1)).join(total, "_one").select("kind", "value", "n", (F.col("n") * 100 / F.col("_all")).alias("percent"), "cities")
+    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select("kind", "value", "n", (F.col("n") * 100 / F.col("_all")).alias("percent"), "cities")
 
 
 def failures(df: DataFrame, errors: Column) -> DataFrame:

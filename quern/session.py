@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with its columns computed before anything that follows: a one-element explode, across which the optimizer does not copy expressions into every later use."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as spark.checkpoint.dir names it; one of our own only where it is unset and the session is local."""
     sc = spark.sparkContext
