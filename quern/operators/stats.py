@@ -91,8 +91,8 @@ def similarity(df: DataFrame, split: str, value: str, one: str, two: str) -> Dat
         F.count(F.when(F.col(split) == one, 1)).alias("a"), F.count(F.when(F.col(split) == two, 1)).alias("b")
     )
     total = counts.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb")).withColumn("_one", F.lit(1))  # one row
-    far = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").agg(F.max("ta").alias("ta"), F.max("tb").alias("tb"), F.sum(F.abs(F.col("a") / F.col("ta") - F.col("b") / F.col("tb"))).alias("far"))
-    return far.select(F.when((F.col("ta") > 0) & (F.col("tb") > 0), 1 - F.col("far") / 2).otherwise(0.0).alias("similarity"))
+    far = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").agg(F.max("ta").alias("ta"), F.max("tb").alias("tb"), F.sum(F.abs(F.try_divide("a", "ta") - F.try_divide("b", "tb"))).alias("far"))
+    return far.select(F.when((F.col("ta") > 0) & (F.col("tb") > 0), 1 - F.col("far") / 2).otherwise(0.0).alias("similarity"))  # an empty split gives 0
 
 
 def turns(df: DataFrame, messages: Column) -> DataFrame:
