@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.keywords import HUMOR, WEATHER, has_keyword, matches
 from quern.functions.text import chapter_marker, paragraphs, speaker_names, word_count
+from quern.operators.sampling import ranked
 
 # Sizes of passages in words, paragraphs around a match, overlap allowed.
 LEAST, MOST, TARGET = 75, 600, 150
@@ -143,8 +144,8 @@ def without_overlap(rows: DataFrame, key: str, overlap: float = OVERLAP, most: i
 
 def passage_ids(df: DataFrame, slug: Column, order: list[Column], out: str = "passage_id") -> DataFrame:
     """df with ids author_title_0000, numbered from 0 within each slug."""
-    w = Window.partitionBy("_slug").orderBy(*order)
-    return df.withColumn("_slug", slug).withColumn(out, F.format_string("%s_%04d", F.col("_slug"), F.row_number().over(w) - 1)).drop("_slug")
+    rows = ranked(df.withColumn("_slug", slug).where("_slug is not null"), "_slug", order, "_number")
+    return rows.withColumn(out, F.format_string("%s_%04d", F.col("_slug"), F.col("_number"))).drop("_slug", "_number")
 
 
 def top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

@@ -8,21 +8,36 @@ is found by counting hash buckets first.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.chat import stratum
 
-PARTS = 64
-
-
-def first_of_each(df: DataFrame, group: list[str], order: list[Column], n: int | Column, spread: Column, parts: int = PARTS) -> DataFrame:
-    """The first n rows of each group with their rank in ``_rank``; no task sorts more than a part of a group plus parts * n rows."""
+def first_of_each(df: DataFrame, group: list[str], order: list[Column], n: int | Column, spread: Column, parts: int | None = None) -> DataFrame:
+    """The first n rows of each group with their rank in ``_rank``; no task sorts more than a part of a group (as many as there are shuffle partitions) or parts * n rows."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = Window.partitionBy(*group, "_part").orderBy(*order)
     few = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(parts))).withColumn("_n", F.row_number().over(part)).where(F.col("_n") <= n).drop("_n", "_part")
     return few.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_rank") <= n)
 
 
+def ranked(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
+    """df with the rank from 0 of each row in its group, however large a group is.
+
+    Rows are put into ranges of (group, order); a row's rank is its place in
+    its range plus the rows of its group in the ranges before, which are
+    counted by range.
+    """
+    ranges = df.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = ranges.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_range")) - F.col("_n")
+    starts = counts.select(group, "_range", before.alias("_start"))
+    place = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order))
+    placed = ranges.withColumn("_place", place).join(starts, [group, "_range"])
+    return placed.withColumn(out, F.col("_start") + F.col("_place") - 1).drop("_range", "_start", "_place")
+
+
 def balanced(df: DataFrame, group: str, score: str, key: str, most: int) -> DataFrame:
     """At most ``most`` rows: with one group its best; else the best most // 2 of each, the rest filled from groups by falling size; and of all this the first.
 
@@ -47,7 +62,7 @@ def balanced(df: DataFrame, group: str, score: str, key: str, most: int) -> Data
     return chosen.drop("_quota", "_rank")
 
 
-def split(df: DataFrame, strata: list[str], key: str, ratio: tuple[int, int] = (9, 10), order: Column | None = None, keep_one: bool = True, buckets: int = 256) -> DataFrame:
+def split(df: DataFrame, strata: list[str], key: str, ratio: tuple[int, int] = (9, 10), order: Column | None = None, keep_one: bool = True) -> DataFrame:
     """df with ``split`` = train or validation: of each stratum floor(n * ratio) rows, in a hash order, are for training.
 
     With keep_one a stratum of several rows leaves one for validation.  Counts
@@ -55,7 +70,7 @@ def split(df: DataFrame, strata: list[str], key: str, ratio: tuple[int, int] = (
     bucket it falls in are ranked, so a stratum of any size is cut in parallel.
     """
     h = F.md5(F.col(key).cast("string").cast("binary")) if order is None else order
-    rows = df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, 2), 16, 10).cast("int") % F.lit(buckets))
+    rows = df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))  # 4,096 buckets
     names = [f"_s{i}" for i in range(len(strata))]
     rows = rows.withColumns({n: F.coalesce(F.col(s).cast("string"), F.lit("unknown")) for n, s in zip(names, strata)})
     counts = rows.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_c"))

@@ -245,3 +245,11 @@ def test_first_of_each_is_the_whole_rank(spark):
     got = sampling.first_of_each(spark.createDataFrame(rows, "id long, g string, s int"), ["g"], [F.col("s").desc(), F.col("id")], 9, F.col("id"), parts=4)
     want = {r[0] for g, own in itertools.groupby(sorted(rows, key=lambda r: (r[1], -r[2], r[0])), key=lambda r: r[1]) for r in list(own)[:9]}
     assert {r.id for r in got.collect()} == want
+
+
+def test_ranks_of_a_hot_group(spark):
+    rng = random.Random(11)
+    rows = [("hot" if k % 3 else "cold", rng.randrange(50), k) for k in range(500)]
+    got = sampling.ranked(spark.createDataFrame(rows, "g string, s int, id long").repartition(5), "g", [F.col("s"), F.col("id")], "r")
+    want = {i: n for g in ("hot", "cold") for n, (_, _, i) in enumerate(sorted(r for r in rows if r[0] == g))}
+    assert {r.id: r.r for r in got.collect()} == want
