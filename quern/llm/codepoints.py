@@ -58,7 +58,7 @@ class Tables:
         self.alnum = np.zeros(top, bool)
         self.lower = np.arange(top, dtype=np.uint32)
         self.work = np.zeros(top, bool)  # code points that one_form may change or that may combine
-        flat: list[int] = []
+        flat: list[int] = [0]  # so that 0 as a start means none
         pairs: dict[int, int] = {}
         norm, category, combining, decomposition = unicodedata.normalize, unicodedata.category, unicodedata.combining, unicodedata.decomposition
         for cp in range(top):
@@ -108,7 +108,6 @@ class Tables:
         self.pair_to = np.array([pairs[k] for k in sorted(pairs)], np.uint32)
         self.second[self.pair_keys & (1 << 21) - 1] = True
         self.work |= self.second
-        self.plain = ~self.work  # neither changed nor combining
 
 
 @functools.cache
@@ -164,7 +163,7 @@ def decompose(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     at = np.zeros(len(codes) + 1, np.int64)
     np.cumsum(n, out=at[1:])
     out = np.repeat(codes, n)
-    touched = np.flatnonzero(t.work[codes] & (n > 0) & ((t.start[codes] > 0) | (codes == t_first(t))))
+    touched = np.flatnonzero((t.start[codes] > 0) & (n > 0))
     if touched.size:
         n_t = n[touched].astype(np.int64)
         inner = np.arange(n_t.sum()) - np.repeat(np.cumsum(n_t) - n_t, n_t)
@@ -172,17 +171,6 @@ def decompose(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, at[offsets]
 
 
-@functools.cache
-def _first_start(_: int) -> int:
-    t = tables()
-    return int(np.flatnonzero((t.start == 0) & t.work & (t.length > 0) & (t.ccc == 0) & ~t.second)[0]) if len(t.flat) else -1
-
-
-def t_first(t: Tables) -> int:
-    """The one code point whose decomposition begins at 0 of the flat table."""
-    return _first_start(id(t))
-
-
 def reorder(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Combining marks in order of their class within each run (stable)."""
     ccc = tables().ccc[codes]
@@ -254,31 +242,20 @@ def one_form(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     Code points that neither change nor combine pass through untouched; only
     rows that hold another are worked on.
     """
-    t = tables()
-    busy = t.work[codes]
-    if busy.any():
-        many = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(busy, out=many[1:])
-        simple = _simple(codes, busy)
-        if not simple:
-            codes, offsets = decompose(codes, offsets)
-            codes = reorder(codes, offsets)
-            codes, offsets = recompose(codes, offsets)
+    busy = tables().work[codes]
+    if busy.any() and not stable()[codes[busy]].all():
+        codes, offsets = decompose(codes, offsets)
+        codes = reorder(codes, offsets)
+        codes, offsets = recompose(codes, offsets)
     return squeeze(codes, offsets)
 
 
-def _simple(codes: np.ndarray, busy: np.ndarray) -> bool:
-    """Whether all busy code points are composed letters that stay (no marks, nothing that changes)."""
-    t = tables()
-    return bool(stable()[codes[busy]].all())
-
-
 @functools.cache
 def stable() -> np.ndarray:
     """Code points that decompose, but whose one form on their own is themselves and that are no marks."""
     t = tables()
     out = np.zeros(len(t.work), bool)
-    for cp in np.flatnonzero(t.work & (t.length > 0) & (t.ccc == 0) & ~t.second):
+    for cp in np.flatnonzero((t.start > 0) & (t.length > 0) & (t.ccc == 0) & ~t.second):
         full = t.flat[t.start[cp] : t.start[cp] + t.length[cp]]
         out[cp] = unicodedata.normalize("NFC", "".join(map(chr, full.tolist()))) == chr(cp)
     return out
