@@ -7,6 +7,7 @@ g generators.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -765,7 +766,7 @@ def v5_weak_check(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "conversation").select("entry_id", validate.weak_error(F.col("messages")).isNull().alias("valid"))
 
 
-def _sql_parameters() -> str:
+def _sql_parameters(name: str = "name", a: str = "a") -> str:
     out = "CASE WHEN NOT json_valid(a) OR json_type(a) <> 'OBJECT' THEN 'Invalid JSON in ''arguments''' WHEN NOT list_contains(" + sql_list(list(validate.TOOLS)) + ", name) THEN 'Unknown function: ' || name"
     for tool, params in validate.TOOLS.items():
         names = sql_list([p[0] for p in params])
@@ -779,7 +780,7 @@ def _sql_parameters() -> str:
             kinds = "('UBIGINT', 'BIGINT', 'BOOLEAN')" if kind == "integer" else "('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN')"
             out += f" WHEN name = '{tool}' AND {t} NOT IN {kinds} THEN 'Parameter ''{p}'' must be {'an integer' if kind == 'integer' else 'a number'}'"
             out += f" WHEN name = '{tool}' AND {v} < {least} THEN 'Parameter ''{p}'' below minimum: {least}' WHEN name = '{tool}' AND {v} > {most} THEN 'Parameter ''{p}'' above maximum: {most}'"
-    return out + " END"
+    return re.sub(r"\ba\b(?=[,)])", a, re.sub(r"\bname\b", name, out)) + " END"
 
 
 @query(f"SELECT entry_id, call_id, {_sql_parameters()} AS error FROM ({_ARGS}) WHERE a IS NOT NULL")
@@ -787,7 +788,32 @@ def v6_parameter_errors(spark: SparkSession, folder: str) -> DataFrame:
     return _calls(spark, folder).where("a is not null").select("entry_id", "call_id", validate.parameters_error(F.col("name"), F.col("a")).alias("error"))
 
 
-@query()
+_FAULTS = f"list_filter(list_transform({_CALLS}, lambda c: {_sql_parameters('c.function.name', 'c.function.arguments')}), lambda e: e IS NOT NULL)"
+
+
+@query(f"SELECT entry_id, ({_FAULTS})[1] AS error FROM conversation")
+def v7_calls_error(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "conversation").select("entry_id", validate.calls_error(F.col("messages")).alias("error"))
+
+
+_CALLING = "list_filter(messages, lambda m: m.role = 'assistant' AND coalesce(len(m.tool_calls), 0) > 0)"
+_KNOWN = sql_list(validate.CONDITIONS)
+
+
+@query(f"""
+WITH c AS (SELECT entry_id, ({_CALLING})[-1].tool_calls[1].function AS f, (list_filter(messages, lambda m: m.role = 'tool'))[-1].content AS told FROM conversation),
+d AS (SELECT entry_id, f IS NULL OR told IS NULL AS nothing, f.name AS name, CASE WHEN json_valid(f.arguments) THEN f.arguments END AS a, CASE WHEN json_valid(told) THEN told END AS j FROM c),
+e AS (SELECT *, TRY_CAST(json_extract_string(a, '$.latitude') AS DOUBLE) AS lat, TRY_CAST(json_extract_string(a, '$.longitude') AS DOUBLE) AS lon, TRY_CAST(json_extract_string(j, '$.temperature') AS DOUBLE) AS t,
+  coalesce(json_extract_string(j, '$.condition'), 'unknown') AS cond, TRY_CAST(json_extract_string(j, '$.humidity') AS DOUBLE) AS hum FROM d),
+p AS (SELECT entry_id, arg_min({{'city': city, 'lo': least(summer_lo, winter_lo) - 15, 'hi': greatest(summer_hi, winter_hi) + 15}}, {{'d': (l.latitude - lat) * (l.latitude - lat) + (l.longitude - lon) * (l.longitude - lon), 'p': pos}}) AS place
+  FROM e CROSS JOIN locations l WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY entry_id)
+SELECT e.entry_id, CASE WHEN nothing THEN NULL WHEN j IS NULL THEN 'Tool response is not valid JSON' WHEN json_extract_string(j, '$.error') = 'true' THEN NULL
+  WHEN name = 'get_current_weather' AND t IS NOT NULL THEN CASE WHEN t NOT BETWEEN -60 AND 60 THEN 'Temperature ' || CAST(t AS VARCHAR) || '°C out of reasonable range'
+    WHEN t NOT BETWEEN place.lo AND place.hi THEN 'Temperature ' || CAST(t AS VARCHAR) || '°C unrealistic for ' || place.city
+    WHEN NOT list_contains({_KNOWN}, cond) THEN 'Invalid weather condition: ' || cond WHEN hum NOT BETWEEN 0 AND 100 THEN 'Humidity out of range (0-100)' END
+  WHEN name = 'get_forecast' AND json_type(j, '$.daily') = 'ARRAY' AND json_array_length(j, '$.daily') <> coalesce(TRY_CAST(json_extract_string(a, '$.days') AS BIGINT), 0)
+    THEN 'Forecast days mismatch: requested ' || coalesce(json_extract_string(a, '$.days'), '0') || ', got ' || json_array_length(j, '$.daily') END AS error
+FROM e LEFT JOIN p ON e.entry_id = p.entry_id""")
 def v8_weather_errors(spark: SparkSession, folder: str) -> DataFrame:
     places = validate.gazetteer(table(spark, folder, "locations"))
     return spread(table(spark, folder, "conversation")).select("entry_id", validate.weather_error(F.col("messages"), places).alias("error"))
