@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
-from quern.llm.common import binary_rows, binary_values, expanded, keep, verified
+from quern.llm.common import binary_rows, binary_values, expanded, keep, small, verified
 from quern.session import spread, table
 
 SKETCH = 1 << 22
@@ -57,24 +57,46 @@ def gram_rows(rows: DataFrame, n: int = 3, min_words: int = 20) -> DataFrame:
     return rows.where("text is not null and id is not null and held is not null").select("held", "id", "text").mapInArrow(run, "held boolean, id long, d1 long, d2 long, grams binary")
 
 
+BLOCK = 1 << 10  # cells of a row of the sketch
+
+
 def sketch(sets: DataFrame, size: int = SKETCH) -> np.ndarray:
-    """How many records hold a hash of each of ``size`` cells, capped at 65,535: at most 8 MB for any number of records."""
+    """How many records hold a hash of each of ``size`` cells, capped at 65,535: 8 MB for any number of records.
+
+    Every task adds its cells up and sends them as blocks of two bytes a cell,
+    most of which are empty and compress; blocks are added up where they meet.
+    """
+    block = min(BLOCK, size)
+
+    def sent(cells: np.ndarray, blocks: np.ndarray) -> pa.RecordBatch:
+        rows = np.minimum(cells, 65535).astype("<u2")
+        return pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["block", "cells"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(size, np.int64)
         for batch in batches:
             flat, _ = binary_values(batch.column("grams"), np.uint64)
             cells += np.bincount((flat % np.uint64(size)).astype(np.int64), minlength=size)
-        used = np.flatnonzero(cells)
-        for k in range(0, len(used), 100_000):
-            part = used[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(cells[part])], names=["cell", "n"])
+        cells = cells.reshape(-1, block)
+        used = np.flatnonzero(cells.any(1))
+        if len(used):
+            yield sent(cells[used], used)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("block").to_pylist(), batch.column("cells").to_pylist()):
+                cells = np.frombuffer(raw, "<u2").astype(np.int64)
+                sums[k] = sums[k] + cells if k in sums else cells
+        if sums:
+            yield sent(np.stack(list(sums.values())), np.array(list(sums)))
 
-    sums = sets.select("grams").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
-    out = np.ones(size, np.uint16)
-    got = sums.select("cell", F.least("n", F.lit(65535)).cast("int").alias("n")).toArrow()
-    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return out
+    kind = "block int, cells binary"
+    got = sets.select("grams").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).toArrow()
+    out = np.zeros((size // block, block), np.uint16)
+    for k, raw in zip(got.column("block").to_pylist(), got.column("cells").to_pylist()):
+        out[k] = np.frombuffer(raw, "<u2")
+    return out.reshape(-1)
 
 
 def rare_prefixes(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
@@ -107,8 +129,10 @@ def overlaps(rows: DataFrame, threshold: float = 0.6, n: int = 3, min_words: int
     """Links (a: evaluation, b: training, size_a, size_b, shared) of class representatives of rows (held, id, text), and members (rep, id, held)."""
     sets = keep(gram_rows(rows, n, min_words), now=True)
     classes = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"))
-    members = sets.select("held", "d1", "d2", "id").join(classes, ["held", "d1", "d2"]).select("rep", "id", "held")
-    reps = sets.join(classes.select("held", F.col("rep").alias("id")), ["held", "id"], "left_semi")
+    classed = sets.select("held", "d1", "d2", "id").join(classes, ["held", "d1", "d2"])
+    members = classed.select("rep", "id", "held")
+    copies = classed.where("id != rep").select("held", "id", "d1").distinct()
+    reps = sets.join(small(copies), ["held", "id", "d1"], "left_anti")
     prefixes = keep(rare_prefixes(reps, sketch(sets), threshold), now=True)
     one = prefixes.where("held").select(F.col("id").alias("a"), F.col("size").alias("n"), "gram")
     two = prefixes.where("not held").select(F.col("id").alias("b"), F.col("size").alias("m"), "gram")
