@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from quern.llm import codepoints as cp
 
-POOL = "AeZoéş̣̣̇́̈̀각가Ａﬃ Åো̈́ᾳガｶﾞΩ´օаѕ​­﻿  \t\n\U0001f327"
+POOL = "AeZoéş̣̇́̈̀각가Ａﬃ Åoо́ᾳガｶ゙ﾞΩ´оаѕ​­﻿  \t\n\U0001f327"
 
 
 def brute(s: str) -> str:
