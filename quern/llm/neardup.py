@@ -12,10 +12,9 @@
    nodes is dropped once they exceed the error budget (40 of 128).
 5. What is left is compared exactly.
 
-No bucket of more than HOT rows goes to one task: its rows meet again in
-buckets of six joint hashes, and where even those are too large, the trie is
-cut into blocks of bounded size and every pair of blocks is a task of its own,
-which loses nothing.
+No bucket of more than HOT classes goes to one task: it is cut into blocks of
+bounded size and every pair of blocks is joined on its own, which loses
+nothing, so the pairs found do not depend on HOT.
 
 Defined results: null, empty and short texts (under min_words) are in no pair;
 in ``classes`` they are a class of their own with no links.
@@ -198,41 +197,33 @@ def _join_buckets(rows: DataFrame, budget: int, blocks: bool = False) -> DataFra
 
 
 def _by_size(rows: DataFrame) -> DataFrame:
-    """The distinct rows (key, d1) of buckets that hold two classes or more, with n, a bound of the bucket's size.
+    """The distinct rows (key, d1) whose bucket holds two classes or more, with n, the classes in the bucket.
 
-    Buckets are sized by pre-aggregation, in which copies of one class end;
-    the join back is one that adaptive execution splits where a key is skewed.
+    Buckets are sized by pre-aggregation; the join back is one that adaptive
+    execution splits where a key is skewed.
     """
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo != hi").select("key", "n")
-    return rows.join(sizes, "key").groupBy("key", "d1").agg(F.first("n").alias("n"))
+    return rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
 
 
 def candidates(sig: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
     """Distinct candidate pairs (a, b) of the classes of signatures (d1, f1, f2, keys)."""
-    prints = sig.select("d1", "f1", "f2").dropDuplicates(["d1"])
-    sized = keep(_by_size(sig.select("d1", F.explode("keys").alias("key"))))
+    classes = keep(sig.dropDuplicates(["d1"]))  # copies end here, so buckets are sized by classes
+    prints = classes.select("d1", "f1", "f2")
+    sized = keep(_by_size(classes.select("d1", F.explode("keys").alias("key"))))
     found = _join_buckets(sized.where(F.col("n") <= hot).join(prints, "d1"), budget)
     large = sized.where(F.col("n") > hot)
     if not large.isEmpty():
-        # rows of large buckets meet again where a second band agrees as well
-        classes = sig.select("d1", "keys").join(large.select("d1").distinct(), "d1", "left_semi").dropDuplicates(["d1"])
-        deeper = large.select("d1", F.col("key").alias("first")).join(classes, "d1").select("d1", "first", F.explode("keys").alias("second")).where("first != second")
-        deeper = deeper.select("d1", F.xxhash64(F.least("first", "second"), F.greatest("first", "second")).alias("key")).distinct()
-        again = keep(_by_size(deeper))
-        found = found.unionByName(_join_buckets(again.where(F.col("n") <= hot).join(prints, "d1"), budget))
-        huge = again.where(F.col("n") > hot)
-        if not huge.isEmpty():
-            # and where those are large too, blocks of the trie's leaves meet pair by pair
-            huge = huge.join(prints, "d1").withColumn("blocks", F.ceil(F.col("n") / F.lit(max(1, hot // 2))).cast("int"))
-            huge = huge.withColumn("own", F.pmod(F.xxhash64("f1", "f2", "d1"), F.col("blocks")).cast("int"))
-            huge = huge.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            huge = huge.select(
-                "d1", "f1", "f2",
-                F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                (F.col("own") < F.col("other")).alias("side"),
-                (F.col("own") == F.col("other")).alias("lone"),
-            )
-            found = found.unionByName(_join_buckets(huge, budget, blocks=True))
+        # blocks of large buckets meet pair by pair
+        large = large.join(prints, "d1").withColumn("blocks", F.ceil(F.col("n") / F.lit(max(1, hot // 2))).cast("int"))
+        large = large.withColumn("own", F.pmod(F.xxhash64("f1", "f2", "d1"), F.col("blocks")).cast("int"))
+        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        large = large.select(
+            "d1", "f1", "f2",
+            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+            (F.col("own") < F.col("other")).alias("side"),
+            (F.col("own") == F.col("other")).alias("lone"),
+        )
+        found = found.unionByName(_join_buckets(large, budget, blocks=True))
     return found.distinct()
 
 

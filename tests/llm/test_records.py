@@ -73,6 +73,34 @@ def test_hot_buckets_lose_nothing(spark, hot):
     assert len(found(spark, texts)) >= 0.99 * len(brute_pairs(texts, 10))
 
 
+def lone_band_pairs(spark, n=500):
+    """Pairs of texts of similarity 0.6 to 0.65 that have exactly one bucket in common, within the budget."""
+    rng = random.Random(7)
+    texts = []
+    for k in range(n):
+        w = [f"v{k}x{j}" for j in range(41)]
+        texts.append(" ".join(w))
+        for j in (5, 17, 29):
+            w[j + rng.randrange(6)] = f"z{k}x{j}"
+        texts.append(" ".join(w))
+    rows = spark.createDataFrame([(0, k, t) for k, t in enumerate(texts)], "tb tinyint, id long, text string")
+    sig = {r.id: r for r in neardup.signatures(rows).collect()}
+    apart = lambda a, b: sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in ((a.f1, b.f1), (a.f2, b.f2)))
+    pairs = [(sig[k], sig[k + 1]) for k in range(0, 2 * n, 2)]
+    return [(texts[a.id], texts[b.id]) for a, b in pairs if len(set(a.keys) & set(b.keys)) == 1 and apart(a, b) <= neardup.BUDGET]
+
+
+def test_a_pair_whose_only_common_band_is_hot_is_found(spark):
+    pairs = lone_band_pairs(spark)
+    assert len(pairs) >= 5 and all(0.6 <= similarity(a, b) <= 0.65 for a, b in pairs)
+    texts = [t for p in pairs for t in p]
+    want = {(k, k + 1) for k in range(0, len(texts), 2)}
+    assert found(spark, texts, hot=1) == want
+    # copies of one text: its buckets hold many rows, but few classes
+    copied = texts + [texts[0]] * 6
+    assert found(spark, copied, hot=5) == brute_pairs(copied, 10) >= want
+
+
 def test_the_trie_finds_all_pairs_within_the_budget():
     rng = np.random.default_rng(3)
     for budget in (0, 3, 30):
