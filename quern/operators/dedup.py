@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import let
 
 PRIME = 2147483647
-PERMUTATIONS = 117
+PERMUTATIONS = 117  # of a threshold of 0.8
 #: (bands, rows) by threshold: the least of the mean of both error areas for about 128 permutations.
 BANDS = {0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25)}
 
@@ -86,14 +86,15 @@ def _signature(h: np.ndarray, pairs: np.ndarray, step: int = 20_000) -> np.ndarr
 
 
 def bands(signature: Column, threshold: float = 0.8) -> Column:
-    """array<struct<band, key>> of a signature: the rows of each band joined."""
+    """array<struct<band, key>> of a signature of as many permutations as the bands take: the rows of each band joined."""
     b, r = BANDS[threshold]
     return F.array(*[F.struct(F.lit(k).alias("band"), F.array_join(F.slice(signature, k * r + 1, r).cast("array<string>"), ",").alias("key")) for k in range(b)])
 
 
 def band_rows(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
     """(id, band, key) of every record, the band's key as a 16-byte digest."""
-    sig = df.select(F.col(key).alias("id"), minhash(F.col(text), k).alias("s"))
+    b, r = BANDS[threshold]
+    sig = df.select(F.col(key).alias("id"), minhash(F.col(text), k, b * r).alias("s"))
     return sig.select("id", F.explode(bands(F.col("s"), threshold)).alias("b")).select("id", "b.band", F.md5(F.col("b.key").cast("binary")).alias("key"))
 
 

@@ -1,5 +1,6 @@
 """Operators on small tables: rules, invariants and brute force."""
 
+import hashlib
 import itertools
 import random
 
@@ -40,6 +41,30 @@ def test_keep_first_is_the_two_hop_rule(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.9])
+def test_bands_of_every_threshold_are_those_of_brute_force(spark, threshold):
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(200)).strip()
+    values = ["".join(rng.choice("ijklmnop ") for _ in range(120)).strip() for _ in range(5)] + [base]
+    for n in (1, 2, 4, 8, 16, 32):
+        values.append("".join(rng.choice("qrst") if rng.random() < n / 200 else c for c in base))
+    b, r = dedup.BANDS[threshold]
+    pairs = dedup.coefficients(b * r)
+    keys = []
+    for t in values:
+        hashes = {int(hashlib.md5(t[i : i + 3].encode()).hexdigest()[:7], 16) for i in range(len(t) - 2)}
+        sig = [min((a * x + c) % dedup.PRIME for x in hashes) for a, c in pairs]
+        assert len(sig) == b * r
+        keys.append({(k, hashlib.md5(",".join(map(str, sig[k * r : k * r + r])).encode()).hexdigest()) for k in range(b)})
+    df = texts(spark, values)
+    got = {(x.id, x.band, x.key) for x in dedup.band_rows(df, "id", "text", threshold).collect()}
+    assert got == {(k, *x) for k, own in enumerate(keys) for x in own}
+    mates = [[j for j in range(len(values)) if keys[k] & keys[j]] for k in range(len(values))]
+    gone = {k for k in range(len(values)) if any(min(mates[j]) < k for j in mates[k])}
+    assert {x.id for x in dedup.near_keys(df, "id", "text", threshold).collect()} == gone
+    assert gone.isdisjoint(range(6)) and gone
+
+
 def test_shingles(spark):
     r = spark.range(1).select(dedup.shingles(F.lit("ABCAB c")).alias("a"), dedup.shingles(F.lit("ab")).alias("b"), dedup.shingles(F.lit(None).cast("string")).alias("c"), dedup.shingles(F.lit("a\U0001f327bc")).alias("d")).first()
     assert sorted(r.a) == sorted({"abc", "bca", "cab", "ab ", "b c"}) and r.b == ["ab"] and r.c == [""] and len(r.d) == 2
