@@ -3,7 +3,7 @@
 ``exact`` keeps one row of each equal text.  ``lsh`` is banded MinHash over
 character shingles: ``keep_first`` removes a record if a bucket-mate of some
 record comes before it (unverified candidates, as the reference semantics
-have it), ``verified_pairs`` compares candidates exactly.
+have it).
 
 Scale: texts that are equal are collapsed before shingling; signatures are
 computed in one Arrow pass (one hash per shingle, then the permutations as

@@ -36,10 +36,12 @@ def normalize(items: DataFrame, key: str, verdicts: DataFrame | None = None, opt
     """Items normalized, without duplicates, in one language, safe.
 
     The text of a row is the first of content, text, cleaned_title and title
-    that is not empty.  Modes of deduplication: exact, lsh (as the reference
-    has it) or verified.
+    that is not empty.  Modes of deduplication: exact or lsh (as the reference
+    has it, with unverified candidates); any other is an error.
     """
     o = config.merged(config.DEFAULTS, options or {})
+    if o["deduplication"]["mode"] not in ("exact", "lsh"):
+        raise ValueError(f"unknown mode of deduplication: {o['deduplication']['mode']!r}")
     rows = text.normalize_columns(items, o["normalization"]["form"]).withColumn("_text", text.first_text(items))
     if o["quality"]["most"]:
         rows = rows.where(F.length("_text") <= o["quality"]["most"])

@@ -65,6 +65,15 @@ def test_bands_of_every_threshold_are_those_of_brute_force(spark, threshold):
     assert gone.isdisjoint(range(6)) and gone
 
 
+def test_unknown_modes_of_deduplication_are_errors(spark):
+    items = spark.createDataFrame([(1, "some text")], "id long, content string")
+    for mode in ("verified", "LSH", ""):
+        with pytest.raises(ValueError, match="mode of deduplication"):
+            pipelines.normalize(items, "id", options={"deduplication": {"mode": mode}})
+    for mode in ("exact", "lsh"):
+        assert pipelines.normalize(items, "id", options={"deduplication": {"mode": mode}}).counts().where("stage = 'dedup'").first().n == 1
+
+
 def test_shingles(spark):
     r = spark.range(1).select(dedup.shingles(F.lit("ABCAB c")).alias("a"), dedup.shingles(F.lit("ab")).alias("b"), dedup.shingles(F.lit(None).cast("string")).alias("c"), dedup.shingles(F.lit("a\U0001f327bc")).alias("d")).first()
     assert sorted(r.a) == sorted({"abc", "bca", "cab", "ab ", "b c"}) and r.b == ["ab"] and r.c == [""] and len(r.d) == 2
