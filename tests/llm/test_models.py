@@ -1,6 +1,7 @@
 """Problems 1 and 6: the trained models."""
 
 import random
+import zlib
 
 import numpy as np
 
@@ -39,6 +40,14 @@ def test_defects():
     assert [(c[1], g) for c, g in zip(cases, got)] == [(c[1], c[2]) for c in cases]
 
 
+def test_all_words_of_a_long_clause_are_features():
+    answer = " ".join(f"word{k}" for k in range(60)) + " so i must decline to answer"
+    _, rows, sizes = pairs.featurize("What is the weather?", answer, {})
+    assert sizes == [66]
+    for feature in ("w:word59", "w:decline", "p:must decline", "p:to answer"):
+        assert zlib.crc32(feature.encode()) % pairs.DIM in rows[0]
+
+
 def test_an_untrained_field_and_odd_texts():
     field = pairs.train([])
     for a in ("x", "🌧", "a" * 50_000, "\n\n.", "? ! ."):
