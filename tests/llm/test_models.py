@@ -108,3 +108,21 @@ def test_scores_do_not_depend_on_the_batch():
 
 def test_no_labels():
     assert toxic.train([], ["x"]) is None and toxic.train([("a b c", 1.0)], []) is None
+
+
+def test_end_shares_are_counted_over_all_answers(spark):
+    rng = random.Random(3)
+    answers = [" ".join(rng.choice(EN + DE).replace("river", f"river{k % 9}") for _ in range(2)) for k in range(60)] + [None, "", "Here it ends at dusk.", "Again it ends at dusk.", "The dusk is long and it ends at dusk", "Dusk.", "🌧"]
+    rows = spark.createDataFrame([(k, 0, f"q{k}", a) for k, a in enumerate(answers)], "entry_id long, msg_index int, question string, answer string").repartition(5)
+    seen, ended = pairs.count_ends([pairs.cp_form(a) for a in answers if a])
+    want = {w: ended[w] / n for w, n in seen.items() if n >= 3}
+    shares = pairs.end_shares(rows)
+    assert {r.key: r.share for r in shares.collect()} == want
+    assert seen["dusk"] == 5 and want["dusk"] == 3 / 5 and want["at dusk"] == 2 / 3
+    # what a sample of one pair has never seen is known all the same
+    assert pairs.learned(rows, shares, sample=1).ends.items() <= want.items()
+    got = {r.entry_id: (r.answer, r.one, r.share_one, r.two, r.share_two) for r in pairs.with_shares(rows, shares).collect()}
+    assert len(got) == len(answers)
+    for k, a in enumerate(answers):
+        one, two = pairs.last_keys(pairs.cp_form(a))
+        assert got[k] == (a, one, want.get(one), two, want.get(two))
