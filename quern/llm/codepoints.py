@@ -110,9 +110,24 @@ class Tables:
         self.work |= self.second
 
 
-@functools.cache
+_held: list[Tables] = []  # the tables of this process
+
+
 def tables() -> Tables:
-    return Tables()
+    if not _held:
+        _held.append(Tables())
+    return _held[0]
+
+
+def use(given: Tables) -> None:
+    """Take broadcast tables, where none have been derived in this process."""
+    if not _held:
+        _held.append(given)
+
+
+def broadcast_tables(spark):
+    """The tables as a broadcast value: 14 MB before compression, for any data."""
+    return spark.sparkContext.broadcast(tables())
 
 
 def explode(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:

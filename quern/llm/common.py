@@ -80,6 +80,57 @@ def pair_overlaps(a: pa.Array, b: pa.Array, kind: np.dtype) -> tuple[np.ndarray,
     return np.bincount(rows[~side], minlength=n), np.bincount(rows[side], minlength=n), np.bincount(rows[1:][same], minlength=n)
 
 
+BITMAP = 1 << 27  # bits of a broadcast bitmap at most: 16 MB
+_BLOCK = 1 << 13  # bytes of a row of it
+
+
+def bitmap(values: DataFrame, column: str, count: int) -> np.ndarray:
+    """Bits (as bytes) of the hashes in a long column: bit h mod size is set for every hash h.
+
+    Eight bits for each of ``count`` values, but BITMAP at most, so it may be
+    broadcast whatever the data's size; with more values it lets more through
+    and stays right, as whoever asks it checks exactly afterwards.  Tasks OR
+    their bits and send the blocks that hold any.
+    """
+    size = min(BITMAP, 1 << max(16, int(8 * max(count, 1)).bit_length()))
+    block = min(_BLOCK, size // 8)
+
+    def sent(rows: np.ndarray, blocks: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["block", "bits"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = None
+        for batch in batches:
+            flags = np.zeros(size, bool) if flags is None else flags
+            flags[batch.column(0).to_numpy().view(np.uint64) % np.uint64(size)] = True
+        if flags is not None:
+            rows = np.packbits(flags, bitorder="little").reshape(-1, block)
+            used = np.flatnonzero(rows.any(1))
+            yield sent(rows[used], used)
+
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("block").to_pylist(), batch.column("bits").to_pylist()):
+                bits = np.frombuffer(raw, np.uint8)
+                sums[k] = sums[k] | bits if k in sums else bits
+        if sums:
+            yield sent(np.stack(list(sums.values())), np.array(list(sums)))
+
+    kind = "block int, bits binary"
+    got = values.select(column).mapInArrow(mark, kind).repartition("block").mapInArrow(union, kind).toArrow()
+    out = np.zeros((size // 8 // block, block), np.uint8)
+    for k, raw in zip(got.column("block").to_pylist(), got.column("bits").to_pylist()):
+        out[k] = np.frombuffer(raw, np.uint8)
+    return out.reshape(-1)
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of some unsigned hashes have their bit set."""
+    at = values % np.uint64(len(bits) * 8)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+
 def small(df: DataFrame, limit: int = 250_000) -> DataFrame:
     """df kept, and marked for broadcast if it has at most ``limit`` rows (of a few numbers each); else it is joined by shuffle."""
     df = keep(df)
@@ -150,18 +201,21 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def prefix_by_hash(rows: DataFrame, leaf: list[str], quotas: DataFrame, key: Column, weight: str, buckets: int = 1024) -> DataFrame:
+def prefix_by_hash(rows: DataFrame, leaf: list[str], quotas: DataFrame, key: Column, weight: str, per_bucket: int = 2000) -> DataFrame:
     """The rows of each leaf that come first in the order of ``key`` until ``quota`` is used up.
 
     ``quotas`` has leaf..., quota.  A leaf may hold a third of all rows, so no
     task sorts one: weights are summed by (leaf, bucket of the key's range),
     the running sum goes over buckets only, and just the bucket in which the
-    quota ends is ranked by row; the number of buckets grows with the rows by
-    the caller's choice.  A row is taken if the weights before it leave room
-    for all of its own (``weight`` 0 is taken while room is left).
+    quota ends is ranked by row.  There are as many buckets as bring
+    ``per_bucket`` rows of the largest leaf into one, however many rows there
+    are.  A row is taken if the weights before it leave room for all of its
+    own (``weight`` 0 is taken while room is left).
     """
     from pyspark.sql import Window
 
+    most = rows.groupBy(*leaf).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()["n"] or 0
+    buckets = max(16, -(-most // per_bucket))
     marked = rows.withColumn("_k", key).withColumn("_bucket", F.floor((F.col("_k").cast("double") / 18446744073709551616.0 + 0.5) * buckets))
     sums = marked.groupBy(*leaf, "_bucket").agg(F.sum(weight).alias("_sum"))
     running = Window.partitionBy(*leaf).orderBy("_bucket")

@@ -12,7 +12,7 @@ _MODULES = {
     "leaks": ("p2_found", "p2_overlaps"),
     "neardup": ("p3_found", "p3_classes"),
     "sample": ("p4_found", "p4_sample", "p4_report"),
-    "unify": ("p5_found", "p5_forms"),
+    "unify": ("p5_found", "p5_forms", "p5_classes"),
     "pairs": ("p6_found", "p6_clauses"),
     "bpe": ("p7_ids",),
     "mixing": ("p8_found", "p8_mix", "p8_report"),

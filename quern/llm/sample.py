@@ -3,14 +3,16 @@
 The records are counted by cell (persona x tone x first domain), and the
 counts of the target's cells, as many rows as the target has, go to the
 driver.  There a min-cost flow decides: supply flows through arcs that carry
-the persona and tone margins and the availability of each cell, floors come
-first, and a slack arc into every cell, dearer than any real supply, exposes
-what cannot be met.  The fractions of the cell quotas are rounded at random,
+the persona and tone margins and the availability of each cell, from the cells
+through arcs that carry the margins of first domains, floors come first, and a
+slack arc into every cell, dearer than any real supply, exposes what cannot be
+met.  The fractions of the cell quotas are rounded at random,
 keeping the total, and each cell's records are drawn by a seeded hash.
 
 Defined results: values are trimmed and lower-cased; null, missing and blank
 ones are 'unknown'; records without a conversation_id are never counted or
-drawn; of a conversation delivered twice the least entry_id is drawn; empty
+drawn; a conversation delivered with other tags counts as available in each of
+its cells, but is drawn only in the cell of its least entry_id; empty
 tables give an empty sample in which every positive target falls short.
 """
 
@@ -21,7 +23,7 @@ import math
 import random
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import keep, prefix_by_hash
@@ -100,46 +102,54 @@ def cell_columns(persona: Column, tone: Column, domain: Column) -> list[Column]:
 
 
 def tagged(conversation: DataFrame) -> DataFrame:
-    """(conversation_id, persona, tone, first_domain, entry_id): one row of each conversation in each of its cells."""
+    """(conversation_id, persona, tone, first_domain, entry_id, own): one row of each conversation in each of its cells; own marks the one in which it may be drawn."""
     rows = conversation.select(F.col("metadata.conversation_id").alias("conversation_id"), *cell_columns(F.col("tags.persona"), F.col("tags.tone"), F.get(F.col("tags.domain"), F.lit(0))), "entry_id")
-    return rows.where("conversation_id is not null").groupBy("conversation_id", *CELL).agg(F.min("entry_id").alias("entry_id"))
+    rows = rows.where("conversation_id is not null").groupBy("conversation_id", *CELL).agg(F.min("entry_id").alias("entry_id"))
+    first = F.row_number().over(Window.partitionBy("conversation_id").orderBy(F.col("entry_id").asc_nulls_last(), *CELL))  # a row for each cell of one conversation
+    return rows.withColumn("own", first == 1)
 
 
 def solve(cells: list[dict], size: int, seed: int = 4) -> list[dict]:
     """The cells with need, slack and quota added.
 
-    cells: dicts of persona, tone, first_domain, share (a Fraction), min_rows
-    and have (availability).  need is the larger of floor and share; slack is
-    what no record can fill; the quotas add up to size where availability
-    allows (to more where the floors alone exceed it).
+    cells: dicts of persona, tone, first_domain, share (a Fraction), min_rows,
+    have (conversations available in the cell) and, if some of them are to be
+    drawn in another cell, own (those to be drawn in this one).  need is the
+    larger of floor and share; slack is what no record can fill; the quotas
+    add up to size where availability allows (to more where the floors alone
+    exceed it).
     """
-    net, slack, inf = Network(), [], sum(c["have"] for c in cells) + size + sum(c["min_rows"] for c in cells) + 1
+    inf = sum(c["have"] for c in cells) + size + sum(c["min_rows"] for c in cells) + 1
     needs = [max(c["min_rows"], math.ceil(c["share"] * size)) for c in cells]
-    _carry(net, cells, needs, inf)
+    net, slack = Network(), []
+    _carry(net, cells, needs, [c["have"] for c in cells], inf)
     for k, (c, need) in enumerate(zip(cells, needs)):
         slack.append(net.arc("source", ("cell", k), need, 1000))
-        net.arc(("cell", k), "sink", need, 0)
+        net.arc(("cell", k), ("domain", c["first_domain"]), need, 0)
     net.push("source", "sink", sum(needs))
     out = [c | {"need": n, "slack": net.flow(s)} for c, n, s in zip(cells, needs, slack)]
 
     quotas = rounded([c["share"] * size for c in cells], size, random.Random(seed))
     quotas = [max(q, c["min_rows"]) for q, c in zip(quotas, cells)]
+    own = [c.get("own", c["have"]) for c in cells]
     net, arcs = Network(), []
-    _carry(net, cells, quotas, inf)
+    _carry(net, cells, quotas, own, inf)
     for k, (c, q) in enumerate(zip(cells, quotas)):
-        own = [net.arc(("cell", k), "sink", c["min_rows"], 0), net.arc(("cell", k), "sink", q - c["min_rows"], 20), net.arc(("cell", k), "sink", inf, 200)]
-        arcs.append(own)
-    net.push("source", "sink", max(size if cells else 0, sum(min(c["min_rows"], c["have"]) for c in cells)))
-    return [c | {"quota": sum(net.flow(a) for a in own)} for c, own in zip(out, arcs)]
+        domain = ("domain", c["first_domain"])
+        arcs.append([net.arc(("cell", k), domain, c["min_rows"], 0), net.arc(("cell", k), domain, q - c["min_rows"], 20), net.arc(("cell", k), domain, inf, 200)])
+    net.push("source", "sink", max(size if cells else 0, sum(min(c["min_rows"], n) for c, n in zip(cells, own))))
+    return [c | {"quota": sum(net.flow(a) for a in each)} for c, each in zip(out, arcs)]
 
 
-def _carry(net: Network, cells: list[dict], amounts: list[int], inf: int) -> None:
-    """Arcs that carry the margins: up to a margin free of cost, beyond it dearer for a persona than for its tones."""
+def _carry(net: Network, cells: list[dict], amounts: list[int], have: list[int], inf: int) -> None:
+    """Arcs that carry the margins: up to a margin free of cost, beyond it dearer for a persona than for a first domain, and for that than for its tones."""
     personas: dict[object, int] = {}
     tones: dict[object, int] = {}
+    domains: dict[object, int] = {}
     for c, n in zip(cells, amounts):
         personas[c["persona"]] = personas.get(c["persona"], 0) + n
         tones[c["persona"], c["tone"]] = tones.get((c["persona"], c["tone"]), 0) + n
+        domains[c["first_domain"]] = domains.get(c["first_domain"], 0) + n
     for p, n in personas.items():
         net.arc("source", ("persona", p), n, 0)
         net.arc("source", ("persona", p), inf, 7)
@@ -147,7 +157,10 @@ def _carry(net: Network, cells: list[dict], amounts: list[int], inf: int) -> Non
         net.arc(("persona", p), ("tone", p, t), n, 0)
         net.arc(("persona", p), ("tone", p, t), inf, 3)
     for k, c in enumerate(cells):
-        net.arc(("tone", c["persona"], c["tone"]), ("cell", k), c["have"], 0)
+        net.arc(("tone", c["persona"], c["tone"]), ("cell", k), have[k], 0)
+    for d, n in domains.items():
+        net.arc(("domain", d), "sink", n, 0)
+        net.arc(("domain", d), "sink", inf, 5)
 
 
 def rounded(values: list[Fraction], total: int, rng: random.Random) -> list[int]:
@@ -168,10 +181,10 @@ def solved(conversation: DataFrame, targets: DataFrame, fraction: int = 4, seed:
     size = rows.agg(F.countDistinct("conversation_id").alias("n")).first()["n"] // fraction
     goal = targets.select(*cell_columns(F.col("persona"), F.col("tone"), F.col("first_domain")), F.coalesce("target_share", F.lit(0.0)).alias("share"), F.coalesce("min_rows", F.lit(0)).alias("min_rows"))
     goal = goal.groupBy(*CELL).agg(F.max("share").alias("share"), F.max("min_rows").alias("min_rows"))
-    counts = rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("have"))
+    counts = rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("have"), F.count(F.when(F.col("own"), 1)).alias("own"))
     cells = [r.asDict() for r in goal.join(counts, CELL, "left").orderBy(*CELL).collect()]  # a row for each target
     for c in cells:
-        c["share"], c["have"] = Fraction(str(c["share"])), c["have"] or 0
+        c["share"], c["have"], c["own"] = Fraction(str(c["share"])), c["have"] or 0, c["own"] or 0
     return rows, solve(cells, size, seed), size
 
 
@@ -195,5 +208,5 @@ def p4_sample(spark: SparkSession, folder: str) -> DataFrame:
     """(conversation_id, persona, tone, first_domain, entry_id): the drawn sample."""
     rows, cells, _ = solved(table(spark, folder, "conversation"), table(spark, folder, "sample_targets"))
     quotas = spark.createDataFrame([(*(c[x] for x in CELL), c["quota"]) for c in cells if c["quota"]], "persona string, tone string, first_domain string, quota long")
-    one = rows.withColumn("_one", F.lit(1).cast("long"))
+    one = rows.where("own").drop("own").withColumn("_one", F.lit(1).cast("long"))
     return prefix_by_hash(one, CELL, quotas, F.xxhash64(F.lit(4), "conversation_id"), "_one").select("conversation_id", *CELL, "entry_id")

@@ -1,9 +1,9 @@
 """Problem 5: texts that look the same but are stored with other characters.
 
 ``forms`` explodes every text to positioned code points, joins them with the
-decomposition and look-alike tables (held by every worker, derived from
-Unicode data, so of fixed size), orders combining marks by class, recomposes
-and rebuilds the strings.  Positions are row offsets in numpy columns, so no
+decomposition and look-alike tables (derived once from Unicode data, so of
+fixed size, and broadcast), orders combining marks by class, recomposes and
+rebuilds the strings.  Positions are row offsets in numpy columns, so no
 code point is ever shuffled; a row with nothing to change is passed through.
 
 Defined results: a null text has the form null, an empty or blank one the
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
-from quern.llm.common import keep, table_name, text_rows
+from quern.llm.common import keep, small, table_name, text_rows
 
 _ASCII_SPACE = np.zeros(128, bool)
 _ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -49,8 +49,10 @@ def forms(rows: DataFrame, text: str = "text", out: str = "form") -> DataFrame:
     """rows with the one form of a text column added as ``out`` (null stays null)."""
     schema = rows.withColumn(out, F.lit("")).schema
     schema[out].nullable = True
+    tables = cp.broadcast_tables(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cp.use(tables.value)
         for batch in batches:
             texts = batch.column(text).to_pylist()
             made = [None if t is None else f for t, f in zip(texts, cp.one_form_texts(texts))]
@@ -65,8 +67,10 @@ def digests(rows: DataFrame) -> DataFrame:
 
     Rows whose form holds no letter or digit are left out: they are no case.
     """
+    tables = cp.broadcast_tables(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cp.use(tables.value)
         for batch in batches:
             texts, tb, ids = batch.column("text").to_pylist(), batch.column("tb").to_numpy(), batch.column("id").to_numpy()
             for a, b in cp.slices(texts):
@@ -86,19 +90,38 @@ def digests(rows: DataFrame) -> DataFrame:
     return rows.where("text is not null and id is not null").mapInArrow(run, "tb tinyint, id long, h1 long, h2 long, plain long")
 
 
+def kinds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of rows (tb, id, text): members (kind, form, tb, id), and kinds (form, kind, tb, least, n).
+
+    A form is all texts of a table that read the same, a kind those of them
+    stored alike but for ASCII white space; both are named by hashes.  Kinds
+    are counted by pre-aggregation, so copies cost a row each and no more.
+    """
+    d = digests(rows)
+    form = F.xxhash64("tb", "h1", "h2")
+    members = keep(d.select(F.xxhash64("tb", "h1", "h2", "plain").alias("kind"), form.alias("form"), "tb", "id").distinct(), now=True)  # rows may be repeated in the table
+    return members, members.groupBy("form", "kind", "tb").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+
+
+def kind_pairs(each: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of kinds of one form: only forms of several kinds get so far, so a form of one kind with any number of copies gives none."""
+    mixed = each.groupBy("form").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi")).where("lo != hi").select("form")
+    some = keep(each.select("form", "kind").join(mixed, "form"))
+    return some.select("form", F.col("kind").alias("a")).join(some.select("form", F.col("kind").alias("b")), "form").where("a < b").select("a", "b")
+
+
 def lookalike_pairs(rows: DataFrame) -> DataFrame:
     """Pairs (tb, id_a, id_b) of one table with the same form whose stored texts differ in more than ASCII white space.
 
-    Only classes that hold two kinds of stored text are joined; classes of
-    plain copies end at the pre-aggregated minimum and maximum.
+    Kinds are paired first, and each pair of kinds is then expanded to its
+    records: a million copies beside one variant are a million rows on the
+    way, as many as in the result.
     """
-    d = keep(digests(rows), now=True)
-    key = ["tb", "h1", "h2"]
-    mixed = d.groupBy(*key).agg(F.min("plain").alias("lo"), F.max("plain").alias("hi")).where("lo != hi").select(*key)
-    some = d.join(mixed, key)
-    a = some.select(*key, F.col("id").alias("id_a"), F.col("plain").alias("plain_a"))
-    b = some.select(*key, F.col("id").alias("id_b"), F.col("plain").alias("plain_b"))
-    return a.join(b, key).where("id_a < id_b and plain_a != plain_b").select("tb", "id_a", "id_b").distinct()
+    members, each = kinds(rows)
+    pairs = kind_pairs(each)
+    left = members.select(F.col("kind").alias("a"), "tb", F.col("id").alias("x")).join(small(pairs), "a")
+    both = left.join(members.select(F.col("kind").alias("b"), F.col("id").alias("y")), "b")
+    return both.select("tb", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).where("id_a < id_b").distinct()
 
 
 # ---------------------------------------------------------------- queries
@@ -113,3 +136,13 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
     """(table_name, id, form, changed): every text in its one form."""
     made = forms(text_rows(spark, folder))
     return made.select(table_name(F.col("tb")).alias("table_name"), "id", "form", F.coalesce(F.col("form") != F.col("text"), F.lit(False)).alias("changed"))
+
+
+def p5_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """(table_name, id, class_id, kind_id, copies, kinds): every record whose form holds a letter or digit, with the least id of its form and of those stored like it, how many those are, and how many kinds of stored text its form has."""
+    members, each = kinds(text_rows(spark, folder))
+    each = keep(each)
+    forms_ = each.groupBy("form").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("kinds"))
+    known = each.select("kind", "form", F.col("least").alias("kind_id"), F.col("n").alias("copies")).join(forms_, "form")
+    out = members.select("kind", "tb", "id").join(known, "kind")
+    return out.select(table_name(F.col("tb")).alias("table_name"), "id", "class_id", "kind_id", "copies", "kinds")
