@@ -1,14 +1,24 @@
 """Problem 2: evaluation records that occur, the same or nearly, in training.
 
-Word n-gram hashes of the evaluation records are partitioned and the training
-records' hashes are scanned against them.  Not every hash is sent: two sets of
-similarity s or more share one of the |x| - ceil(s |x|) + 1 rarest hashes of
-either, whatever order "rarest" is taken by as long as it is one order for all.
-The order here is by a count sketch (a table of SKETCH counters, so of a fixed
-size), which puts what a third of all records share last: boilerplate then
-joins nothing, and no pair is lost.  Records with the same words are one class
-and stand in by their least id.  Survivors are compared in full: similarity,
-and containment of the evaluation record in the training record.
+Word n-gram hashes of the evaluation records are broadcast as a bitmap of
+bounded size (with more hashes than it has room for it only lets more through,
+and the hashes are partitioned), and the training records are scanned against
+it:
+
+1. Every evaluation hash is counted over all training records, exactly and
+   with partial aggregation.
+2. A training record that holds the share c of an evaluation record's hashes
+   holds one of any |e| - ceil(c |e|) + 1 of them, so only so many of each, the
+   rarest in training, are looked for: what a third of all records share joins
+   nothing, and no pair is lost.
+3. A second scan gives the training records that hold one of these; hashes in
+   more than SALT records are split into parts, and partners that share several
+   come out once.
+4. Containment of the evaluation record in the training record is computed for
+   every pair from the whole sets; pairs of at least c go on.  Similarity is
+   looked at after that: similar records contain each other at least as much.
+
+Records with the same words are one class and stand in by their least id.
 
 Defined results: null messages, null or empty contents and records of fewer
 than min_words words are in no pair; a split that is neither train nor
@@ -21,14 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
-from quern.llm.common import binary_rows, binary_values, expanded, keep, small, verified
+from quern.llm.common import binary_rows, binary_values, bitmap, expanded, in_bitmap, keep, pair_overlaps, small
 from quern.session import spread, table
 
-SKETCH = 1 << 22
+SALT = 4096  # training records of one part of a hash
 
 
 def dialogue(messages: Column) -> Column:
@@ -57,87 +67,125 @@ def gram_rows(rows: DataFrame, n: int = 3, min_words: int = 20) -> DataFrame:
     return rows.where("text is not null and id is not null and held is not null").select("held", "id", "text").mapInArrow(run, "held boolean, id long, d1 long, d2 long, grams binary")
 
 
-BLOCK = 1 << 10  # cells of a row of the sketch
+def gram_lists(sets: DataFrame, out: str) -> DataFrame:
+    """(gram, out) of sets (id, grams): each hash of each set."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2000):
+                batch = whole.slice(k, 2000)
+                flat, offsets = binary_values(batch.column("grams"), np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(np.repeat(batch.column("id").to_numpy(), np.diff(offsets)))], names=["gram", out])
 
-def sketch(sets: DataFrame, size: int = SKETCH) -> np.ndarray:
-    """How many records hold a hash of each of ``size`` cells, capped at 65,535: 8 MB for any number of records.
+    return sets.select("id", "grams").mapInArrow(run, f"gram long, {out} long")
 
-    Every task adds its cells up and sends them as blocks of two bytes a cell,
-    most of which are empty and compress; blocks are added up where they meet.
-    """
-    block = min(BLOCK, size)
 
-    def sent(cells: np.ndarray, blocks: np.ndarray) -> pa.RecordBatch:
-        rows = np.minimum(cells, 65535).astype("<u2")
-        return pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["block", "cells"])
+def scanned(sets: DataFrame, bits: np.ndarray, out: str) -> DataFrame:
+    """(gram, out) of sets (id, grams): their hashes that are in the bitmap."""
+    held = sets.sparkSession.sparkContext.broadcast(bits)  # of bounded size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2000):
+                batch = whole.slice(k, 2000)
+                flat, offsets = binary_values(batch.column("grams"), np.uint64)
+                some = in_bitmap(held.value, flat)
+                yield pa.RecordBatch.from_arrays([pa.array(flat[some].view(np.int64)), pa.array(np.repeat(batch.column("id").to_numpy(), np.diff(offsets))[some])], names=["gram", out])
+
+    return sets.select("id", "grams").mapInArrow(run, f"gram long, {out} long")
+
+
+def counted(sets: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(gram, n): in how many of the sets each hash in the bitmap stands; counted exactly, by batch before anything is moved."""
+    held = sets.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def sent() -> pa.RecordBatch:
+            gram, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(size, np.int64)
         for batch in batches:
             flat, _ = binary_values(batch.column("grams"), np.uint64)
-            cells += np.bincount((flat % np.uint64(size)).astype(np.int64), minlength=size)
-        cells = cells.reshape(-1, block)
-        used = np.flatnonzero(cells.any(1))
-        if len(used):
-            yield sent(cells[used], used)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column("block").to_pylist(), batch.column("cells").to_pylist()):
-                cells = np.frombuffer(raw, "<u2").astype(np.int64)
-                sums[k] = sums[k] + cells if k in sums else cells
-        if sums:
-            yield sent(np.stack(list(sums.values())), np.array(list(sums)))
+            parts.append(flat[in_bitmap(held.value, flat)])
+            size += len(parts[-1])
+            if size >= 1 << 21:
+                yield sent()
+                parts, size = [], 0
+        if parts:
+            yield sent()
 
-    kind = "block int, cells binary"
-    got = sets.select("grams").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).toArrow()
-    out = np.zeros((size // block, block), np.uint16)
-    for k, raw in zip(got.column("block").to_pylist(), got.column("cells").to_pylist()):
-        out[k] = np.frombuffer(raw, "<u2")
-    return out.reshape(-1)
+    return sets.select("grams").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def rare_prefixes(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """(held, id, size, gram) of the rarest hashes of each set, enough that similar sets share one."""
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
+def looked_for(evaluation: DataFrame, training: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(gram, a, n) to look for, of sets (id, grams): the rarest hashes of each evaluation record, enough that no training record with ``least`` of all lacks them; and the training sets' (gram, b) that match.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+    n is the number of training records with the hash; hashes in none are not looked for.
+    """
+    grams = keep(gram_lists(evaluation, "a"), now=True)
+    counts = counted(training, bitmap(grams, "gram", grams.count()))
+    order = Window.partitionBy("a").orderBy("_n", "gram")  # the hashes of one record
+    ranked = grams.join(counts, "gram", "left").select("a", "gram", F.coalesce("n", F.lit(0)).alias("_n"))
+    ranked = ranked.withColumn("_place", F.row_number().over(order)).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("a")))
+    rare = ranked.where((F.col("_n") > 0) & (F.col("_place") <= F.col("_size") - F.ceil(F.col("_size") * least - 1e-9) + 1))
+    rare = keep(rare.select("gram", "a", F.col("_n").alias("n")), now=True)
+    return rare, scanned(training, bitmap(rare, "gram", rare.count()), "b")
+
+
+def met(rare: DataFrame, hits: DataFrame, salt: int = SALT) -> DataFrame:
+    """Pairs (a, b) that share a hash looked for, once each.  The records of a hash in more than ``salt`` of them are dealt to parts, each of which meets the evaluation records of the hash."""
+    parts = F.ceil(F.col("n") / salt).cast("int")
+    large = small(rare.where(parts > 1).select("gram", parts.alias("_parts")).distinct())
+    dealt = hits.join(large, "gram", "left").select("gram", "b", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("_parts"))).cast("int").alias("_part"))
+    asked = rare.select("gram", "a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    return asked.join(dealt, ["gram", "_part"]).select("a", "b").distinct()
+
+
+def contained(pairs: DataFrame, evaluation: DataFrame, training: DataFrame, least: float) -> DataFrame:
+    """(a, b, size_a, size_b, shared) of the pairs whose evaluation record a is contained in b by at least this share."""
+    pairs = keep(pairs)
+    ours = evaluation.join(small(pairs.select(F.col("a").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
+    theirs = training.join(small(pairs.select(F.col("b").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
+    part = 1000
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                batch = whole.slice(k, 2000)
-                flat, offsets = binary_values(batch.column("grams"), np.uint64)
-                size = np.diff(offsets)
-                rows = np.repeat(np.arange(len(size)), size)
-                order = np.lexsort((flat, counts[(flat % np.uint64(len(counts))).astype(np.int64)], rows))
-                place = np.arange(len(flat)) - np.repeat(offsets[:-1], size)
-                first = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
-                taken = place < np.repeat(first, size)
-                own, gram = rows[order][taken], flat[order][taken]
-                held, ids = batch.column("held").to_numpy(zero_copy_only=False), batch.column("id").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(held[own]), pa.array(ids[own]), pa.array(size[own].astype(np.int32)), pa.array(gram.view(np.int64))],
-                    names=["held", "id", "size", "gram"],
-                )
+            for k in range(0, whole.num_rows, part):
+                batch = whole.slice(k, part)
+                nx, ny, shared = pair_overlaps(batch.column("grams_a"), batch.column("grams_b"), np.dtype("<u8"))
+                good = (shared >= least * nx - 1e-9) & (shared > 0)
+                mask = pa.array(good)
+                columns = [batch.column(n).filter(mask) for n in ("a", "b")]
+                columns += [pa.array(v[good].astype(np.int32)) for v in (nx, ny, shared)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "size_a", "size_b", "shared"])
 
-    return sets.select("held", "id", "grams").mapInArrow(run, "held boolean, id long, size int, gram long")
+    return pairs.join(ours, "a").join(theirs, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(check, "a long, b long, size_a int, size_b int, shared int")
 
 
-def overlaps(rows: DataFrame, threshold: float = 0.6, n: int = 3, min_words: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Links (a: evaluation, b: training, size_a, size_b, shared) of class representatives of rows (held, id, text), and members (rep, id, held)."""
+def classes(rows: DataFrame, n: int = 3, min_words: int = 20) -> tuple[DataFrame, DataFrame]:
+    """One set (id, held, grams) for all records of a side with the same words, of rows (held, id, text), and members (rep, id, held)."""
     sets = keep(gram_rows(rows, n, min_words), now=True)
-    classes = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"))
-    classed = sets.select("held", "d1", "d2", "id").join(classes, ["held", "d1", "d2"])
-    members = classed.select("rep", "id", "held")
-    copies = classed.where("id != rep").select("held", "id", "d1").distinct()
-    reps = sets.join(small(copies), ["held", "id", "d1"], "left_anti")
-    prefixes = keep(rare_prefixes(reps, sketch(sets), threshold), now=True)
-    one = prefixes.where("held").select(F.col("id").alias("a"), F.col("size").alias("n"), "gram")
-    two = prefixes.where("not held").select(F.col("id").alias("b"), F.col("size").alias("m"), "gram")
-    pairs = one.join(two, "gram").where((F.col("n") >= threshold * F.col("m")) & (F.col("m") >= threshold * F.col("n"))).select("a", "b").distinct()
-    return verified(pairs, sets.select("id", "grams"), threshold, "<u8"), members
+    least = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
+    members = keep(sets.select("held", "d1", "d2", "id").join(least, ["held", "d1", "d2"]).select("rep", "id", "held", "d1").distinct())
+    copies = members.where("id != rep").select("held", "id", "d1")
+    return sets.join(small(copies), ["held", "id", "d1"], "left_anti").dropDuplicates(["held", "id"]), members.drop("d1")
+
+
+def containments(rows: DataFrame, least: float = 0.6, n: int = 3, min_words: int = 20, salt: int = SALT) -> tuple[DataFrame, DataFrame]:
+    """Links (a: evaluation, b: training, size_a, size_b, shared) of class representatives of rows (held, id, text) whose containment is ``least`` or more, and members (rep, id, held)."""
+    sets, members = classes(rows, n, min_words)
+    sets = keep(sets, now=True)
+    evaluation, training = sets.where("held"), sets.where("not held")
+    rare, hits = looked_for(evaluation, training, least)
+    return contained(met(rare, hits, salt), evaluation, training, least), members
+
+
+def similar(links: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """The links whose similarity is at least threshold."""
+    return links.where(F.col("shared") >= threshold * (F.col("size_a") + F.col("size_b") - F.col("shared")) - 1e-9)
 
 
 def split_rows(conversation: DataFrame) -> DataFrame:
@@ -150,16 +198,32 @@ def split_rows(conversation: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- queries
 
 
+def _rows(spark: SparkSession, folder: str) -> DataFrame:
+    return split_rows(spread(table(spark, folder, "conversation").select("entry_id", "split", "messages")))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """(entry_a, entry_b) as TESTDATA.md states problem 2."""
-    links, members = overlaps(split_rows(spread(table(spark, folder, "conversation").select("entry_id", "split", "messages"))))
-    return expanded(links, members.select("rep", "id")).select(F.col("id_a").alias("entry_a"), F.col("id_b").alias("entry_b"))
+    links, members = containments(_rows(spark, folder))
+    return expanded(similar(links), members.select("rep", "id")).select(F.col("id_a").alias("entry_a"), F.col("id_b").alias("entry_b"))
+
+
+def p2_links(spark: SparkSession, folder: str) -> DataFrame:
+    """(entry_id, train_entry_id, containment, similarity) of every pair of class representatives of which the training record holds 0.6 of the evaluation record or more."""
+    links, _ = containments(_rows(spark, folder))
+    return links.select(F.col("a").alias("entry_id"), F.col("b").alias("train_entry_id"), (F.col("shared") / F.col("size_a")).alias("containment"), (F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("similarity"))
+
+
+def p2_members(spark: SparkSession, folder: str) -> DataFrame:
+    """(entry_id, held, rep): the class representative by which p2_links names each record; held: whether it is for evaluation."""
+    _, members = classes(_rows(spark, folder))
+    return members.select(F.col("id").alias("entry_id"), "held", "rep")
 
 
 def p2_overlaps(spark: SparkSession, folder: str) -> DataFrame:
-    """(split, source, entries, leaked, exact, mean_containment): evaluation entries and how many of them occur in training, by split and tags.source."""
+    """(split, source, entries, contained, leaked, exact, mean_containment): evaluation entries, how many of them a training entry holds by 0.6 or more, is similar to or equals, and their mean greatest containment, by split and tags.source."""
     conversation = table(spark, folder, "conversation")
-    links, members = overlaps(split_rows(conversation))
+    links, members = containments(split_rows(conversation))
     best = links.groupBy("a").agg(F.max(F.col("shared") / F.col("size_a")).alias("containment"), F.max(F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("similarity"))
     hit = members.where("held").join(best, F.col("rep") == F.col("a")).select(F.col("id").alias("entry_id"), "containment", "similarity")
     held = conversation.select("entry_id", F.lower(F.trim("split")).alias("split"), F.coalesce(F.lower(F.trim("tags.source")), F.lit("unknown")).alias("source")).where("split in ('validation', 'test')")
@@ -168,7 +232,8 @@ def p2_overlaps(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("split", "source")
         .agg(
             F.count(F.lit(1)).alias("entries"),
-            F.count("similarity").alias("leaked"),
+            F.count("containment").alias("contained"),
+            F.count(F.when(F.col("similarity") >= 0.6 - 1e-9, 1)).alias("leaked"),
             F.count(F.when(F.col("similarity") >= 1, 1)).alias("exact"),
             F.avg("containment").alias("mean_containment"),
         )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
     "toxic": ("p1_found", "p1_scores", "p1_rates"),
-    "leaks": ("p2_found", "p2_overlaps"),
+    "leaks": ("p2_found", "p2_overlaps", "p2_links", "p2_members"),
     "neardup": ("p3_found", "p3_classes"),
     "sample": ("p4_found", "p4_sample", "p4_report"),
     "unify": ("p5_found", "p5_forms", "p5_classes"),

@@ -2,11 +2,14 @@
 
 Seed: of every run of MIN code points the least hash among its K-grams is its
 anchor (winnowing), so equal runs have equal anchors.  A document thus falls
-into segments, each the runs of one anchor.  Documents are joined on anchors;
-segments whose anchor no other document has end there, before any text moves.
-Extend: the surviving segments get their text back, the MIN code points around
-each anchor are followed both ways, run by run, and those that another
-document shares stay.  Overlapping runs are joined to maximal stretches.
+into segments, each the runs of one anchor.  Documents are joined on anchors:
+a first pass counts by anchor, with partial aggregation, in which documents it
+stands, and moves no text.  The anchors that two documents share are made a
+bitmap of bounded size, and a second pass over the texts lets only segments
+whose anchor is in it go on.
+Extend: each such segment goes with the code points MIN - 1 either way of its
+anchor; run by run what another document has too stays.  Overlapping
+runs are joined to maximal stretches.
 
 Exact copies of a text are one class: a class of several documents is shared
 from end to end, and one text stands for it as a partner of others.  Anchors
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
-from quern.llm.common import keep
+from quern.llm.common import bitmap, in_bitmap, keep, small
 from quern.session import table
 
 MIN = 150
@@ -65,17 +68,39 @@ def segments_of(codes: np.ndarray, offsets: np.ndarray, least: int, k: int) -> t
     return grams[own[head]], rows[head], starts[head] - offsets[rows[head]], np.diff(np.r_[head, len(starts)])
 
 
-def segments(texts: DataFrame, least: int = MIN, k: int = K) -> DataFrame:
-    """(anchor, id, start, n) of texts (id, text)."""
+def anchors(texts: DataFrame, least: int = MIN, k: int = K) -> DataFrame:
+    """(anchor, lo, hi, many) of texts (id, text): the anchors, the least and greatest id each stands in, and its segments, added up by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, ids = batch.column("text").to_pylist(), batch.column("id").to_numpy()
+            for a, b in cp.slices(rows):
+                anchor, row, _, _ = segments_of(*cp.explode(rows[a:b]), least, k)
+                own = ids[a:b][row]
+                order = np.lexsort((own, anchor))
+                anchor, own = anchor[order], own[order]
+                head = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]][: len(anchor)])
+                last = np.r_[head[1:], len(anchor)] - 1 if len(anchor) else head
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[head].view(np.int64)), pa.array(own[head]), pa.array(own[last]), pa.array((last - head + 1).astype(np.int64))], names=["anchor", "lo", "hi", "many"])
+
+    return texts.select("id", "text").mapInArrow(run, "anchor long, lo long, hi long, many long")
+
+
+def segments(texts: DataFrame, bits: np.ndarray, least: int = MIN, k: int = K) -> DataFrame:
+    """(anchor, id, start, n, slice) of texts (id, text): the segments whose anchor is in the bitmap, with their text."""
+    held = texts.sparkSession.sparkContext.broadcast(bits)  # of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = batch.column("text").to_pylist(), batch.column("id").to_numpy()
             for a, b in cp.slices(rows):
                 anchor, row, start, n = segments_of(*cp.explode(rows[a:b]), least, k)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(ids[a:b][row]), pa.array(start), pa.array(n)], names=["anchor", "id", "start", "n"])
+                some = in_bitmap(held.value, anchor)
+                anchor, row, start, n = anchor[some], row[some], start[some], n[some]
+                part = [rows[a + r][x:y] for r, x, y in zip(row.tolist(), start.tolist(), (start + n + least - 1).tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(ids[a:b][row]), pa.array(start), pa.array(n), pa.array(part, pa.string())], names=["anchor", "id", "start", "n", "slice"])
 
-    return texts.select("id", "text").mapInArrow(run, "anchor long, id long, start long, n long")
+    return texts.select("id", "text").mapInArrow(run, "anchor long, id long, start long, n long, slice string")
 
 
 def run_hashes(slices: list[str], n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,21 +180,21 @@ def merged(intervals: DataFrame) -> DataFrame:
 
 def shared_spans(rows: DataFrame, least: int = MIN, k: int = K, hot: int = HOT) -> DataFrame:
     """(id, begin, end) of rows (id, text): the maximal stretches of code points in runs of at least ``least`` that another id has as well."""
-    texts = rows.where((F.length("text") >= least) & F.col("id").isNotNull()).select("id", "text")
-    keys = keep(texts.select("id", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("h"), F.length("text").cast("long").alias("size")))
-    classes = keys.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    copies = keys.join(classes.where("lo != hi").select("h"), "h", "left_semi").select("id", F.lit(0).cast("long").alias("begin"), F.col("size").alias("end"))
-    reps = classes.select(F.col("lo").alias("id"))
-    segs = keep(segments(texts.join(reps, "id", "left_semi"), least, k), now=True)
-    shared = segs.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("many")).where("lo != hi")
-    some = segs.join(shared.select("anchor", (F.col("many") > hot).alias("hot")), "anchor")
-    lists = some.groupBy("id").agg(F.collect_list(F.struct("anchor", "start", "n", "hot")).alias("own"))
-    with_text = texts.join(lists, "id").select("id", "text", F.explode("own").alias("s"))
-    text = F.substring(F.col("text"), (F.col("s.start") + 1).cast("int"), (F.col("s.n") + least - 1).cast("int"))
-    parts = keep(with_text.select(F.col("s.anchor").alias("anchor"), "id", F.col("s.start").alias("start"), F.col("s.n").alias("n"), F.col("s.hot").alias("hot"), text.alias("slice")), now=True)
-    cold = _cold(parts.where("not hot").drop("hot"), least)
-    found = cold.unionByName(_hot(parts.where("hot").drop("hot"), least))
-    return merged(found.unionByName(copies.distinct()))
+    texts = rows.where((F.length("text") >= least) & F.col("id").isNotNull()).select("id", "text", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("h"))
+    keys = keep(texts.select("id", "h", F.length("text").cast("long").alias("size")))
+    classes = keys.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
+    copies = keep(keys.join(small(classes.select("h", "lo")), "h").select("id", "h", "lo", F.lit(0).cast("long").alias("begin"), F.col("size").alias("end")).distinct())
+    # one text of a class goes on; ids alone are moved to leave the others out
+    reps = texts.join(small(copies.where("id != lo").select("id", "h")), ["id", "h"], "left_anti").select("id", "text")
+    shared = keep(anchors(reps, least, k).groupBy("anchor").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("many").alias("many")).where("lo != hi").select("anchor", "many"), now=True)
+    parts = segments(reps, bitmap(shared, "anchor", shared.count()), least, k)
+    large = small(shared.where(F.col("many") > hot).select("anchor"))
+    hot_parts = parts.join(large, "anchor", "left_semi")
+    found = _cold(parts.join(large, "anchor", "left_anti"), least)
+    if not large.isEmpty():
+        found = found.unionByName(_hot(hot_parts, least))
+    copies = copies.select("id", "begin", "end")
+    return merged(found.unionByName(copies))
 
 
 # ---------------------------------------------------------------- queries

@@ -124,30 +124,42 @@ def test_ties_nulls_and_short_texts(spark):
     assert found(spark, texts) == set(itertools.combinations([0, 1, 2, 7], 2))
 
 
+def leak_rows(spark, texts, held):
+    return spark.createDataFrame([(h, k, t) for k, (t, h) in enumerate(zip(texts, held))] + [(None, 900, texts[0]), (True, None, texts[0]), (True, 901, None)], "held boolean, id long, text string")
+
+
 def test_leaks(spark):
     texts = corpus(200, 4, size=30)
     rng = random.Random(5)
     held = [rng.choice([True, False, False]) for _ in texts]
-    rows = spark.createDataFrame([(h, k, t) for k, (t, h) in enumerate(zip(texts, held))] + [(None, 900, texts[0]), (True, None, texts[0]), (True, 901, None)], "held boolean, id long, text string")
-    links, members = leaks.overlaps(rows)
+    links, members = leaks.containments(leak_rows(spark, texts, held))
     from quern.llm.common import expanded
 
-    got = {(r.id_a, r.id_b) for r in expanded(links, members.select("rep", "id")).collect()}
+    got = {(r.id_a, r.id_b) for r in expanded(leaks.similar(links), members.select("rep", "id")).collect()}
     want = {(a, b) for a, b in brute_pairs(texts, 20) if held[a] != held[b]}
     assert got == want and want
 
 
-def test_the_order_of_the_sketch_does_not_matter(spark):
-    texts = corpus(80, 6, size=30)
-    rows = spark.createDataFrame([(k % 3 == 0, k, t) for k, t in enumerate(texts)], "held boolean, id long, text string")
-    sets = leaks.gram_rows(rows)
-    few = leaks.sketch(sets, 1 << 6)
-    assert few.sum() > 0 and few.dtype == np.uint16
-    one = leaks.rare_prefixes(sets, few, 0.6)
-    a = one.where("held").selectExpr("id as a", "gram")
-    b = one.where("not held").selectExpr("id as b", "gram")
-    met = {(r.a, r.b) for r in a.join(b, "gram").select("a", "b").distinct().collect()}
-    assert {(min(p), max(p)) for p in met} >= {(x, y) for x, y in brute_pairs(texts, 20) if (x % 3 == 0) != (y % 3 == 0)}
+@pytest.mark.parametrize("salt", [1, 3, 4096])
+def test_containment_is_that_of_brute_force(spark, salt):
+    texts = corpus(120, 8, size=30)
+    rng = random.Random(9)
+    held = [rng.choice([True, False, False]) for _ in texts]
+    for k in range(0, 120, 6):  # an evaluation record whole inside a training record four times its size
+        texts.append(" ".join([*(f"a{k}x{j}" for j in range(40)), texts[k], *(f"b{k}x{j}" for j in range(40))]))
+        held.append(not held[k])
+    boiler = " ".join(f"s{k}" for k in range(25))  # a stretch that many records share
+    texts += [f"{boiler} t{k}" for k in range(30)]
+    held += [k % 4 == 0 for k in range(30)]
+    links, members = leaks.containments(leak_rows(spark, texts, held), salt=salt)
+    reps = {r.id: r.rep for r in members.collect()}
+    want = {}
+    for a, b in itertools.product(range(len(texts)), repeat=2):
+        x, y = grams(texts[a]), grams(texts[b])
+        if held[a] and not held[b] and len(words(texts[a])) >= 20 and len(words(texts[b])) >= 20 and len(x & y) >= 0.6 * len(x):
+            want[reps[a], reps[b]] = len(x & y) / len(x)
+    got = {(r.a, r.b): r.shared / r.size_a for r in links.collect()}
+    assert got == pytest.approx(want) and 1.0 in got.values()
 
 
 def test_lookalikes(spark):
@@ -159,6 +171,14 @@ def test_lookalikes(spark):
     assert got == {(a, b) for a, b in itertools.combinations(same, 2) if plain[a] != plain[b]}
 
 
+def test_many_copies_beside_a_variant_stay_linear(spark):
+    texts = ["Rain at dawn"] * 300 + ["Rаin at dawn"]
+    rows = spark.createDataFrame([(1, k, t) for k, t in enumerate(texts)], "tb tinyint, id long, text string")
+    _, each = unify.kinds(rows)
+    assert unify.kind_pairs(each).count() == 1 and sorted(r.n for r in each.collect()) == [1, 300]
+    assert {(r.id_a, r.id_b) for r in unify.lookalike_pairs(rows).collect()} == {(k, 300) for k in range(300)}
+
+
 def brute_spans(texts, least):
     seen = {}
     for k, t in texts:
