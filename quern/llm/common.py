@@ -144,7 +144,6 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float, kind: str) ->
     may come more than once with the same set.  Only the sets that some pair
     needs are moved.
     """
-    pairs = keep(pairs)
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     held = keep(sets.select("id", "grams").join(small(need), "id", "left_semi").dropDuplicates(["id"]))
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a").join(held.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")

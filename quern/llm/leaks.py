@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
 from quern.llm.common import binary_rows, binary_values, bitmap, expanded, in_bitmap, keep, pair_overlaps, small
-from quern.session import spread, table
+from quern.session import cut, spread, table
 
 SALT = 4096  # training records of one part of a hash
 
@@ -131,7 +131,7 @@ def looked_for(evaluation: DataFrame, training: DataFrame, least: float) -> tupl
     ranked = grams.join(counts, "gram", "left").select("a", "gram", F.coalesce("n", F.lit(0)).alias("_n"))
     ranked = ranked.withColumn("_place", F.row_number().over(order)).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("a")))
     rare = ranked.where((F.col("_n") > 0) & (F.col("_place") <= F.col("_size") - F.ceil(F.col("_size") * least - 1e-9) + 1))
-    rare = keep(rare.select("gram", "a", F.col("_n").alias("n")), now=True)
+    rare = cut(rare.select("gram", "a", F.col("_n").alias("n")))
     return rare, scanned(training, bitmap(rare, "gram", rare.count()), "b")
 
 
@@ -141,12 +141,11 @@ def met(rare: DataFrame, hits: DataFrame, salt: int = SALT) -> DataFrame:
     large = small(rare.where(parts > 1).select("gram", parts.alias("_parts")).distinct())
     dealt = hits.join(large, "gram", "left").select("gram", "b", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("_parts"))).cast("int").alias("_part"))
     asked = rare.select("gram", "a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-    return asked.join(dealt, ["gram", "_part"]).select("a", "b").distinct()
+    return cut(asked.join(dealt, ["gram", "_part"]).select("a", "b").distinct())
 
 
 def contained(pairs: DataFrame, evaluation: DataFrame, training: DataFrame, least: float) -> DataFrame:
     """(a, b, size_a, size_b, shared) of the pairs whose evaluation record a is contained in b by at least this share."""
-    pairs = keep(pairs)
     ours = evaluation.join(small(pairs.select(F.col("a").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
     theirs = training.join(small(pairs.select(F.col("b").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
     part = 1000
@@ -169,7 +168,7 @@ def classes(rows: DataFrame, n: int = 3, min_words: int = 20) -> tuple[DataFrame
     """One set (id, held, grams) for all records of a side with the same words, of rows (held, id, text), and members (rep, id, held)."""
     sets = keep(gram_rows(rows, n, min_words), now=True)
     least = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
-    members = keep(sets.select("held", "d1", "d2", "id").join(least, ["held", "d1", "d2"]).select("rep", "id", "held", "d1").distinct())
+    members = cut(sets.select("held", "d1", "d2", "id").join(least, ["held", "d1", "d2"]).select("rep", "id", "held", "d1").distinct())
     copies = members.where("id != rep").select("held", "id", "d1")
     return sets.join(small(copies), ["held", "id", "d1"], "left_anti").dropDuplicates(["held", "id"]), members.drop("d1")
 
@@ -180,7 +179,7 @@ def containments(rows: DataFrame, least: float = 0.6, n: int = 3, min_words: int
     sets = keep(sets, now=True)
     evaluation, training = sets.where("held"), sets.where("not held")
     rare, hits = looked_for(evaluation, training, least)
-    return contained(met(rare, hits, salt), evaluation, training, least), members
+    return cut(contained(met(rare, hits, salt), evaluation, training, least)), members
 
 
 def similar(links: DataFrame, threshold: float = 0.6) -> DataFrame:

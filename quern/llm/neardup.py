@@ -5,16 +5,17 @@
    fingerprint in which two texts of similarity s differ in (1 - s) / 2 of
    the bits on average.
 2. Texts with the same words are one class; a digest of the words stands for it.
-3. Classes meet in buckets of three joint minwise hashes (20 of
-   them; a pair of similarity 0.6 meets with 99 %, one of 0.7 with 99.98 %).
+3. Classes meet in buckets of three joint minwise hashes (28 of them; of
+   pairs of similarity 0.6 one in 900 meets in none, of 0.65 one in 8,000, of
+   0.7 one in 100,000).
 4. In each bucket the binary trie of the fingerprints is joined with itself:
    pairs of nodes go down together, differing bits add up, and a pair of
-   nodes is dropped once they exceed the error budget (40 of 128).
+   nodes is dropped once they exceed the error budget (44 of 128; of pairs of similarity 0.6 one in 20,000 has more).
 5. What is left is compared exactly.
 
-No bucket of more than HOT classes goes to one task: it is cut into blocks of
-bounded size and every pair of blocks is joined on its own, which loses
-nothing, so the pairs found do not depend on HOT.
+No bucket of more than HOT classes goes to one task: its trie is cut into
+blocks of bounded size and every pair of blocks is joined on its own, which
+loses nothing, so the pairs found do not depend on HOT.
 
 Defined results: null, empty and short texts (under min_words) are in no pair;
 in ``classes`` they are a class of their own with no links.
@@ -30,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
-from quern.llm.common import binary_rows, components, expanded, keep, table_name, text_rows, verified
+from quern.llm.common import binary_rows, components, expanded, keep, small, table_name, text_rows, verified
+from quern.session import cut
 
 BITS = 128
-BANDS, BAND = 20, 3
-BUDGET = 40
-HOT = 2000
+BANDS, BAND = 28, 3
+BUDGET = 44
+HOT = 1 << 15
 LEAF = 64  # pairs of nodes with at most so many pairs of fingerprints are compared at once
 
 
@@ -52,7 +54,7 @@ def minwise(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(rows: DataFrame, grams: int = 3, min_words: int = 10) -> DataFrame:
+def signatures(rows: DataFrame, grams: int = 3, min_words: int = 10, bands: int = BANDS, band: int = BAND) -> DataFrame:
     """(tb, id, d1, d2, f1, f2, keys, grams) of (tb, id, text) with at least min_words words.
 
     d1 is a digest of the table and the words and names the class, d2 another
@@ -74,18 +76,18 @@ def signatures(rows: DataFrame, grams: int = 3, min_words: int = 10) -> DataFram
                 bit = (cp.mix(least) >> np.uint64(17)) & np.uint64(1)
                 place = np.arange(64, dtype=np.uint64)[::-1, None]
                 f1, f2 = ((bit[k : k + 64] << place).sum(0, dtype=np.uint64) for k in (0, 64))
-                keys = np.empty((least.shape[1], BANDS), np.uint64)
-                for k in range(BANDS):
+                keys = np.empty((least.shape[1], bands), np.uint64)
+                for k in range(bands):
                     h = own + np.uint64(1000 * k)
-                    for j in range(BAND):
-                        h = cp.mix(h * np.uint64(0x9E3779B97F4A7C15) ^ least[k * BAND + j])
+                    for j in range(band):
+                        h = cp.mix(h * np.uint64(0x9E3779B97F4A7C15) ^ least[k * band + j])
                     keys[:, k] = h
                 long = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(tb[a:b][good]), pa.array(ids[a:b][good]),
                         long(cp.mix(digest[good] ^ cp.mix(own))), long(cp.row_digest(flat, offsets)), long(f1), long(f2),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), long(keys.ravel())),
+                        pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), long(keys.ravel())),
                         binary_rows((flat >> np.uint64(32)).astype(np.uint32), offsets),
                     ],
                     names=["tb", "id", "d1", "d2", "f1", "f2", "keys", "grams"],
@@ -196,41 +198,49 @@ def _join_buckets(rows: DataFrame, budget: int, blocks: bool = False) -> DataFra
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def _by_size(rows: DataFrame) -> DataFrame:
-    """The distinct rows (key, d1) whose bucket holds two classes or more, with n, the classes in the bucket.
+def _in_blocks(large: DataFrame, budget: int, hot: int) -> DataFrame:
+    """Rows (key, d1, f1, f2, n) of buckets of more than hot classes as rows of pairs of blocks, for ``_join_buckets``.
 
-    Buckets are sized by pre-aggregation; the join back is one that adaptive
-    execution splits where a key is skewed.
+    A block is a node of the bucket's trie: the fingerprints that begin with
+    the same bits, of which so many are taken that a node holds hot of them on
+    average; a node that holds more is dealt to parts.  Each pair of blocks
+    whose beginnings are within the budget is a bucket of its own, so a row
+    goes to no more than n / hot of them (some more where nodes are uneven)
+    and no task holds more than two blocks.
     """
-    return rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
+    bits = F.least(F.ceil(F.log2(F.col("n") / F.lit(float(hot)))) + 1, F.lit(30)).cast("int")
+    large = large.withColumn("node", F.call_function("shiftrightunsigned", F.col("f1"), F.lit(64) - bits))
+    nodes = large.groupBy("key", "node").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot)).cast("int").alias("parts"))
+    blocks = nodes.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node")
+    lists = blocks.groupBy("key").agg(F.collect_list(F.struct("node", "part")).alias("blocks"))  # n / hot of them
+    placed = large.join(small(nodes), ["key", "node"]).join(small(lists), "key")
+    own = F.struct(F.col("node"), F.pmod(F.xxhash64("d1"), F.col("parts")).cast("int").alias("part"))
+    placed = placed.select("key", "d1", "f1", "f2", own.alias("own"), "blocks")
+    met = placed.select("key", "d1", "f1", "f2", "own", F.explode(F.filter("blocks", lambda x: F.bit_count(x["node"].bitwiseXOR(F.col("own.node"))) <= budget)).alias("other"))
+    return met.select("d1", "f1", "f2", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), (F.col("own") < F.col("other")).alias("side"), (F.col("own") == F.col("other")).alias("lone"))
 
 
 def candidates(sig: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
-    """Distinct candidate pairs (a, b) of the classes of signatures (d1, f1, f2, keys)."""
+    """Distinct candidate pairs (a, b) of the classes of signatures (d1, f1, f2, keys).
+
+    Buckets are sized by pre-aggregation and joined back, which adaptive
+    execution splits where a key is skewed; buckets of one class end there.
+    """
     classes = keep(sig.dropDuplicates(["d1"]))  # copies end here, so buckets are sized by classes
     prints = classes.select("d1", "f1", "f2")
-    sized = keep(_by_size(classes.select("d1", F.explode("keys").alias("key"))))
+    exploded = classes.select("d1", F.explode("keys").alias("key"))
+    sized = cut(exploded.join(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
     found = _join_buckets(sized.where(F.col("n") <= hot).join(prints, "d1"), budget)
     large = sized.where(F.col("n") > hot)
     if not large.isEmpty():
-        # blocks of large buckets meet pair by pair
-        large = large.join(prints, "d1").withColumn("blocks", F.ceil(F.col("n") / F.lit(max(1, hot // 2))).cast("int"))
-        large = large.withColumn("own", F.pmod(F.xxhash64("f1", "f2", "d1"), F.col("blocks")).cast("int"))
-        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        large = large.select(
-            "d1", "f1", "f2",
-            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-            (F.col("own") < F.col("other")).alias("side"),
-            (F.col("own") == F.col("other")).alias("lone"),
-        )
-        found = found.unionByName(_join_buckets(large, budget, blocks=True))
+        found = found.unionByName(_join_buckets(_in_blocks(large.join(prints, "d1"), budget, hot), budget, blocks=True))
     return found.distinct()
 
 
-def linked(rows: DataFrame, threshold: float = 0.6, grams: int = 3, min_words: int = 10, budget: int = BUDGET, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def linked(rows: DataFrame, threshold: float = 0.6, grams: int = 3, min_words: int = 10, budget: int = BUDGET, hot: int = HOT, bands: int = BANDS, band: int = BAND) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, size_a, size_b, shared) between the classes of rows (tb, id, text), and members (rep, tb, id, d2)."""
-    sig = keep(signatures(rows, grams, min_words), now=True)
-    pairs = candidates(sig.select("d1", "f1", "f2", "keys"), budget, hot)
+    sig = keep(signatures(rows, grams, min_words, bands, band), now=True)
+    pairs = cut(candidates(sig.select("d1", "f1", "f2", "keys"), budget, hot))
     links = verified(pairs, sig.select(F.col("d1").alias("id"), "grams"), threshold, "<u4")
     return links, sig.select(F.col("d1").alias("rep"), "tb", "id", "d2")
 

@@ -73,7 +73,7 @@ def test_hot_buckets_lose_nothing(spark, hot):
     assert len(found(spark, texts)) >= 0.99 * len(brute_pairs(texts, 10))
 
 
-def lone_band_pairs(spark, n=500):
+def lone_band_pairs(spark, n=1500):
     """Pairs of texts of similarity 0.6 to 0.65 that have exactly one bucket in common, within the budget."""
     rng = random.Random(7)
     texts = []
@@ -101,6 +101,20 @@ def test_a_pair_whose_only_common_band_is_hot_is_found(spark):
     assert found(spark, copied, hot=5) == brute_pairs(copied, 10) >= want
 
 
+def test_recall_near_the_threshold(spark):
+    rng = random.Random(11)
+    texts = []
+    for k in range(1000):  # pairs of similarity 0.61, of texts that share nothing else
+        w = [f"v{k}x{j}" for j in range(42)]
+        texts.append(" ".join(w))
+        for j in (5, 17, 29):
+            w[j + rng.randrange(6)] = f"z{k}x{j}"
+        texts.append(" ".join(w))
+    assert all(0.6 <= similarity(texts[k], texts[k + 1]) <= 0.65 for k in range(0, 60, 2))
+    got = found(spark, texts)
+    assert found(spark, texts, hot=1) == got and len(got) >= 995 and got <= {(k, k + 1) for k in range(0, 2000, 2)}
+
+
 def test_the_trie_finds_all_pairs_within_the_budget():
     rng = np.random.default_rng(3)
     for budget in (0, 3, 30):
