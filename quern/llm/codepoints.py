@@ -337,18 +337,24 @@ def span_hashes(sums: tuple[np.ndarray, np.ndarray, int], begin: np.ndarray, end
     return h1 << np.uint64(31) | h2
 
 
-def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs of letters and digits, lower-cased) of rows in one form, and row offsets of them."""
+def word_spans(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words (runs of letters and digits, lower-cased) of rows in one form, and where each begins and ends."""
     t = tables()
+    none = np.zeros(0, np.int64)
     if not len(codes):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), none, none
     low = t.lower[codes]
     letter = t.alnum[codes]
     edge = np.zeros(len(codes) + 1, bool)
     edge[offsets] = True
     begin = np.flatnonzero(letter & (edge[:-1] | np.r_[True, ~letter[:-1]]))
     end = np.flatnonzero(letter & (edge[1:] | np.r_[~letter[1:], True])) + 1
-    hashes = mix(span_hashes(prefix_sums(low), begin, end) + (end - begin).astype(np.uint64))
+    return mix(span_hashes(prefix_sums(low), begin, end) + (end - begin).astype(np.uint64)), begin, end
+
+
+def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of rows in one form, and row offsets of them."""
+    hashes, begin, _ = word_spans(codes, offsets)
     return hashes, np.searchsorted(begin, offsets)
 
 

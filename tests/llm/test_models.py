@@ -1,58 +1,103 @@
 """Problems 1 and 6: the trained models."""
 
+import itertools
+import os
 import random
-import zlib
 
 import numpy as np
+import pytest
 
+from quern.functions import language
+from quern.llm import codepoints as cp
 from quern.llm import pairs, toxic
 
 EN = ["The old mill by the river was painted on Monday and the baker said it would last.", "Expect rain in the valley and a cold wind from the north by the evening.", "A quiet fog is like a clerk from town: it came at dawn and counted the bridges."]
 DE = ["Der Bäcker sagte, dass die Mühle am Montag gestrichen war, und die Nachbarin war nicht da.", "Das Gewitter kam in der Nacht und der Lehrer hat den Wagen aus dem Garten geholt."]
 
 
-def sound(n=400, seed=0):
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n):
-        lang = rng.choice(["en", "en", "de"])
-        own = EN if lang == "en" else DE
-        q = rng.choice(["What will the weather be like in {}?", "How does the sky look over {} and the hills?", "Is the storm near {} going to last?"]) if lang == "en" else rng.choice(["Wie wird das Wetter in {} und am See?", "Kommt der Regen nach {} noch heute?"])
-        out.append((q.format(rng.choice(["Aford", "Bness", "Cwick"])), " ".join(rng.sample(own, rng.randint(1, len(own))))))
-    return out
+@pytest.fixture(scope="module")
+def field(spark):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    return pairs._pairs(spark, folder)[1]
+
+
+def defects(field, cases):
+    return field.tagged(pairs.cp_forms([q for q, _ in cases]), pairs.cp_forms([a for _, a in cases]))[0]
 
 
-def test_defects():
-    field = pairs.train(sound())
-    q = "Will it rain in Aford tomorrow, and how cold will it be on the hill?"
+Q = "Will it rain in Aford tomorrow, and how cold will it be on the hill?"
+
+
+def test_defects(field):
     cases = [
-        (q, EN[0] + " " + EN[1], None),
-        (q, None, "empty"), (q, "", "empty"), (q, "  \n", "empty"), (q, "...", "empty"), (q, "N/A", "empty"), (q, "[no answer]", "empty"), (q, "—", "empty"),
-        (q, q, "copy"), (q, q.upper(), "copy"), (q, f'"{q}"', "copy"),
-        (q, "I'm sorry, but I cannot help with that request.", "refusal"), (q, "Unfortunately, my guidelines do not let me respond to this. Please ask me something else.", "refusal"),
-        (q, DE[0] + " " + DE[1], "language"),
-        (q + " Please answer in German.", DE[0] + " " + DE[1], None),
-        (q, EN[0] + " Expect rain in the", "truncated"), (q, EN[0] + " The old mill by the river was painted on", "truncated"),
-        (q, "I apologise for the delay. " + EN[0] + " " + EN[1], None), (q, "I'm sorry, but the tool returned an error: place not found. " + EN[0], None),
-        (q, EN[0] + "\n- wind: 12 km/h\n- rain: 3 mm", None),
+        (Q, EN[0] + " " + EN[1], None),
+        (Q, None, "empty"), (Q, "", "empty"), (Q, "  \n", "empty"), (Q, "...", "empty"), (Q, "N/A", "empty"), (Q, "[no answer]", "empty"), (Q, "—", "empty"), (Q, ". " * 500, "empty"),
+        (Q, Q, "copy"), (Q, Q.upper(), "copy"), (Q, f'"{Q}"', "copy"),
+        (Q, "I'm sorry, but I cannot help with that request.", "refusal"), (Q, "Unfortunately, I would rather not go into that. Please ask me something else.", "refusal"),
+        (Q, DE[0] + " " + DE[1], "language"),
+        (Q + " Please answer in German.", DE[0] + " " + DE[1], None),
+        (Q, EN[0] + " Expect rain in the", "truncated"), (Q, EN[0] + " The old mill by the river was painted on", "truncated"),
+        (Q, "I apologise for the delay. " + EN[0] + " " + EN[1], None), (Q, "I'm sorry, but the tool returned an error: place not found. " + EN[0], None),
+        (Q, EN[0] + "\n- wind: 12 km/h\n- rain: 3 mm", None),
     ]
-    got = [pairs.defect_of(pairs.cp_form(a), None if b is None else pairs.cp_form(b), field)[0] for a, b, _ in cases]
-    assert [(c[1], g) for c, g in zip(cases, got)] == [(c[1], c[2]) for c in cases]
+    assert [(c[1], g) for c, g in zip(cases, defects(field, [c[:2] for c in cases]))] == [(c[1], c[2]) for c in cases]
+
+
+def test_answers_in_languages_that_the_model_does_not_know(field):
+    answers = [
+        "Amanhã vai chover em Lisboa durante a tarde, e o vento será forte perto da costa. À noite a temperatura desce bastante.",
+        "Il tempo domani sarà nuvoloso con piogge sparse nel pomeriggio, soprattutto al nord. La sera farà piuttosto freddo.",
+        "Morgen wordt het bewolkt met kans op regen, en de wind draait naar het noordwesten. Tegen de avond wordt het erg koud.",
+        "Завтра в городе ожидается дождь и сильный ветер. К вечеру станет холодно.",
+    ]
+    assert defects(field, [(Q, a) for a in answers]) == ["language"] * 4
+    assert defects(field, [(Q + " Please reply in Portuguese.", answers[0])]) == [None]
+    assert defects(field, [("¿Va a llover mañana por la tarde cerca de la costa, y hará mucho frío por la noche?", answers[2])]) == ["language"]
+
+
+def test_a_refusal_at_the_end_of_a_long_clause(field):
+    polite = "Thank you so much for your kind and thoughtful question about the weather near the river and the hills around the old mill by the road to the market which I have read with great care and interest over and over this fine morning while the wind was blowing"
+    for late in ("but I must decline to answer.", "but this is a matter on which I cannot comment."):
+        assert len((polite + " " + late).split()) > 45
+        assert defects(field, [(Q, f"{polite} {late}")]) == ["refusal"], late
+    assert defects(field, [(Q, "This is a matter on which I must decline to answer.")]) == ["refusal"]
 
 
 def test_all_words_of_a_long_clause_are_features():
-    answer = " ".join(f"word{k}" for k in range(60)) + " so i must decline to answer"
-    _, rows, sizes = pairs.featurize("What is the weather?", answer, {})
-    assert sizes == [66]
-    for feature in ("w:word59", "w:decline", "p:must decline", "p:to answer"):
-        assert zlib.crc32(feature.encode()) % pairs.DIM in rows[0]
+    none = pairs.Field()
+    many = " ".join(f"word{k}" for k in range(300))
+    b = pairs.featurize(["What is the weather?"], [many], none.ends, none.model)
+    assert b.sizes.tolist() == [300] and b.lexical.sum() == 300 + 299
+
+
+def test_clauses():
+    c = pairs.clauses_of(["One two. Three four?\" Five\nSix. ", None, "", "A.B. c", "…  \n\n", "x" * 50_000])
+    assert [(p, t[:20], k) for p, t, k in zip(c.pair.tolist(), c.texts(), c.kind.tolist())] == [
+        (0, "One two.", 4), (0, 'Three four?"', 4), (0, "Five", 1), (0, "Six.", 4), (3, "A.B.", 4), (3, "c", 1), (4, "...", 7), (5, "x" * 20, 1),
+    ]
+    assert c.last.tolist() == [False, False, False, True, False, True, True, True]
+
+
+def test_sequences_decoded_at_once_are_those_decoded_alone():
+    rng = np.random.default_rng(5)
+    field = pairs.Field(moves=rng.normal(size=(5, 5)))
+    length = np.array([3, 0, 1, 7, 2, 7])
+    begin = np.r_[0, np.cumsum(length)[:-1]]
+    s = rng.normal(size=(length.sum(), 5))
+    got = field.decode(s, begin, length)
+    for b, n in zip(begin, length):
+        best = max(itertools.product(range(5), repeat=int(n)), key=lambda t: sum(s[b + k, x] for k, x in enumerate(t)) + sum(field.moves[x, y] for x, y in zip(t, t[1:])))
+        assert n == 0 or got[b : b + n].tolist() == list(best)
 
 
 def test_an_untrained_field_and_odd_texts():
-    field = pairs.train([])
-    for a in ("x", "🌧", "a" * 50_000, "\n\n.", "? ! ."):
-        pairs.defect_of("", a, field)
-    assert pairs.defect_of("", None, field)[0] == "empty"
+    field = pairs.train([], language.Languages([], np.zeros((0, language.BUCKETS))))
+    odd = ["x", "🌧", "a" * 50_000, "\n\n.", "? ! .", "", None]
+    found, _, tags = field.tagged([""] * 7, odd)
+    assert found[1] == found[3] == found[4] == found[5] == found[6] == "empty" and len(field.tagged([], [])[0]) == 0
+    assert defects(field, []) == []
 
 
 def test_pair_rows(spark):
@@ -106,6 +151,31 @@ def test_scores_do_not_depend_on_the_batch():
     assert alone[-2] == 0
 
 
+def test_words_remembered_are_words_worked_out():
+    t = toxic.Tokenizer(most=5)
+    forms = [x for x, _ in labelled(20, 5)] + ["you s.t.u.p.i.d c0w!!", "", "STUPIIID * 12 a*b"]
+    for _ in range(2):
+        assert [i.tolist() for i in t.ids(forms)] == [toxic.token_ids(toxic.tokens(f)).tolist() for f in forms]
+    assert t.ids([]) == []
+
+
+def test_a_saved_network_scores_the_same(spark, tmp_path):
+    model = language.Languages(["de", "en"], np.random.default_rng(1).integers(0, 9, (2, language.BUCKETS)))
+    net = toxic.train(labelled(200, 6), [], model, epochs=2)
+    net.save(spark, str(tmp_path / "net"))
+    same = toxic.Network.load(spark, str(tmp_path / "net"))
+    docs = toxic.Tokenizer().ids([t for t, _ in labelled(30, 7)])
+    assert np.array_equal(net.scores(docs), same.scores(docs)) and same.thresholds == net.thresholds
+    assert same.model.best(EN + DE) == model.best(EN + DE)
+
+
+def test_a_network_is_trained_once_for_the_same_rows(spark):
+    items = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(labelled(120, 8))], "id long, content string")
+    marks = spark.createDataFrame([(k, int(y)) for k, (_, y) in enumerate(labelled(120, 8))], "item_id long, toxic int")
+    one = toxic.learned(items, marks)
+    assert toxic.learned(items, marks) is one and toxic.learned(items, marks.where("item_id < 100")) is not one
+
+
 def test_no_labels():
     assert toxic.train([], ["x"]) is None and toxic.train([("a b c", 1.0)], []) is None
 
@@ -114,15 +184,9 @@ def test_end_shares_are_counted_over_all_answers(spark):
     rng = random.Random(3)
     answers = [" ".join(rng.choice(EN + DE).replace("river", f"river{k % 9}") for _ in range(2)) for k in range(60)] + [None, "", "Here it ends at dusk.", "Again it ends at dusk.", "The dusk is long and it ends at dusk", "Dusk.", "🌧"]
     rows = spark.createDataFrame([(k, 0, f"q{k}", a) for k, a in enumerate(answers)], "entry_id long, msg_index int, question string, answer string").repartition(5)
-    seen, ended = pairs.count_ends([pairs.cp_form(a) for a in answers if a])
-    want = {w: ended[w] / n for w, n in seen.items() if n >= 3}
-    shares = pairs.end_shares(rows)
-    assert {r.key: r.share for r in shares.collect()} == want
-    assert seen["dusk"] == 5 and want["dusk"] == 3 / 5 and want["at dusk"] == 2 / 3
-    # what a sample of one pair has never seen is known all the same
-    assert pairs.learned(rows, shares, sample=1).ends.items() <= want.items()
-    got = {r.entry_id: (r.answer, r.one, r.share_one, r.two, r.share_two) for r in pairs.with_shares(rows, shares).collect()}
-    assert len(got) == len(answers)
-    for k, a in enumerate(answers):
-        one, two = pairs.last_keys(pairs.cp_form(a))
-        assert got[k] == (a, one, want.get(one), two, want.get(two))
+    want = pairs.shares_of(*pairs.count_ends(answers))
+    got = pairs.end_shares(rows)
+    assert (got == want).all()
+    words = cp.word_spans(*cp.explode(["at dusk"]))[0]
+    cell = lambda h: int(h % np.uint64(pairs.CELLS))
+    assert got[cell(words[1])] == pytest.approx(3 / 5) and got[cell(pairs._pair_hash(words[:1], words[1:])[0])] == pytest.approx(2 / 3)
