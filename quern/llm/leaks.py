@@ -8,12 +8,12 @@ it:
 1. Every evaluation hash is counted over all training records, exactly and
    with partial aggregation.
 2. A training record that holds the share c of an evaluation record's hashes
-   holds one of any |e| - ceil(c |e|) + 1 of them, so only so many of each, the
+   holds k of any |e| - ceil(c |e|) + k of them, so only so many of each, the
    rarest in training, are looked for: what a third of all records share joins
-   nothing, and no pair is lost.
-3. A second scan gives the training records that hold one of these; hashes in
-   more than SALT records are split into parts, and partners that share several
-   come out once.
+   nothing, and no pair is lost.  k is a part (WANTED) of |e|.
+3. A second scan gives the training records that hold any of these; hashes in
+   more than SALT records are split into parts; pairs are counted, and those
+   with k of them go on.
 4. Containment of the evaluation record in the training record is computed for
    every pair from the whole sets; pairs of at least c go on.  Similarity is
    looked at after that: similar records contain each other at least as much.
@@ -38,6 +38,7 @@ from quern.llm import codepoints as cp
 from quern.llm.common import binary_rows, binary_values, bitmap, expanded, in_bitmap, keep, pair_overlaps, small
 from quern.session import cut, spread, table
 
+WANTED = 0.06  # share of an evaluation record's hashes that a partner must hold of its rarest
 SALT = 4096  # training records of one part of a hash
 
 
@@ -120,8 +121,8 @@ def counted(sets: DataFrame, bits: np.ndarray) -> DataFrame:
     return sets.select("grams").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def looked_for(evaluation: DataFrame, training: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """(gram, a, n) to look for, of sets (id, grams): the rarest hashes of each evaluation record, enough that no training record with ``least`` of all lacks them; and the training sets' (gram, b) that match.
+def looked_for(evaluation: DataFrame, training: DataFrame, least: float, wanted: float = WANTED) -> tuple[DataFrame, DataFrame]:
+    """(gram, a, n, k) to look for, of sets (id, grams): the rarest hashes of each evaluation record, so many that each training record with ``least`` of all has k of them; and the training sets' (gram, b) that match.
 
     n is the number of training records with the hash; hashes in none are not looked for.
     """
@@ -130,18 +131,20 @@ def looked_for(evaluation: DataFrame, training: DataFrame, least: float) -> tupl
     order = Window.partitionBy("a").orderBy("_n", "gram")  # the hashes of one record
     ranked = grams.join(counts, "gram", "left").select("a", "gram", F.coalesce("n", F.lit(0)).alias("_n"))
     ranked = ranked.withColumn("_place", F.row_number().over(order)).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("a")))
-    rare = ranked.where((F.col("_n") > 0) & (F.col("_place") <= F.col("_size") - F.ceil(F.col("_size") * least - 1e-9) + 1))
-    rare = cut(rare.select("gram", "a", F.col("_n").alias("n")))
+    ranked = ranked.withColumn("_least", F.ceil(F.col("_size") * least - 1e-9)).withColumn("k", F.least(F.col("_least"), F.ceil(F.col("_size") * wanted)).cast("int"))
+    rare = ranked.where((F.col("_n") > 0) & (F.col("_place") <= F.col("_size") - F.col("_least") + F.col("k")))
+    rare = cut(rare.select("gram", "a", F.col("_n").alias("n"), "k"))
     return rare, scanned(training, bitmap(rare, "gram", rare.count()), "b")
 
 
 def met(rare: DataFrame, hits: DataFrame, salt: int = SALT) -> DataFrame:
-    """Pairs (a, b) that share a hash looked for, once each.  The records of a hash in more than ``salt`` of them are dealt to parts, each of which meets the evaluation records of the hash."""
+    """Pairs (a, b) that share k hashes looked for, once each.  The records of a hash in more than ``salt`` of them are dealt to parts, each of which meets the evaluation records of the hash."""
     parts = F.ceil(F.col("n") / salt).cast("int")
     large = small(rare.where(parts > 1).select("gram", parts.alias("_parts")).distinct())
     dealt = hits.join(large, "gram", "left").select("gram", "b", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("_parts"))).cast("int").alias("_part"))
-    asked = rare.select("gram", "a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-    return cut(asked.join(dealt, ["gram", "_part"]).select("a", "b").distinct())
+    asked = rare.select("gram", "a", "k", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    shared = asked.join(dealt, ["gram", "_part"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"), F.max("k").alias("k"))
+    return cut(shared.where("_n >= k").select("a", "b"))
 
 
 def contained(pairs: DataFrame, evaluation: DataFrame, training: DataFrame, least: float) -> DataFrame:
@@ -170,13 +173,14 @@ def classes(rows: DataFrame, n: int = 3, min_words: int = 20) -> tuple[DataFrame
     least = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
     members = cut(sets.select("held", "d1", "d2", "id").join(least, ["held", "d1", "d2"]).select("rep", "id", "held", "d1").distinct())
     copies = members.where("id != rep").select("held", "id", "d1")
-    return sets.join(small(copies), ["held", "id", "d1"], "left_anti").dropDuplicates(["held", "id"]), members.drop("d1")
+    own = keep(sets.join(small(copies), ["held", "id", "d1"], "left_anti").dropDuplicates(["held", "id"]), now=True)
+    sets.unpersist()
+    return own, members.drop("d1")
 
 
 def containments(rows: DataFrame, least: float = 0.6, n: int = 3, min_words: int = 20, salt: int = SALT) -> tuple[DataFrame, DataFrame]:
     """Links (a: evaluation, b: training, size_a, size_b, shared) of class representatives of rows (held, id, text) whose containment is ``least`` or more, and members (rep, id, held)."""
     sets, members = classes(rows, n, min_words)
-    sets = keep(sets, now=True)
     evaluation, training = sets.where("held"), sets.where("not held")
     rare, hits = looked_for(evaluation, training, least)
     return cut(contained(met(rare, hits, salt), evaluation, training, least)), members
