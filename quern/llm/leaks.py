@@ -173,7 +173,10 @@ def classes(rows: DataFrame, n: int = 3, min_words: int = 20) -> tuple[DataFrame
     least = sets.groupBy("held", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
     members = cut(sets.select("held", "d1", "d2", "id").join(least, ["held", "d1", "d2"]).select("rep", "id", "held", "d1").distinct())
     copies = members.where("id != rep").select("held", "id", "d1")
-    own = keep(sets.join(small(copies), ["held", "id", "d1"], "left_anti").dropDuplicates(["held", "id"]), now=True)
+    own = sets.join(small(copies), ["held", "id", "d1"], "left_anti")
+    if not sets.groupBy("held", "id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():  # rows may be repeated in the table; only then are sets moved to leave them out
+        own = own.dropDuplicates(["held", "id"])
+    own = keep(own, now=True)
     sets.unpersist()
     return own, members.drop("d1")
 
