@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def sized(spark: SparkSession, rows: int, each: int = 400_000) -> Iterator[None]:
+    """Within it, shuffles have so many partitions that one holds about ``each`` of the rows; never fewer than the session has set.  For steps that are computed at once."""
+    name = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(was), -(-rows // each))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder, with its lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
