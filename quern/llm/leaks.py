@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
 from quern.llm.common import binary_rows, binary_values, bitmap, expanded, in_bitmap, keep, pair_overlaps, small
-from quern.session import cut, spread, table
+from quern.session import cut, sized, spread, table
 
 WANTED = 0.06  # share of an evaluation record's hashes that a partner must hold of its rarest
 SALT = 4096  # training records of one part of a hash
@@ -127,13 +127,16 @@ def looked_for(evaluation: DataFrame, training: DataFrame, least: float, wanted:
     n is the number of training records with the hash; hashes in none are not looked for.
     """
     grams = keep(gram_lists(evaluation, "a"), now=True)
-    counts = counted(training, bitmap(grams, "gram", grams.count()))
+    many = grams.count()
+    counts = counted(training, bitmap(grams, "gram", many))
     order = Window.partitionBy("a").orderBy("_n", "gram")  # the hashes of one record
     ranked = grams.join(counts, "gram", "left").select("a", "gram", F.coalesce("n", F.lit(0)).alias("_n"))
     ranked = ranked.withColumn("_place", F.row_number().over(order)).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("a")))
     ranked = ranked.withColumn("_least", F.ceil(F.col("_size") * least - 1e-9)).withColumn("k", F.least(F.col("_least"), F.ceil(F.col("_size") * wanted)).cast("int"))
     rare = ranked.where((F.col("_n") > 0) & (F.col("_place") <= F.col("_size") - F.col("_least") + F.col("k")))
-    rare = cut(rare.select("gram", "a", F.col("_n").alias("n"), "k"))
+    with sized(grams.sparkSession, many):
+        rare = cut(rare.select("gram", "a", F.col("_n").alias("n"), "k"))
+    grams.unpersist()
     return rare, scanned(training, bitmap(rare, "gram", rare.count()), "b")
 
 
@@ -144,7 +147,8 @@ def met(rare: DataFrame, hits: DataFrame, salt: int = SALT) -> DataFrame:
     dealt = hits.join(large, "gram", "left").select("gram", "b", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("_parts"))).cast("int").alias("_part"))
     asked = rare.select("gram", "a", "k", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
     shared = asked.join(dealt, ["gram", "_part"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"), F.max("k").alias("k"))
-    return cut(shared.where("_n >= k").select("a", "b"))
+    with sized(rare.sparkSession, rare.agg(F.sum("n")).first()[0] or 0):
+        return cut(shared.where("_n >= k").select("a", "b"))
 
 
 def contained(pairs: DataFrame, evaluation: DataFrame, training: DataFrame, least: float) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import codepoints as cp
 from quern.llm.common import binary_rows, components, expanded, keep, small, table_name, text_rows, verified
-from quern.session import cut
+from quern.session import cut, sized
 
 BITS = 128
 BANDS, BAND = 28, 3
@@ -229,18 +229,21 @@ def candidates(sig: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFram
     classes = keep(sig.dropDuplicates(["d1"]))  # copies end here, so buckets are sized by classes
     prints = classes.select("d1", "f1", "f2")
     exploded = classes.select("d1", F.explode("keys").alias("key"))
-    sized = cut(exploded.join(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
-    found = _join_buckets(sized.where(F.col("n") <= hot).join(prints, "d1"), budget)
-    large = sized.where(F.col("n") > hot)
-    if not large.isEmpty():
-        found = found.unionByName(_join_buckets(_in_blocks(large.join(prints, "d1"), budget, hot), budget, blocks=True))
-    return found.distinct()
+    with sized(sig.sparkSession, classes.agg(F.sum(F.size("keys"))).first()[0] or 0):
+        buckets = cut(exploded.join(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
+        found = _join_buckets(buckets.where(F.col("n") <= hot).join(prints, "d1"), budget)
+        large = buckets.where(F.col("n") > hot)
+        if not large.isEmpty():
+            found = found.unionByName(_join_buckets(_in_blocks(large.join(prints, "d1"), budget, hot), budget, blocks=True))
+        found = cut(found.distinct())
+    classes.unpersist()
+    return found
 
 
 def linked(rows: DataFrame, threshold: float = 0.6, grams: int = 3, min_words: int = 10, budget: int = BUDGET, hot: int = HOT, bands: int = BANDS, band: int = BAND) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, size_a, size_b, shared) between the classes of rows (tb, id, text), and members (rep, tb, id, d2)."""
     sig = keep(signatures(rows, grams, min_words, bands, band), now=True)
-    pairs = cut(candidates(sig.select("d1", "f1", "f2", "keys"), budget, hot))
+    pairs = candidates(sig.select("d1", "f1", "f2", "keys"), budget, hot)
     links = verified(pairs, sig.select(F.col("d1").alias("id"), "grams"), threshold, "<u4")
     return links, sig.select(F.col("d1").alias("rep"), "tb", "id", "d2")
 
