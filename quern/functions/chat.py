@@ -51,9 +51,14 @@ def system_prompt(persona: Column) -> Column:
     return out
 
 
+def draw(key: Column, seed: int = 42) -> Column:
+    """A number of 32 bits from an md5 of the seed and a key: the same in every run, on any number of executors and in any engine; null keys draw as ''."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("long")
+
+
 def pick(key: Column, choices: tuple[str, ...] | list[str], seed: int = 42) -> Column:
-    """One of the choices by a hash of the key: the same in every run and on any number of executors."""
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (F.pmod(F.xxhash64(F.lit(seed), key), F.lit(len(choices))) + 1).cast("int"))
+    """One of the choices by a draw."""
+    return F.element_at(F.array(*[F.lit(c) for c in choices]), (draw(key, seed) % len(choices) + 1).cast("int"))
 
 
 def single_turn(text: Column, persona: Column, key: Column) -> Column:

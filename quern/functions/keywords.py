@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from quern.functions.text import NOT_WORD
 
 # Keyword lists.
-WEATHER = (
-    "weather rain storm thunder lightning cloud sun wind climate temperature snow fog drought hurricane tornado flood heat cold frost dew hail"
-).split()
-HUMOR = "joke wit laugh humor comic amusing funny satire irony jest".split()
-EXPANDED = (
-    WEATHER
-    + "winter summer spring fall autumn seasonal heatwave blizzard wildfire avalanche monsoon typhoon cyclone tsunami thunderstorm snowstorm".split()
-    + "forecast outlook weathering sunny cloudy rainy stormy breezy".split()
-)
+WEATHER = [
+    "weather", "rain", "storm", "thunder", "lightning", "cloud", "sun", "wind", "climate", "temperature",
+    "snow", "fog", "drought", "hurricane", "tornado", "flood", "heat", "cold", "frost", "dew", "hail",
+]
+HUMOR = ["joke", "wit", "laugh", "humor", "comic", "amusing", "funny", "satire", "irony", "jest"]
+EXPANDED = [
+    *WEATHER,
+    "winter", "summer", "spring", "fall", "autumn", "seasonal",
+    "heatwave", "blizzard", "wildfire", "avalanche", "monsoon", "typhoon", "cyclone", "tsunami", "thunderstorm", "snowstorm",
+    "forecast", "outlook", "weathering", "sunny", "cloudy", "rainy", "stormy", "breezy",
+]
 
 
 def tokens(text: Column) -> Column:

@@ -6,7 +6,7 @@ throughout.  Error columns hold the first error's text, or null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quern.functions.chat import calls, final_response, has_calls
@@ -28,6 +28,13 @@ def first_error(*errors: Column) -> Column:
     return F.coalesce(*errors, F.lit(None).cast("string"))
 
 
+def references(messages: Column) -> Column:
+    """(answered, told): how many tool messages refer to a call of the conversation, and how many there are."""
+    ids = F.transform(calls(messages), lambda c: c["id"])
+    told = F.filter(messages, lambda m: m["role"] == "tool")
+    return F.struct(F.size(F.filter(told, lambda m: F.coalesce(F.array_contains(ids, m["tool_call_id"]), F.lit(False)))).alias("answered"), F.size(told).alias("told"))
+
+
 def roles_error(messages: Column) -> Column:
     """The first fault in the order of roles.
 
@@ -168,31 +175,18 @@ def last_tool_content(messages: Column) -> Column:
     return F.when(F.size(told) > 0, F.element_at(told, -1)["content"])
 
 
-def nearest_location(lat: Column, lon: Column, locations: list[dict]) -> Column:
-    """The row of ``locations`` (pos, latitude, longitude and more) with the least distance in degrees; the first of equals.
-
-    The list is a literal of the plan: a gazetteer of bounded size (``gazetteer``), so no join is needed.
-    """
-    rows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in locations])
-
-    def far(r: Column) -> Column:
-        return (r["latitude"] - lat) * (r["latitude"] - lat) + (r["longitude"] - lon) * (r["longitude"] - lon)
-
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(F.transform(rows, lambda r: F.struct(far(r).alias("far"), r["pos"].alias("pos"), r.alias("place"))))["place"])
-
+def asked_point(messages: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of the arguments of the last call."""
+    arguments = last_call(messages)["function"]["arguments"]
+    return _json(arguments, "$.latitude", "double"), _json(arguments, "$.longitude", "double")
 
-def gazetteer(locations: DataFrame, limit: int = 2000) -> list[dict]:
-    """The rows of a small location table; more than ``limit`` are refused, as they no longer fit into a plan."""
-    rows = [r.asDict() for r in locations.orderBy("pos").limit(limit + 1).collect()]
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} locations: join by a grid of degrees instead")
-    return rows
 
+def weather_error(messages: Column, place: Column) -> Column:
+    """The first semantic fault of a tool's answer: range and climate of the temperature, condition, humidity, forecast days and their extremes.
 
-def weather_error(messages: Column, locations: list[dict]) -> Column:
-    """The first semantic fault of a tool's answer: range and climate of the temperature, condition, humidity, forecast days and their extremes."""
-    arguments = last_call(messages)["function"]["arguments"]
-    place = nearest_location(_json(arguments, "$.latitude", "double"), _json(arguments, "$.longitude", "double"), locations)
+    ``place`` is the row of the location nearest to the point asked for
+    (``joins.nearest`` on ``asked_point``).
+    """
     parts = F.struct(last_call(messages).alias("call"), last_tool_content(messages).alias("told"), place.alias("place"))
     return let(parts, lambda p: _weather_error(p["call"], p["told"], p["place"]))
 
@@ -265,9 +259,9 @@ def groundedness(messages: Column) -> Column:
     )
 
 
-def all_errors(messages: Column, persona: Column, tone: Column, domain: Column, locations: list[dict], least: float = 0.5) -> Column:
+def all_errors(messages: Column, persona: Column, tone: Column, domain: Column, place: Column, least: float = 0.5) -> Column:
     """The errors of every kind, each with its kind before it."""
-    chat, calls_, weather, share = entry_error(messages, persona, tone, domain), calls_error(messages), weather_error(messages, locations), groundedness(messages)
+    chat, calls_, weather, share = entry_error(messages, persona, tone, domain), calls_error(messages), weather_error(messages, place), groundedness(messages)
     return F.array_compact(
         F.array(
             F.concat(F.lit("Chat format: "), chat),

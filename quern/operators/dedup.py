@@ -14,6 +14,7 @@ are aggregated map side.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -26,9 +27,23 @@ from pyspark.sql import functions as F
 from quern.functions.text import let
 
 PRIME = 2147483647
-PERMUTATIONS = 117  # of a threshold of 0.8
-#: (bands, rows) by threshold: the least of the mean of both error areas for about 128 permutations.
-BANDS = {0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25)}
+PERMUTATIONS = 128
+
+
+@functools.cache
+def band_shape(threshold: float, permutations: int = PERMUTATIONS) -> tuple[int, int]:
+    """(bands, rows) of at most so many permutations for which the mean of both error areas is least: of pairs below the threshold that share a band, and of pairs above it that share none."""
+    if not 0 < threshold <= 1 or permutations < 1:
+        raise ValueError("the threshold must be in (0, 1], and there must be permutations")
+    step = 0.001
+    x = np.arange(step / 2, 1, step)
+    below = x < threshold
+
+    def error(b: int, r: int) -> float:
+        met = 1 - (1 - x**r) ** b
+        return float((met[below].sum() + (1 - met[~below]).sum()) * step / 2)
+
+    return min(((b, r) for b in range(1, permutations + 1) for r in range(1, permutations // b + 1)), key=lambda s: (error(*s), s))
 
 
 def coefficients(count: int = PERMUTATIONS, seed: int = 1) -> list[tuple[int, int]]:
@@ -85,17 +100,17 @@ def _signature(h: np.ndarray, pairs: np.ndarray, step: int = 20_000) -> np.ndarr
     return out
 
 
-def bands(signature: Column, threshold: float = 0.8) -> Column:
+def bands(signature: Column, threshold: float = 0.8, permutations: int = PERMUTATIONS) -> Column:
     """array<struct<band, key>> of a signature of as many permutations as the bands take: the rows of each band joined."""
-    b, r = BANDS[threshold]
+    b, r = band_shape(threshold, permutations)
     return F.array(*[F.struct(F.lit(k).alias("band"), F.array_join(F.slice(signature, k * r + 1, r).cast("array<string>"), ",").alias("key")) for k in range(b)])
 
 
-def band_rows(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
+def band_rows(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3, permutations: int = PERMUTATIONS) -> DataFrame:
     """(id, band, key) of every record, the band's key as a 16-byte digest."""
-    b, r = BANDS[threshold]
+    b, r = band_shape(threshold, permutations)
     sig = df.select(F.col(key).alias("id"), minhash(F.col(text), k, b * r).alias("s"))
-    return sig.select("id", F.explode(bands(F.col("s"), threshold)).alias("b")).select("id", "b.band", F.md5(F.col("b.key").cast("binary")).alias("key"))
+    return sig.select("id", F.explode(bands(F.col("s"), threshold, permutations)).alias("b")).select("id", "b.band", F.md5(F.col("b.key").cast("binary")).alias("key"))
 
 
 def exact(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -127,14 +142,20 @@ def keep_first(rows: DataFrame) -> DataFrame:
     return rows.join(reach, ["band", "key"]).groupBy("id").agg(F.min("reach").alias("reach")).where("reach < id").select("id")
 
 
-def remove_near(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
+def remove_near(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3, permutations: int = PERMUTATIONS) -> DataFrame:
     """df without the records that ``keep_first`` removes."""
-    return df.join(near_keys(df, key, text, threshold, k), key, "left_anti")
+    return df.join(near_keys(df, key, text, threshold, k, permutations), key, "left_anti")
 
 
-def near_keys(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3) -> DataFrame:
+def near_keys(df: DataFrame, key: str, text: str, threshold: float = 0.8, k: int = 3, permutations: int = PERMUTATIONS) -> DataFrame:
     """(key) of the rows that ``remove_near`` removes."""
-    return keep_first(band_rows(df.where(F.col(key).isNotNull()), key, text, threshold, k)).withColumnRenamed("id", key)
+    return keep_first(band_rows(df.where(F.col(key).isNotNull()), key, text, threshold, k, permutations)).withColumnRenamed("id", key)
+
+
+def copies(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(digest, kept, n): of each text (lower-cased and trimmed; null is '') that comes more than once the least key and the number of rows."""
+    digest = F.md5(F.lower(F.trim(F.coalesce(F.col(text), F.lit("")))).cast("binary"))
+    return df.select(digest.alias("digest"), F.col(key).alias("_k")).groupBy("digest").agg(F.min("_k").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def duplicate_stats(total: DataFrame, kept: DataFrame) -> DataFrame:

@@ -12,23 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.chat import CALL, SYSTEM
-from quern.functions.validate import all_errors, gazetteer, nearest_location
-from quern.operators.sampling import weighted
-from quern.session import settled
+from quern.functions.validate import all_errors, asked_point
+from quern.operators.joins import dimension, nearest
+from quern.operators.sampling import ranked, weighted
+from quern.session import cut, settled
 
 # Conditions of each climate zone, and chances.
 BY_CLIMATE = {
-    "tropical": "clear partly_cloudy cloudy rain thunderstorm fog",
-    "temperate": "clear partly_cloudy cloudy rain drizzle fog snow sleet",
-    "desert": "clear partly_cloudy hot dust sandstorm",
-    "oceanic": "cloudy partly_cloudy clear rain drizzle fog mist",
-    "mediterranean": "clear partly_cloudy cloudy rain",
-    "subarctic": "clear cloudy snow sleet freezing_rain fog",
-    "arctic": "clear snow blizzard fog extreme_cold",
-    "continental": "clear partly_cloudy cloudy rain snow thunderstorm",
-    "subtropical": "clear partly_cloudy cloudy rain thunderstorm",
-    "equatorial": "partly_cloudy cloudy rain thunderstorm",
-    "semi-arid": "clear partly_cloudy hot dust",
+    "tropical": ("clear", "partly_cloudy", "cloudy", "rain", "thunderstorm", "fog"),
+    "temperate": ("clear", "partly_cloudy", "cloudy", "rain", "drizzle", "fog", "snow", "sleet"),
+    "desert": ("clear", "partly_cloudy", "hot", "dust", "sandstorm"),
+    "oceanic": ("cloudy", "partly_cloudy", "clear", "rain", "drizzle", "fog", "mist"),
+    "mediterranean": ("clear", "partly_cloudy", "cloudy", "rain"),
+    "subarctic": ("clear", "cloudy", "snow", "sleet", "freezing_rain", "fog"),
+    "arctic": ("clear", "snow", "blizzard", "fog", "extreme_cold"),
+    "continental": ("clear", "partly_cloudy", "cloudy", "rain", "snow", "thunderstorm"),
+    "subtropical": ("clear", "partly_cloudy", "cloudy", "rain", "thunderstorm"),
+    "equatorial": ("partly_cloudy", "cloudy", "rain", "thunderstorm"),
+    "semi-arid": ("clear", "partly_cloudy", "hot", "dust"),
 }
 COLD, HOT = ("snow", "blizzard", "extreme_cold", "clear", "cloudy"), ("clear", "partly_cloudy", "hot", "dust")
 SCENARIOS = {"success": 0.65, "error": 0.175, "multi_turn": 0.175}
@@ -49,6 +50,7 @@ ASK = {
     "forecast": ["What is the forecast for {}?", "How will the weather be in {} this week?", "Give me the next days for {}."],
     "geocode": ["Where is {}?", "What are the coordinates of {}?"],
 }
+OPENING = ["I am planning a trip to {}.", "I have a few questions about {}.", "Let us talk about {}."]  # of conversations that go on
 INTRO = {"current": "I will look up the current weather.", "forecast": "I will get the forecast.", "geocode": "I will find the coordinates."}
 
 
@@ -75,7 +77,7 @@ def conditions(climate: Column, temperature: Column) -> Column:
     """The conditions a climate allows at a temperature."""
     out = F.array(*[F.lit(c) for c in ("clear", "cloudy", "rain")])
     for zone, names in BY_CLIMATE.items():
-        out = F.when(climate == zone, F.array(*[F.lit(c) for c in names.split()])).otherwise(out)
+        out = F.when(climate == zone, F.array(*[F.lit(c) for c in names])).otherwise(out)
     fit = F.when(temperature < -10, F.filter(out, lambda c: c.isin(*COLD))).when(temperature > 35, F.filter(out, lambda c: c.isin(*HOT))).otherwise(out)
     return F.when(F.size(fit) > 0, fit).otherwise(F.array(F.lit("clear"), F.lit("cloudy")))
 
@@ -123,23 +125,24 @@ def error_payload(kind: Column, function: Column) -> Column:
     return F.struct(F.lit(True).alias("error"), kind.alias("error_type"), text.alias("message"), function.alias("function"))
 
 
-def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int = 42, personas: dict[str, float] = PERSONAS, start: str = "2025-06-01") -> DataFrame:
-    """n conversations of five messages: system, question, tool call, tool answer, reply.
+def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int = 42, personas: dict[str, float] = PERSONAS, start: str = "2025-06-01", first: int = 0) -> DataFrame:
+    """n conversations, numbered from ``first``, of five messages: system, question, tool call, tool answer, reply; those of scenario multi_turn open with a question about the weather of their own.
 
     Cities come in a permutation per block of all places, so one comes again
     only after all others of the block.
     """
-    places = gazetteer(locations)
-    rows = spark.range(n).withColumnRenamed("id", "row")
-    row, m = F.col("row"), len(places)
+    places = cut(ranked(locations.withColumn("_all", F.lit(1)), "_all", [F.col("pos")], "_which").drop("_all"))
+    m = places.count()
+    rows = spark.range(first, first + n).withColumnRenamed("id", "row")
+    row = F.col("row")
     step = next(s for s in range(max(2, m // 2), m + 2) if math.gcd(s, m) == 1) if m > 1 else 1
-    shift = F.pmod(F.xxhash64(F.lit(seed), F.floor(row / m)), F.lit(m))
-    which = F.pmod(row * step + shift, F.lit(m)).cast("int")
-    listed = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in p.items()]) for p in places])
+    shift = F.pmod(F.xxhash64(F.lit(seed), F.floor(row / max(m, 1))), F.lit(max(m, 1)))
+    which = F.pmod(row * step + shift, F.lit(max(m, 1)))
     rows = rows.withColumns({
         "scenario": weighted(F.concat(F.lit("s"), row.cast("string")), SCENARIOS, seed), "persona": weighted(F.concat(F.lit("p"), row.cast("string")), personas, seed),
-        "query_type": weighted(F.concat(F.lit("q"), row.cast("string")), QUERIES, seed), "place": F.get(listed, which), "start": F.to_date(F.lit(start)),
+        "query_type": weighted(F.concat(F.lit("q"), row.cast("string")), QUERIES, seed), "start": F.to_date(F.lit(start)), "_which": which,
     })
+    rows = rows.join(dimension(places.select("_which", F.struct(*[c for c in places.columns if c != "_which"]).alias("place"))), "_which").drop("_which")
     rows = settled(rows)
     place, query, failing = F.col("place"), F.col("query_type"), F.col("scenario") == "error"
     days = F.when(failing, 20).otherwise((F.floor(uniform(seed, row, "days") * 5) + 3).cast("int"))
@@ -171,6 +174,8 @@ def conversations(spark: SparkSession, n: int, locations: DataFrame, seed: int =
     for kind, texts in ASK.items():
         text = one_of(seed, row, "ask", F.array(*[F.lit(t) for t in texts]))
         asked = F.when(query == kind, F.replace(text, F.lit("{}"), place["city"])).otherwise(asked)
+    opening = one_of(seed, row, "open", F.array(*[F.lit(t) for t in OPENING]))
+    asked = F.when(F.col("scenario") == "multi_turn", F.concat(F.replace(opening, F.lit("{}"), place["city"]), F.lit(" "), asked)).otherwise(asked)
     intro, system = F.lit(""), F.lit(SYSTEM["neutral"])
     for kind, text in INTRO.items():
         intro = F.when(query == kind, text).otherwise(intro)
@@ -203,14 +208,42 @@ def accepted(spark: SparkSession, n: int, locations: DataFrame, seed: int = 42,
     A run that broke off is made again from the same seed, with the same rows;
     written by ranges of ids, it goes on with the first range that is missing.
     """
-    made = conversations(spark, n * tries, locations, seed, personas)
-    errors = all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), gazetteer(locations))
-    return made.where(F.size(errors) == 0).orderBy("metadata.conversation_id").limit(n)
+    made = checked(conversations(spark, n * tries, locations, seed, personas), locations)
+    return made.where(F.size("errors") == 0).drop("errors").orderBy("metadata.conversation_id").limit(n)
+
+
+def checked(made: DataFrame, locations: DataFrame) -> DataFrame:
+    """made with ``errors``, of every kind, of each conversation."""
+    lat, lon = asked_point(F.col("messages"))
+    rows = nearest(made, lat, lon, locations, "_place")
+    return rows.withColumn("errors", all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), F.col("_place"))).drop("_place")
+
+
+def resumed(spark: SparkSession, folder: str, n: int, locations: DataFrame, each: int = 1000, seed: int = 42) -> list[int]:
+    """Conversations 0 to n written by ranges of ``each`` into folders of their own; ranges that stand there whole are left as they are.  The ranges that were made.
+
+    Rows depend on the seed and their number only, so a run that broke off
+    gives, gone on with, what it would have given.
+    """
+    made = []
+    jvm = spark.sparkContext._jvm
+    for k in range(-(-n // each)):
+        path = f"{folder}/range={k}"
+        done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            conversations(spark, min(each, n - k * each), locations, seed, first=k * each).write.mode("overwrite").json(path)
+            made.append(k)
+    return made
+
+
+def variant(spark: SparkSession, n: int, locations: DataFrame, name: str, seed: int = 42) -> DataFrame:
+    """n conversations of a named variant: balanced, or with more humor."""
+    return conversations(spark, n, locations, seed, {"balanced": PERSONAS, "humor": HUMOR_PERSONAS}[name])
 
 
 def weather_at(df: DataFrame, lat: str, lon: str, key: str, locations: DataFrame, month: int, seed: int = 42) -> DataFrame:
     """df with ``weather``: the current weather at the place nearest to its coordinates."""
-    return df.withColumn("_p", nearest_location(F.col(lat), F.col(lon), gazetteer(locations))).withColumn("weather", current_weather(F.col("_p"), F.col(key), F.lit(month), seed)).drop("_p")
+    return nearest(df, F.col(lat), F.col(lon), locations, "_p").withColumn("weather", current_weather(F.col("_p"), F.col(key), F.lit(month), seed)).drop("_p")
 
 
 def regenerated(df: DataFrame, text: str, flag: str, write=None) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.keywords import HUMOR, WEATHER, has_keyword, matches
-from quern.functions.text import chapter_marker, paragraphs, speaker_names, word_count
+from quern.functions.text import chapter_marker, let, paragraphs, speaker_names, word_count
 from quern.operators.sampling import ranked
+from quern.session import settled
 
 # Sizes of passages in words, paragraphs around a match, overlap allowed.
 LEAST, MOST, TARGET = 75, 600, 150
@@ -65,10 +66,11 @@ def grown(counts: Column, centre: Column, target: int = TARGET, most: int = MOST
             (s["done"] | (s["words"] >= target) | (grows & over)).alias("done"),
         )
 
-    return F.struct(begin.alias("begin"), F.aggregate(F.slice(counts, end + 1, F.greatest(n - end, F.lit(0))), start, step)["end"].alias("end"))
+    # every paragraph has a word, so no passage takes more than target of them beyond its first
+    return F.struct(begin.alias("begin"), F.aggregate(F.slice(counts, end + 1, F.least(F.greatest(n - end, F.lit(0)), F.lit(target + 1))), start, step)["end"].alias("end"))
 
 
-def candidates(df: DataFrame, key: str, text: str, weather: list[str] = WEATHER, humor: list[str] = HUMOR, separator: str = r"\n\s*\n", least: int = LEAST) -> DataFrame:
+def candidates(df: DataFrame, key: str, text: str, weather: list[str] = WEATHER, humor: list[str] = HUMOR, separator: str = r"\n\s*\n", least: int = LEAST, most: int = MOST, target: int = TARGET) -> DataFrame:
     """(key, position, begin, end, passage, word_count, matched_keywords, context_type, relevance_score) of every centre whose passage fits and has a keyword itself."""
     half = WINDOW // 2
 
@@ -77,29 +79,28 @@ def candidates(df: DataFrame, key: str, text: str, weather: list[str] = WEATHER,
         hit = has_keyword(p, weather) | has_keyword(p, humor)
         return F.struct(p.alias("p"), hit.alias("hit"), word_count(p).alias("words"), speaker_names(p).alias("names"), chapter_marker(p).alias("chapter"))
 
-    def spans(paras: Column) -> Column:
-        """The centres of a document, with the passages that grow around them."""
-        last = F.size(paras) - 1
-
-        def near(i: Column) -> Column:
-            begin = F.greatest(i - half, F.lit(0))
-            return F.exists(F.slice(paras, begin + 1, F.least(i + half, last) - begin + 1), lambda x: x["hit"])
-
-        centres_ = F.filter(F.sequence(F.lit(0), last), near)
-        return F.transform(centres_, lambda i: F.struct(i.alias("position"), grown(F.transform(paras, lambda x: x["words"]), i).alias("span")))
-
+    # what is read for every centre stands in arrays of its own, made once for a document
     docs = df.select(key, F.explode(F.array(F.transform(paragraphs(F.col(text), separator), facts))).alias("paras")).where(F.size("paras") > 0)
-    rows = docs.select(key, "paras", F.explode(spans(F.col("paras"))).alias("c"))
-    begin, end = F.col("c.span.begin"), F.col("c.span.end")
-    own = F.slice(F.col("paras"), begin + 1, end - begin)
-    seen = F.filter(F.transform(F.slice("paras", 1, F.col("c.position") + 1), lambda x: x["chapter"]), lambda x: x.isNotNull())
+    marks = F.filter(F.transform("paras", lambda x, i: F.struct(i.alias("i"), x["chapter"].alias("chapter"))), lambda m: m["chapter"].isNotNull())
+    hits = F.transform(F.filter(F.transform("paras", lambda x, i: F.struct(i.alias("i"), x["hit"].alias("hit"))), lambda m: m["hit"]), lambda m: m["i"])
+    near = F.flatten(F.transform(hits, lambda i: F.sequence(F.greatest(i - half, F.lit(0)), F.least(i + half, F.size("paras") - 1))))
+    docs = settled(docs.select(key, "paras", F.transform("paras", lambda x: x["words"]).alias("counts"), marks.alias("marks"), F.array_sort(F.array_distinct(near)).alias("centres")))
+
+    def made(i: Column) -> Column:
+        """A centre with what its passage holds: only that goes on, not the document."""
+        span = grown(F.col("counts"), i, target, most)
+        own = let(span, lambda s: F.slice("paras", s["begin"] + 1, s["end"] - s["begin"]))
+        return F.struct(i.alias("position"), span.alias("span"), own.alias("own"), F.try_element_at(F.filter("marks", lambda m: m["i"] <= i), F.lit(-1))["chapter"].alias("chapter"))
+
+    rows = docs.where(F.size("centres") > 0).select(key, F.explode(F.transform("centres", made)).alias("c"))
+    begin, end, own = F.col("c.span.begin"), F.col("c.span.end"), F.col("c.own")
     made = F.struct(
-        F.array_join(F.transform(own, lambda x: x["p"]), "\n\n").alias("passage"), F.when(F.size(seen) > 0, F.element_at(seen, -1)).alias("chapter_section"),
+        F.array_join(F.transform(own, lambda x: x["p"]), "\n\n").alias("passage"), F.col("c.chapter").alias("chapter_section"),
         F.slice(F.array_sort(F.array_distinct(F.flatten(F.transform(own, lambda x: x["names"])))), 1, 5).alias("character_names"),
     )
     # a one-element explode keeps the optimizer from computing the passage again in every later filter
     rows = rows.select(key, F.col("c.position").alias("position"), begin.alias("begin"), end.alias("end"), F.explode(F.array(made)).alias("p"))
-    rows = rows.withColumn("word_count", word_count(F.col("p.passage"))).where(F.col("word_count").between(least, MOST))
+    rows = rows.withColumn("word_count", word_count(F.col("p.passage"))).where(F.col("word_count").between(least, most))
     rows = rows.withColumn("m", F.explode(F.array(matches(F.col("p.passage"), weather, humor)))).where("m.relevance_score > 0")
     return rows.select(key, "position", "begin", "end", "p.passage", "word_count", "p.chapter_section", "p.character_names", "m.*")
 

@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.chat import stratum
+from quern.functions.chat import draw, stratum
 
 def first_of_each(df: DataFrame, group: list[str], order: list[Column], n: int | Column, spread: Column, parts: int | None = None) -> DataFrame:
     """The first n rows of each group with their rank in ``_rank``; no task sorts more than a part of a group (as many as there are shuffle partitions) or parts * n rows."""
@@ -108,8 +108,8 @@ def template_cap(df: DataFrame, text: str, key: str, patterns: dict[str, str], c
 
 
 def weighted(key: Column, weights: dict[str, float], seed: int = 42) -> Column:
-    """One of the names with its weight's chance, by a hash of the key."""
-    x = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) / 1_000_000
+    """One of the names with its weight's chance, by a draw."""
+    x = (draw(key, seed) % 1_000_000) / 1_000_000
     out, upto = None, 0.0
     names = list(weights)
     for n in names[:-1]:

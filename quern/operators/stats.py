@@ -69,6 +69,60 @@ def corpus(df: DataFrame) -> DataFrame:
     )
 
 
+def corpus_by(df: DataFrame, column: str) -> DataFrame:
+    """(value, n) of passages by book or author, in order of the value."""
+    return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(COUNT(F.lit(1)).alias("n"))
+
+
+def corpus_lists(df: DataFrame) -> DataFrame:
+    """(books, authors): the sorted distinct titles and authors, as many as there are books."""
+    return df.agg(F.array_sort(F.collect_set("book_title")).alias("books"), F.array_sort(F.collect_set("author_name")).alias("authors"))
+
+
+def file_counts(df: DataFrame, stages_: dict[str, Column]) -> DataFrame:
+    """(source_file, stage...): of each file how many rows are left after each stage, all in one pass; a stage's condition includes those before it."""
+    return df.groupBy("source_file").agg(*[F.count(F.when(c, 1)).alias(n) for n, c in stages_.items()])
+
+
+def merge_stats(df: DataFrame, persona: Column, scenario: Column, humorous: tuple[str, ...] = ("twain", "franklin")) -> DataFrame:
+    """(kind, value, n, percent) of personas and scenarios, and of kind humor_ratio the share of humorous personas, in per cent as well."""
+    named = df.select(F.coalesce(persona, F.lit("unknown")).alias("persona"), F.coalesce(scenario, F.lit("unknown")).alias("scenario"))
+    funny = F.when(F.col("persona").isin(*humorous), "humorous").otherwise("plain")
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("value")) for k, c in (("persona", F.col("persona")), ("scenario", F.col("scenario")), ("humor_ratio", funny))])
+    counts = named.select(F.explode(pairs).alias("p")).groupBy("p.kind", "p.value").agg(COUNT(F.lit(1)).alias("n"))
+    total = named.agg(COUNT(F.lit(1)).alias("_all")).withColumn("_one", F.lit(1))
+    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select("kind", "value", "n", (F.col("n") * 100 / F.col("_all")).alias("percent"))
+
+
+def last_errors(df: DataFrame, ok: Column, time: Column, error: Column, k: int = 5) -> DataFrame:
+    """(time, error) of the last k calls that failed, the latest first."""
+    return df.where(~F.coalesce(ok, F.lit(False))).select(time.alias("time"), error.alias("error")).orderBy(F.desc("time"), "error").limit(k)
+
+
+def mean_similarity(df: DataFrame, split: str, values: list[str], one: str, two: str) -> DataFrame:
+    """(similarity) of two splits: the mean of the similarities of several values' distributions; arrays count each element."""
+    kinds = dict(df.dtypes)
+    parts = [similarity(df.select(split, F.explode(v).alias(v)) if kinds[v].startswith("array") else df.select(split, v), split, v, one, two) for v in values]
+    return reduce(DataFrame.unionAll, parts).agg(F.avg("similarity").alias("similarity"))
+
+
+def response_lengths(df: DataFrame, text: Column) -> DataFrame:
+    """(responses, mean, least, most) of the words of non-null texts."""
+    n = df.where(text.isNotNull()).select(word_count(text).alias("n"))
+    return n.agg(COUNT(F.lit(1)).alias("responses"), F.avg("n").alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"))
+
+
+def pass_rate(df: DataFrame, errors: Column) -> DataFrame:
+    """(total, passed, failed, percent) of rows with an array of errors."""
+    good = F.size(errors) == 0
+    return df.select(good.alias("good")).agg(COUNT(F.lit(1)).alias("total"), F.count(F.when(F.col("good"), 1)).alias("passed"), F.count(F.when(~F.col("good"), 1)).alias("failed"), (F.avg(F.col("good").cast("int")) * 100).alias("percent"))
+
+
+def failure_samples(df: DataFrame, key: str, errors: Column, k: int = 10) -> DataFrame:
+    """(key, error) of the first k rows with errors, in order of the key: their first errors."""
+    return df.where(F.size(errors) > 0).select(key, F.get(errors, F.lit(0)).alias("error")).orderBy(key).limit(k)
+
+
 def posts(df: DataFrame) -> DataFrame:
     """(subreddit, n, mean_title, complete_percent): posts of each subreddit, their titles' mean length, and the share whose id, subreddit, time and address are known."""
     known = F.col("id").isNotNull() & F.col("subreddit").isNotNull() & F.col("created_utc").isNotNull() & F.col("url").isNotNull()

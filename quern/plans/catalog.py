@@ -13,11 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import chat, keywords, tags, text, validate
+from quern.functions import chat, keywords, language, tags, text, validate
 from quern.operators import dedup, generate, joins, passages, sampling, stats
 from quern.plans import pipelines
 from quern.session import spread, table
 from quern.sources import readers, writers
+from quern.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,7 +128,7 @@ def _sql_language(c: str, rows: str) -> str:
 @query(f"SELECT doc_id, language FROM ({_sql_language('text', 'documents')}) WHERE language = 'en'")
 def f4_language_filter(spark: SparkSession, folder: str) -> DataFrame:
     rows = spread(table(spark, folder, "documents")).select("doc_id", joins.detected_language(F.col("text")).alias("language"))
-    return joins.english_only(rows, F.col("language"))
+    return joins.language_filter(rows, F.col("language"))
 
 
 @query(f"SELECT language, count(*) AS n FROM ({_sql_language('content', 'clean_items')}) GROUP BY language")
@@ -384,9 +385,9 @@ def proj_p33_tool_ids(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("entry_id", F.col("c.id").alias("call_id"), text.tool_id(F.col("c.id")).alias("short_id"))
 
 
-@query(f"SELECT entry_id, array_to_string(list_transform(list_filter(messages, lambda m: m.role = 'tool' AND m.tool_call_id IS NOT NULL), lambda m: {_sql_short('m.tool_call_id')}), ',') AS refs FROM conversation WHERE messages IS NOT NULL")
+@query(f"SELECT entry_id, array_to_string(list_transform(list_filter(messages, lambda m: m.role = 'tool' AND m.tool_call_id IS NOT NULL), lambda m: {_sql_short('m.tool_call_id')}), ',') AS refs FROM conversation")
 def proj_p34_rewritten(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "conversation").where("messages is not null").select("entry_id", chat.with_tool_ids(F.col("messages")).alias("m"))
+    rows = table(spark, folder, "conversation").select("entry_id", chat.with_tool_ids(F.col("messages")).alias("m"))
     refs = F.transform(F.filter("m", lambda m: (m["role"] == "tool") & m["tool_call_id"].isNotNull()), lambda m: m["tool_call_id"])
     return rows.select("entry_id", joined(refs, "refs"))
 
@@ -405,9 +406,9 @@ _CALLS = "flatten(list_transform(list_filter(messages, lambda m: coalesce(len(m.
 
 @query(f"""
 SELECT entry_id, len(messages) AS message_count, len({_CALLS}) AS tool_call_count, array_to_string(list_transform({_CALLS}, lambda c: c.function.name), ',') AS functions,
-  len(list_filter(messages, lambda m: m.role = 'user')) AS turn_count FROM conversation WHERE messages IS NOT NULL""")
+  len(list_filter(messages, lambda m: m.role = 'user')) AS turn_count FROM conversation""")
 def proj_p36_summary(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "conversation").where("messages is not null").select("entry_id", chat.summary(F.col("messages")).alias("s"))
+    rows = table(spark, folder, "conversation").select("entry_id", chat.summary(F.col("messages")).alias("s"))
     return rows.select("entry_id", long(F.col("s.message_count"), "message_count"), long(F.col("s.tool_call_count"), "tool_call_count"), joined(F.col("s.function_names"), "functions"), long(F.col("s.turn_count"), "turn_count"))
 
 
@@ -416,9 +417,9 @@ def proj_p38_token_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens"))
 
 
-@query("SELECT entry_id, md5(array_to_string(list_transform(messages, lambda m: '<|' || m.role || '|>' || chr(10) || coalesce(m.content, '') || chr(10)), '')) AS rendered FROM conversation WHERE messages IS NOT NULL")
+@query("SELECT entry_id, md5(array_to_string(list_transform(messages, lambda m: '<|' || m.role || '|>' || chr(10) || coalesce(m.content, '') || chr(10)), '')) AS rendered FROM conversation")
 def proj_p39_rendered(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversation").where("messages is not null").select("entry_id", F.md5(chat.rendered(F.col("messages")).cast("binary")).alias("rendered"))
+    return table(spark, folder, "conversation").select("entry_id", F.md5(chat.rendered(F.col("messages")).cast("binary")).alias("rendered"))
 
 
 # ---------------------------------------------------------------- joins
@@ -442,10 +443,9 @@ def _calls(spark: SparkSession, folder: str) -> DataFrame:
 SELECT entry_id, call_id, arg_min(city, {{'d': (l.latitude - lat) * (l.latitude - lat) + (l.longitude - lon) * (l.longitude - lon), 'p': pos}}) AS city
 FROM ({_POINTS}) CROSS JOIN locations l WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY entry_id, call_id, lat, lon""")
 def j4_nearest_location(spark: SparkSession, folder: str) -> DataFrame:
-    places = validate.gazetteer(table(spark, folder, "locations"))
     points = _calls(spark, folder).select("entry_id", "call_id", validate._json(F.col("a"), "$.latitude", "double").alias("lat"), validate._json(F.col("a"), "$.longitude", "double").alias("lon"))
     points = points.where("lat is not null and lon is not null").distinct()
-    return points.select("entry_id", "call_id", validate.nearest_location(F.col("lat"), F.col("lon"), places)["city"].alias("city"))
+    return joins.nearest(points, F.col("lat"), F.col("lon"), table(spark, folder, "locations")).select("entry_id", "call_id", F.col("place.city").alias("city"))
 
 
 @query(f"""
@@ -460,11 +460,10 @@ def j5_geocode(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 SELECT entry_id, len(list_filter(messages, lambda m: m.role = 'tool' AND list_contains(list_transform({_CALLS}, lambda c: c.id), m.tool_call_id))) AS answered, len(list_filter(messages, lambda m: m.role = 'tool')) AS told
-FROM conversation WHERE messages IS NOT NULL""")
+FROM conversation""")
 def j6_call_references(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "conversation").where("messages is not null").withColumn("ids", F.transform(chat.calls(F.col("messages")), lambda c: c["id"]))
-    told = F.filter("messages", lambda m: m["role"] == "tool")
-    return rows.select("entry_id", long(F.size(F.filter(told, lambda m: F.coalesce(F.array_contains(F.col("ids"), m["tool_call_id"]), F.lit(False)))), "answered"), long(F.size(told), "told"))
+    rows = table(spark, folder, "conversation").select("entry_id", validate.references(F.col("messages")).alias("r"))
+    return rows.select("entry_id", long(F.col("r.answered"), "answered"), long(F.col("r.told"), "told"))
 
 
 # ---------------------------------------------------------------- aggregations
@@ -503,7 +502,8 @@ def a4_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def a4_stage_counts_near(spark: SparkSession, folder: str) -> DataFrame:
     items = spread(table(spark, folder, "clean_items").select("id", "content"))
-    return pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels"))).counts()
+    model = language.learned(table(spark, folder, "documents"), other=items.select(F.col("content").alias("text")))
+    return pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels")), model=model).counts()
 
 
 @query("""
@@ -524,9 +524,11 @@ def a6_posts(spark: SparkSession, folder: str) -> DataFrame:
     return stats.posts(table(spark, folder, "posts"))
 
 
-@query("SELECT source_file, count(*) AS n FROM clean_items GROUP BY source_file")
+@query("""
+SELECT source_file, count(*) AS loaded, count(*) FILTER (content IS NOT NULL AND content <> '') AS filled, count(*) FILTER (length(content) >= 50) AS long_enough FROM clean_items GROUP BY source_file""")
 def a7_file_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "clean_items").groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    n = F.length("content")
+    return stats.file_counts(table(spark, folder, "clean_items"), {"loaded": F.lit(True), "filled": n > 0, "long_enough": n >= 50})
 
 
 @query("""
@@ -603,11 +605,11 @@ def a17_generation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT persona, scenario, count(*) AS n FROM (SELECT coalesce(tags.persona, 'unknown') AS persona, coalesce(tags.scenario, 'unknown') AS scenario FROM conversation) GROUP BY persona, scenario""")
+WITH c AS (SELECT coalesce(tags.persona, 'unknown') AS persona, coalesce(tags.scenario, 'unknown') AS scenario FROM conversation),
+v AS (SELECT 'persona' AS kind, persona AS value FROM c UNION ALL SELECT 'scenario', scenario FROM c UNION ALL SELECT 'humor_ratio', CASE WHEN persona IN ('riverman', 'newsdesk') THEN 'humorous' ELSE 'plain' END FROM c)
+SELECT kind, value, count(*) AS n, count(*) * 100 / (SELECT count(*) FROM c) AS percent FROM v GROUP BY kind, value""")
 def a19_merge_stats(spark: SparkSession, folder: str) -> DataFrame:
-    unknown = F.lit("unknown")
-    rows = table(spark, folder, "conversation").select(F.coalesce("tags.persona", unknown).alias("persona"), F.coalesce("tags.scenario", unknown).alias("scenario"))
-    return rows.groupBy("persona", "scenario").agg(F.count(F.lit(1)).alias("n"))
+    return stats.merge_stats(table(spark, folder, "conversation"), F.col("tags.persona"), F.col("tags.scenario"), ("riverman", "newsdesk"))
 
 
 @query("SELECT count(*) AS calls, avg(CAST(event_type <> 'error' AS INT)) * 100 AS succeeded_percent, CAST(sum(user_id) AS BIGINT) AS tokens, round(avg(value), 6) AS mean_latency FROM events")
@@ -644,7 +646,7 @@ def o2_balanced_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def o3_passages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pipelines.collect_passages(spread(table(spark, folder, "documents")), "doc_id", "text", weather=keywords.EXPANDED, least=40)
+    rows = pipelines.collect_passages(spread(table(spark, folder, "documents")), "doc_id", "text", options={"passages": {"least": 40}}, weather=keywords.EXPANDED)
     return rows.select("doc_id", "begin", "end", "word_count", "context_type", joined(F.col("matched_keywords"), "matched"), joined(F.col("character_names"), "names"))
 
 
@@ -687,10 +689,9 @@ def o11_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT d, min(id) AS kept FROM (SELECT id, md5(lower(trim(coalesce(content, '')))) AS d FROM clean_items) GROUP BY d HAVING count(*) > 1""")
+SELECT d AS digest, min(id) AS kept, count(*) AS n FROM (SELECT id, md5(lower(trim(coalesce(content, '')))) AS d FROM clean_items) GROUP BY d HAVING count(*) > 1""")
 def o13_copies(spark: SparkSession, folder: str) -> DataFrame:
-    d = F.md5(F.lower(F.trim(F.coalesce("content", F.lit("")))).cast("binary")).alias("d")
-    return table(spark, folder, "clean_items").select("id", d).groupBy("d").agg(F.min("id").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d", "kept")
+    return dedup.copies(table(spark, folder, "clean_items"), "id", "content")
 
 
 _LOWER = "lower(trim(coalesce(text, '')))"
@@ -703,8 +704,8 @@ def proj_p14_shingles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sql_bands() -> str:
-    b, r = dedup.BANDS[0.8]
-    perms = ", ".join(f"({k}, {a}, {c})" for k, (a, c) in enumerate(dedup.coefficients()))
+    b, r = dedup.band_shape(0.8)
+    perms = ", ".join(f"({k}, {a}, {c})" for k, (a, c) in enumerate(dedup.coefficients(b * r)))
     x = f"SELECT doc_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS x FROM ({_SHINGLES})"
     sig = f"SELECT doc_id, k, min((a * x + c) % {dedup.PRIME}) AS h FROM ({x}) CROSS JOIN (VALUES {perms}) p(k, a, c) WHERE k < {b * r} GROUP BY doc_id, k"
     return f"SELECT doc_id AS id, k // {r} AS band, md5(string_agg(CAST(h AS VARCHAR), ',' ORDER BY k)) AS key FROM ({sig}) GROUP BY doc_id, k // {r}"
@@ -745,13 +746,13 @@ def v2_call_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT entry_id, messages IS NOT NULL AND len(messages) > 0 AND regexp_matches({_ROLES}, '^s(ua(t+a)*)+$') AND tags.persona IS NOT NULL AND tags.tone IS NOT NULL AND tags.domain IS NOT NULL
+SELECT entry_id, coalesce(messages IS NOT NULL AND len(messages) > 0 AND regexp_matches({_ROLES}, '^s(ua(t+a)*)+$') AND tags.persona IS NOT NULL AND tags.tone IS NOT NULL AND tags.domain IS NOT NULL
   AND len(list_filter(messages, lambda m: m.role IS NULL OR (m.role = 'tool' AND (m.tool_call_id IS NULL OR m.content IS NULL)) OR (m.role <> 'tool' AND NOT (m.role = 'assistant' AND coalesce(len(m.tool_calls), 0) > 0) AND m.content IS NULL)
     OR (m.role <> 'assistant' AND coalesce(len(m.tool_calls), 0) > 0))) = 0
-  AND len(list_filter({_CALLS}, lambda c: ({_CALL_ERROR}) IS NOT NULL)) = 0 AS valid FROM conversation WHERE messages IS NOT NULL""")
+  AND len(list_filter({_CALLS}, lambda c: ({_CALL_ERROR}) IS NOT NULL)) = 0, false) AS valid FROM conversation""")
 def v1_chat_entries(spark: SparkSession, folder: str) -> DataFrame:
     e = validate.entry_error(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"))
-    return table(spark, folder, "conversation").where("messages is not null").select("entry_id", e.isNull().alias("valid"))
+    return table(spark, folder, "conversation").select("entry_id", e.isNull().alias("valid"))
 
 
 @query()
@@ -815,8 +816,9 @@ SELECT e.entry_id, CASE WHEN nothing THEN NULL WHEN j IS NULL THEN 'Tool respons
     THEN 'Forecast days mismatch: requested ' || coalesce(json_extract_string(a, '$.days'), '0') || ', got ' || json_array_length(j, '$.daily') END AS error
 FROM e LEFT JOIN p ON e.entry_id = p.entry_id""")
 def v8_weather_errors(spark: SparkSession, folder: str) -> DataFrame:
-    places = validate.gazetteer(table(spark, folder, "locations"))
-    return spread(table(spark, folder, "conversation")).select("entry_id", validate.weather_error(F.col("messages"), places).alias("error"))
+    lat, lon = validate.asked_point(F.col("messages"))
+    rows = joins.nearest(spread(table(spark, folder, "conversation")).select("entry_id", "messages"), lat, lon, table(spark, folder, "locations"))
+    return rows.select("entry_id", validate.weather_error(F.col("messages"), F.col("place")).alias("error"))
 
 
 _TOLD = "(list_filter(messages, lambda m: m.role = 'tool'))[-1].content"
@@ -835,11 +837,39 @@ def v9_groundedness(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "conversation").select("entry_id", validate.groundedness(F.col("messages")).cast("double").alias("score"))
 
 
-@query()
+_KINDS = f"""
+SELECT c.entry_id, NOT coalesce(v1.valid, false) AS chat, v7.error IS NOT NULL AS schema, v8.error IS NOT NULL AS semantic, v9.score < 0.5 AS grounded
+FROM conversation c LEFT JOIN ({SQL["v1_chat_entries"]}) v1 ON c.entry_id = v1.entry_id LEFT JOIN ({SQL["v7_calls_error"]}) v7 ON c.entry_id = v7.entry_id
+LEFT JOIN ({SQL["v8_weather_errors"]}) v8 ON c.entry_id = v8.entry_id LEFT JOIN ({SQL["v9_groundedness"]}) v9 ON c.entry_id = v9.entry_id"""
+_FIRST_KIND = "CASE WHEN chat THEN 'Chat format' WHEN schema THEN 'JSON schema' WHEN semantic THEN 'Semantic' WHEN grounded THEN 'Groundedness' ELSE 'valid' END"
+
+
+def _checked(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spread(table(spark, folder, "conversation")).select("entry_id", "messages", F.struct("tags.persona", "tags.tone", "tags.domain").alias("tags"))
+    return generate.checked(rows, table(spark, folder, "locations"))
+
+
+@query(f"SELECT {_FIRST_KIND} AS kind, count(*) AS n FROM ({_KINDS}) GROUP BY kind")
 def a18_failures(spark: SparkSession, folder: str) -> DataFrame:
-    places = validate.gazetteer(table(spark, folder, "locations"))
-    e = validate.all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), places)
-    return stats.failures(spread(table(spark, folder, "conversation")).withColumn("e", e), F.col("e"))
+    return stats.failures(_checked(spark, folder), F.col("errors"))
+
+
+@query(f"""
+SELECT count(*) AS total, count(*) FILTER (k = 'valid') AS passed, count(*) FILTER (k <> 'valid') AS failed, avg(CAST(k = 'valid' AS INT)) * 100 AS percent FROM (SELECT {_FIRST_KIND} AS k FROM ({_KINDS}))""")
+def a18_pass_rate(spark: SparkSession, folder: str) -> DataFrame:
+    return stats.pass_rate(_checked(spark, folder), F.col("errors"))
+
+
+@query(f"SELECT entry_id, {_FIRST_KIND} AS kind FROM ({_KINDS}) WHERE {_FIRST_KIND} <> 'valid' ORDER BY entry_id LIMIT 10")
+def a18_samples(spark: SparkSession, folder: str) -> DataFrame:
+    found = stats.failure_samples(_checked(spark, folder), "entry_id", F.col("errors"))
+    return found.select("entry_id", F.element_at(F.split("error", ":"), 1).alias("kind"))
+
+
+@query(f"""
+SELECT entry_id, array_to_string(list_filter([CASE WHEN chat THEN 'Chat format' END, CASE WHEN schema THEN 'JSON schema' END, CASE WHEN semantic THEN 'Semantic' END, CASE WHEN grounded THEN 'Groundedness' END], lambda x: x IS NOT NULL), ',') AS kinds FROM ({_KINDS})""")
+def v10_error_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return _checked(spark, folder).select("entry_id", joined(F.transform("errors", lambda e: F.element_at(F.split(e, ":"), 1)), "kinds"))
 
 
 @query("SELECT id, array_to_string(list_filter([CASE WHEN id IS NULL THEN 'id' END, CASE WHEN content IS NULL THEN 'content' END, CASE WHEN source IS NULL THEN 'source' END], lambda x: x IS NOT NULL), ',') AS missing FROM clean_items")
@@ -856,9 +886,9 @@ def k6_post_verification(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- generators, pipelines, streams
 
 
-@query("SELECT climate_zone, continent, count(*) AS n FROM locations GROUP BY climate_zone, continent")
+@query("SELECT pos, city FROM locations WHERE lower(climate_zone) = 'temperate'")
 def g8_location_zones(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "locations").groupBy("climate_zone", "continent").agg(F.count(F.lit(1)).alias("n"))
+    return joins.locations_where(table(spark, folder, "locations"), climate="temperate").select("pos", "city")
 
 
 @query()
@@ -884,18 +914,48 @@ def pipeline_instruct(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("passage_id", "persona", "tone", joined(F.col("domain"), "domains"), "split", F.size("messages").alias("messages"))
 
 
-@query()
+_NEWEST = "SELECT * FROM posts WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST, num_comments DESC NULLS LAST, title DESC NULLS LAST) = 1"
+_GOOD_POSTS = f"""
+SELECT * FROM (SELECT *, {sql_clean("title")} AS cleaned_title FROM ({_NEWEST}) WHERE subreddit IS NOT NULL AND title IS NOT NULL AND title <> '' AND len({sql_keywords("title", keywords.EXPANDED)}) > 0)
+WHERE length(cleaned_title) >= 10 AND regexp_matches(cleaned_title, '[a-zA-Z0-9]')"""
+
+
+def _sql_balanced(rows: str, group: str, score: str, key: str, most: int) -> str:
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {score} DESC NULLS LAST, {key}) AS k FROM ({rows}) WHERE {group} IS NOT NULL),
+g AS (SELECT {group} AS g, count(*) AS size FROM r GROUP BY {group}),
+h AS (SELECT *, CASE WHEN (SELECT count(*) FROM g) = 1 THEN least(size, {most}) ELSE least(size, {most} // 2) END AS head FROM g),
+p AS (SELECT *, size - head AS spare, greatest({most} - sum(head) OVER (), 0) AS rest,
+  coalesce(sum(head) OVER w, 0) AS head_before, coalesce(sum(size - head) OVER w, 0) AS spare_before FROM h
+  WINDOW w AS (ORDER BY size DESC, g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+q AS (SELECT g, least(head, greatest({most} - head_before, 0)) + least(spare, greatest(rest - spare_before, 0)) AS quota FROM p)
+SELECT r.* FROM r JOIN q ON r.{group} = q.g WHERE k <= quota"""
+
+
+def sql_draw(key: str, seed: int = 42) -> str:
+    return f"('0x' || substr(md5('{seed}/' || coalesce(CAST({key} AS VARCHAR), '')), 1, 8))::BIGINT"
+
+
+def sql_pick(key: str, choices: tuple[str, ...]) -> str:
+    return f"({sql_list(choices)})[{sql_draw(key)} % {len(choices)} + 1]"
+
+
+@query(f"""
+SELECT id, cleaned_title, {_ONION} AS tone, {sql_pick("id", chat.USER)} AS question, 3 AS messages FROM ({_sql_balanced(_GOOD_POSTS, "subreddit", "num_comments", "id", 4000)})""")
 def pipeline_posts(spark: SparkSession, folder: str) -> DataFrame:
     posts = spread(table(spark, folder, "posts").where("id is not null"))
     newest = dedup.newest(posts, ["id"], F.struct("ingested_at", "num_comments", "title"))
-    return pipelines.chat_posts(newest).select("id", "tags.tone", "tags.source", F.size("messages").alias("messages"))
+    made = pipelines.chat_posts(newest, options={"posts": {"decompose": False}})
+    return made.select("id", F.get("messages", F.lit(2))["content"].alias("cleaned_title"), "tags.tone", F.get("messages", F.lit(1))["content"].alias("question"), F.size("messages").cast("long").alias("messages"))
 
 
 @query("""
-SELECT time_bucket(INTERVAL 1 HOUR, ts) AS begins, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""")
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS "begin", event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def stream_event_windows(spark: SparkSession, folder: str) -> DataFrame:
-    w = F.window("ts", "1 hour")
-    return table(spark, folder, "events").groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")).select(F.col("w.start").alias("begins"), "event_type", "n", "users")
+    return streams.windowed(table(spark, folder, "events"), "ts", ["event_type"], value=F.col("value")).select("begin", "event_type", "n", F.round("total", 4).alias("total"))
+
+
+from quern.plans import catalog_more  # noqa: E402, F401  adds its queries
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

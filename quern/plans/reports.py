@@ -23,6 +23,21 @@ def quality(similarity: float) -> str:
     return "excellent" if similarity >= 0.95 else "good" if similarity >= 0.85 else "fair" if similarity >= 0.75 else "poor"
 
 
+def split_report(path: str, counts: dict[str, int], similarity: float, tags: list[dict[str, Any]]) -> dict[str, Any]:
+    """The report of a split as JSON and Markdown: rows and shares of each split, how like they are, with its label, and counts of tags; the figures."""
+    total = sum(counts.values())
+    figures = {"splits": [{"split": k, "n": n, "percent": n * 100 / total if total else 0.0} for k, n in sorted(counts.items())], "quality": {"similarity": similarity, "label": quality(similarity)}, "tags": tags}
+    write(path, "Split", figures)
+    return figures
+
+
+def corpus_report(path: str, totals: dict[str, Any], books: list[dict[str, Any]], authors: list[dict[str, Any]], keywords: list[dict[str, Any]]) -> dict[str, Any]:
+    """The report of a corpus of passages as JSON and Markdown; the figures."""
+    figures = {"totals": totals, "books": books, "authors": authors, "keywords": keywords}
+    write(path, "Corpus", figures)
+    return figures
+
+
 def markdown(title: str, sections: dict[str, list[dict[str, Any]] | dict[str, Any]]) -> str:
     """A report with a table per section."""
     lines = [f"# {title}", ""]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -41,6 +42,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, for files that a query writes and reads again."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 @contextmanager
 def sized(spark: SparkSession, rows: int, each: int = 400_000) -> Iterator[None]:
     """Within it, shuffles have so many partitions that one holds about ``each`` of the rows; never fewer than the session has set.  For steps that are computed at once."""

@@ -51,9 +51,8 @@ DEFAULTS: dict[str, Any] = {
     "deduplication": {"threshold": 0.8, "permutations": 128, "shingle": 3, "mode": "lsh"},
     "language_filter": {"keep": "en", "least_characters": 3},
     "safety": {"on_missing": "drop", "skip": False},
-    "quality": {"least": 10, "most": None},
-    "split": {"ratio": 0.9, "seed": 42},
-    "posts": {"most": 4000, "target": [2000, 4000]},
+    "quality": {"least": 10, "shortest": None, "most": None},
+    "split": {"ratio": 0.9},
+    "posts": {"most": 4000, "decompose": True},
     "passages": {"least": 75, "most": 600, "target": 150, "overlap": 0.2, "per_book": 1000, "total": 5000},
-    "templates": {"cap": 100},
 }

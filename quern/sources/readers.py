@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ ROOT_KEYS = ("items", "data", "passages", "entries")
 SUFFIXES = {".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".csv": "csv", ".txt": "text", ".parquet": "parquet"}
 
 
+def struct(ddl: str) -> T.StructType:
+    """A schema from its DDL."""
+    return T.StructType.fromDDL(ddl)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, with any scheme, has files."""
     jvm = spark.sparkContext._jvm
@@ -93,14 +99,44 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(~F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
 
 
+def encodings(spark: SparkSession, path: str) -> dict[str, str]:
+    """The encoding of each file of a path: UTF-8 if all of it is, else Latin-1.
+
+    Files are read line by line, so none is ever held as a whole.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    names: list[str] = []
+    for status in p.getFileSystem(conf).globStatus(p) or []:
+        if status.isDirectory():
+            names += [str(f.getPath()) for f in status.getPath().getFileSystem(conf).listStatus(status.getPath()) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+        else:
+            names.append(str(status.getPath()))
+    if not names:
+        return {}
+    lines = spark.read.text(names).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8(F.col("value")).alias("ok"))
+    bad = {r["file"] for r in lines.where("not ok").select("file").distinct().collect()}  # at most a row for each file
+    plain = lambda n: n.split(":", 1)[-1].lstrip("/")
+    wrong = {plain(unquote(b)) for b in bad}
+    return {n: "ISO-8859-1" if plain(n) in wrong else "UTF-8" for n in names}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
-    """CSV files with a header; UTF-8, or Latin-1 if they are no valid UTF-8; broken lines are left out; None if nothing can be read."""
+    """CSV files with a header, each in its own encoding: UTF-8, or Latin-1 if it is no valid UTF-8; broken lines are left out; None if nothing can be read.
+
+    Columns are taken by name; what a file lacks is null.
+    """
     if not exists(spark, path):
         return None
-    raw = spark.read.format("binaryFile").load(path).select(F.is_valid_utf8(F.col("content").cast("string")).alias("ok"))
-    encoding = "ISO-8859-1" if raw.where("not ok").head(1) else "UTF-8"
-    reader = spark.read.options(header=True, multiLine=True, escape='"', mode="DROPMALFORMED", encoding=encoding)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    by: dict[str, list[str]] = {}
+    for name, encoding in encodings(spark, path).items():
+        by.setdefault(encoding, []).append(name)
+    parts = []
+    for encoding, names in sorted(by.items(), reverse=True):
+        reader = spark.read.options(header=True, multiLine=True, escape='"', mode="DROPMALFORMED", encoding=encoding)
+        parts.append((reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(names))
+    return union(parts) if parts else None
 
 
 def read_books(spark: SparkSession, path: str) -> DataFrame:
@@ -142,7 +178,7 @@ def missing_fields(df: DataFrame, fields: Sequence[str]) -> Column:
 
 def style_examples(passages: DataFrame, author: str, most: int = 20, least: int = 50, size: int = 500) -> DataFrame:
     """At most ``most`` texts of an author longer than ``least`` characters, cut to ``size``."""
-    return passages.where(F.lower("author_name").contains(author.lower()) & (F.length("text") > least)).orderBy("passage_id").select(F.left("text", F.lit(size)).alias("text")).limit(most)
+    return passages.where(F.lower("author_name").contains(author.lower()) & (F.length("text") > least)).orderBy("passage_id", "text").select(F.left("text", F.lit(size)).alias("text")).limit(most)
 
 
 FETCH_DELAYS = (2, 4)  # seconds before another try

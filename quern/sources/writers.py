@@ -40,6 +40,16 @@ def write_text(path: str, text: str) -> None:
         raise
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text to a file of any file system that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_json(path: str, value: Any) -> None:
     write_text(path, json.dumps(value, indent=2, ensure_ascii=False, default=str))
 
@@ -58,6 +68,16 @@ def verify_jsonl(spark: SparkSession, path: str, expected: int | None = None) ->
     return row["bad"] == 0, row["n"], warnings
 
 
+def line_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, value, error) of the lines of JSON files that are no JSON objects or whose chat entry has a fault."""
+    kind = "struct<messages: array<struct<role: string, content: string, tool_calls: array<struct<id: string, type: string, function: struct<name: string, arguments: string>>>, tool_call_id: string>>, tags: struct<persona: string, tone: string, domain: array<string>>>"
+    lines = spark.read.text(path).where("trim(value) != ''").select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("source_file"), "value")
+    rows = lines.withColumn("e", F.from_json("value", kind))
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    error = F.when(~whole, "Invalid JSON").otherwise(entry_error(F.col("e.messages"), F.col("e.tags.persona"), F.col("e.tags.tone"), F.col("e.tags.domain")))
+    return rows.select("source_file", "value", error.alias("error")).where("error is not null")
+
+
 def verify_posts(df: DataFrame) -> DataFrame:
     """(valid, n): chat entries of posts that have exactly system, user and assistant and tags, and others."""
     roles = F.transform("messages", lambda m: m["role"])

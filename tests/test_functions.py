@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quern.operators import joins
 from quern.functions import chat, keywords, tags, text, validate
 
 
@@ -191,6 +192,11 @@ PLACES = [
 ]
 
 
+def placed(spark, df):
+    lat, lon = validate.asked_point(F.col("m"))
+    return joins.nearest(df, lat, lon, spark.createDataFrame(PLACES))
+
+
 @pytest.mark.parametrize(
     "change, error",
     [
@@ -203,8 +209,8 @@ PLACES = [
     ],
 )
 def test_weather(spark, change, error):
-    df = conversation(spark, tool_chat(**change))
-    assert df.select(validate.weather_error(F.col("m"), PLACES).alias("e")).first().e == error
+    df = placed(spark, conversation(spark, tool_chat(**change)))
+    assert df.select(validate.weather_error(F.col("m"), F.col("place")).alias("e")).first().e == error
 
 
 @pytest.mark.parametrize(
@@ -222,9 +228,9 @@ def test_groundedness(spark, change, score):
 def test_all_errors(spark):
     domain = F.array(lit("weather"))
     bad = conversation(spark, tool_chat(args='{"latitude": 100, "longitude": 0}', told='{"temperature": 99, "condition": "rain"}', reply="x"))
-    e = bad.select(validate.all_errors(F.col("m"), lit("p"), lit("t"), domain, PLACES).alias("e")).first().e
+    e = placed(spark, bad).select(validate.all_errors(F.col("m"), lit("p"), lit("t"), domain, F.col("place")).alias("e")).first().e
     assert [x.split(":")[0] for x in e] == ["JSON schema", "Semantic", "Groundedness"]
-    assert conversation(spark, tool_chat()).select(validate.all_errors(F.col("m"), lit("p"), lit("t"), domain, PLACES).alias("e")).first().e == []
+    assert placed(spark, conversation(spark, tool_chat())).select(validate.all_errors(F.col("m"), lit("p"), lit("t"), domain, F.col("place")).alias("e")).first().e == []
     missing = conversation(spark, [say("system", "s"), say("user", None), say("assistant", "a")]).select(validate.entry_error(F.col("m"), lit("p"), lit("t"), domain).alias("e")).first().e
     assert missing == "Message 1 missing 'content' field"
 

@@ -41,14 +41,14 @@ def test_keep_first_is_the_two_hop_rule(spark):
         assert got == want
 
 
-@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.9])
+@pytest.mark.parametrize("threshold", [0.55, 0.7, 0.8, 0.9])
 def test_bands_of_every_threshold_are_those_of_brute_force(spark, threshold):
     rng = random.Random(5)
     base = "".join(rng.choice("abcdefgh ") for _ in range(200)).strip()
     values = ["".join(rng.choice("ijklmnop ") for _ in range(120)).strip() for _ in range(5)] + [base]
     for n in (1, 2, 4, 8, 16, 32):
         values.append("".join(rng.choice("qrst") if rng.random() < n / 200 else c for c in base))
-    b, r = dedup.BANDS[threshold]
+    b, r = dedup.band_shape(threshold)
     pairs = dedup.coefficients(b * r)
     keys = []
     for t in values:
@@ -205,13 +205,37 @@ def test_geocode_and_nearest(spark, data):
     first = places.orderBy("pos").first()
     asked = spark.createDataFrame([(first.city.upper(), first.country), ("Nowhere", "None"), (None, None)], "c string, n string")
     assert [r.found for r in joins.geocoded(asked, F.col("c"), F.col("n"), places).orderBy(F.col("c").desc_nulls_last(), "c").collect()].count(True) == 1
-    rows = validate.gazetteer(places)
-    points = [(random.Random(k).uniform(-90, 90), random.Random(k + 99).uniform(-180, 180)) for k in range(20)] + [(None, 1.0)]
-    got = [r.c for r in spark.createDataFrame(points, "a double, b double").coalesce(1).select(validate.nearest_location(F.col("a"), F.col("b"), rows)["city"].alias("c")).collect()]
-    want = [None if a is None else min(rows, key=lambda p: ((p["latitude"] - a) ** 2 + (p["longitude"] - b) ** 2, p["pos"]))["city"] for a, b in points]
+    rows = places.collect()
+    points = [(random.Random(k).uniform(-90, 90), random.Random(k + 99).uniform(-180, 180)) for k in range(60)] + [(None, 1.0), (float("nan"), 0.0), (first.latitude, first.longitude), (1e6, 1e6)]
+    asked = spark.createDataFrame([(k, *p) for k, p in enumerate(points)] * 2, "k int, a double, b double")
+    got = {r.k: r.c for r in joins.nearest(asked, F.col("a"), F.col("b"), places).select("k", F.col("place.city").alias("c")).collect()}
+    want = {k: None if a is None or a != a else min(rows, key=lambda p: ((p["latitude"] - a) ** 2 + (p["longitude"] - b) ** 2, p["pos"]))["city"] for k, (a, b) in enumerate(points)}
     assert got == want
-    with pytest.raises(ValueError):
-        validate.gazetteer(places, limit=3)
+    assert joins.nearest(asked, F.col("a"), F.col("b"), places.limit(0)).where("place is not null").count() == 0
+
+
+def test_nearest_of_many_places_and_ties(spark):
+    rng = random.Random(3)
+    many = [(k, f"c{k}", float(rng.randrange(-60, 60)), float(rng.randrange(-60, 60))) for k in range(3000)]
+    places = spark.createDataFrame(many, "pos int, city string, latitude double, longitude double")
+    points = [(k, rng.choice([rng.uniform(-70, 70), float(rng.randrange(-60, 60)) + 0.5]), rng.uniform(-70, 70)) for k in range(60)]
+    got = {r.k: r.p for r in joins.nearest(spark.createDataFrame(points, "k int, a double, b double"), F.col("a"), F.col("b"), places).select("k", F.col("place.pos").alias("p")).collect()}
+    assert got == {k: min(many, key=lambda p: ((p[2] - a) ** 2 + (p[3] - b) ** 2, p[0]))[0] for k, a, b in points}
+
+
+def test_languages_of_held_out_documents(spark):
+    import os
+
+    from quern.functions import language
+
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null and lang is not null and doc_id is not null")
+    model = language.learned(docs.where("doc_id % 2 = 0"))
+    held = language.detected(docs.where("doc_id % 2 = 1").select("doc_id", "text", F.lower(F.trim("lang")).alias("lang")), "text", model).collect()
+    assert sum(r.lang == r.language for r in held) > 0.93 * len(held)  # some labels are wrong on purpose
+    assert model.best(["", None, "!!! 12", "Завтра в городе ожидается дождь и сильный ветер."]) == ["", "", "", ""]
+    assert language.learned(docs.limit(0)).best(["some text"]) == [""]
 
 
 def test_retention():
@@ -228,8 +252,7 @@ def test_similarity(spark):
 def test_generated_conversations(spark, data):
     places = spark.read.parquet(f"{data}/locations.parquet")
     rows = generate.conversations(spark, 400, places)
-    e = validate.all_errors(F.col("messages"), F.col("tags.persona"), F.col("tags.tone"), F.col("tags.domain"), validate.gazetteer(places))
-    got = rows.select("tags.scenario", "metadata.query_type", e.alias("e")).collect()
+    got = generate.checked(rows, places).select("tags.scenario", "metadata.query_type", F.col("errors").alias("e")).collect()
     assert all(not r.e for r in got if r.scenario != "error" or r.query_type == "geocode")
     assert all(r.e and r.e[0].startswith("JSON schema") for r in got if r.scenario == "error" and r.query_type != "geocode")
     again = generate.conversations(spark, 400, places).repartition(7)
