@@ -17,6 +17,7 @@ STOP_WORDS = {
     "es": ["el", "la", "los", "las", "de", "y", "que", "en", "un", "una", "con", "del", "se", "por", "no", "su", "al", "para", "como", "más", "lo", "es", "o", "pero", "si"],
 }
 
+FEW = 256  # places of which every one is looked at for every point
 DIMENSION = 200_000  # rows up to which a dimension is broadcast
 
 
@@ -117,7 +118,7 @@ def nearest(points: DataFrame, lat: Column, lon: Column, locations: DataFrame, o
     reach = spots.agg(F.min("_lat").alias("a"), F.max("_lat").alias("b"), F.min("_lon").alias("c"), F.max("_lon").alias("d")).first()
     # with cells as wide as all points and places, every point meets every place
     whole = 1.0 if not span["n"] or reach["a"] is None else max(max(span[h], reach[h]) - min(span[l], reach[l]) for l, h in (("a", "b"), ("c", "d")))
-    width = max(span["b"] - span["a"], span["d"] - span["c"], 1e-6) / max(1.0, span["n"] ** 0.5 / 2) if span["n"] else 1.0  # about four places to a cell
+    width = 2 * whole + 1 if span["n"] <= FEW else max(span["b"] - span["a"], span["d"] - span["c"], 1e-6) / (span["n"] ** 0.5 / 2)  # about four places to a cell
     left = spots if span["n"] else spots.limit(0)
     while span["n"]:
         cell = lambda c: F.floor(c / F.lit(width))  # noqa: E731, B023
@@ -133,8 +134,10 @@ def nearest(points: DataFrame, lat: Column, lon: Column, locations: DataFrame, o
         sure = best.where((F.col("_b.far") < F.col("_edge") * F.col("_edge")) | F.lit(width > whole)).select("_lat", "_lon", F.col("_b._place").alias("_place"))
         sure = cut(sure)
         found = sure if found is None else found.unionByName(sure)
+        if width > whole:
+            break
         left = cut(left.join(sure, ["_lat", "_lon"], "left_anti"))
-        if width > whole or left.isEmpty():
+        if left.isEmpty():
             break
         width *= 4
     if found is None:

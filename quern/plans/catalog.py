@@ -501,6 +501,13 @@ def a4_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def a4_stage_counts_near(spark: SparkSession, folder: str) -> DataFrame:
+    items = spread(table(spark, folder, "clean_items").select("id", "content"))
+    return pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels"))).counts()
+
+
+@query()
+def a4_stage_counts_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with languages told by the learned model."""
     items = spread(table(spark, folder, "clean_items").select("id", "content"))
     model = language.learned(table(spark, folder, "documents"), other=items.select(F.col("content").alias("text")))
     return pipelines.normalize(items, "id", joins.verdicts(table(spark, folder, "safety_labels")), model=model).counts()
