@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.chat import CALL, SYSTEM
+from quern.functions.chat import CALL, SYSTEM, draw
 from quern.functions.validate import all_errors, asked_point
 from quern.operators.joins import dimension, nearest
 from quern.operators.sampling import ranked, weighted
@@ -56,7 +56,7 @@ INTRO = {"current": "I will look up the current weather.", "forecast": "I will g
 
 def uniform(seed: int, key: Column, name: str) -> Column:
     """A number in [0, 1) of a row's key and the draw's name."""
-    return F.pmod(F.xxhash64(F.lit(seed), key, F.lit(name)), F.lit(1_000_003)) / 1_000_003
+    return draw(F.concat(key.cast("string"), F.lit(f"/{name}")), seed) / 4294967296
 
 
 def between(seed: int, key: Column, name: str, low: Column | float, high: Column | float, digits: int = 1) -> Column:

@@ -594,12 +594,17 @@ def a15_personas(spark: SparkSession, folder: str) -> DataFrame:
     return stats.histogram(table(spark, folder, "conversation"), F.col("tags.persona"), "persona")
 
 
+_TEMPLATED = " + ".join(f"contains(lower(r), '{p.lower().replace(chr(39), chr(39) * 2)}')::BIGINT" for p in stats.TEMPLATES.values())
+
+
 @query(f"""
-WITH r AS (SELECT r FROM (SELECT {_FINAL} AS r FROM conversation) WHERE r IS NOT NULL), s AS (SELECT count(*) AS n, count(DISTINCT r) AS u FROM r),
-m AS (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM ({_PHRASES4}) GROUP BY term))
-SELECT n AS responses, u / n AS unique_ratio, 1 - m / n AS phrase_diversity FROM s, m""")
+WITH r AS (SELECT r FROM (SELECT {_FINAL} AS r FROM conversation) WHERE r IS NOT NULL), s AS (SELECT count(*) AS n, count(DISTINCT r) AS u, sum({_TEMPLATED}) AS t FROM r),
+m AS (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM ({_PHRASES4}) GROUP BY term)),
+d AS (SELECT n AS responses, u / n AS unique_ratio, (n - t) / n AS template_free, 1 - m / n AS phrase_diversity FROM s, m),
+e AS (SELECT *, (unique_ratio * 0.3 + template_free * 0.5 + phrase_diversity * 0.2) * 100 AS score FROM d)
+SELECT responses, unique_ratio, template_free, phrase_diversity, round(score, 9) AS score, CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 75 THEN 'good' WHEN score >= 60 THEN 'fair' ELSE 'poor' END AS label FROM e""")
 def a16_diversity(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.diversity(spread(table(spark, folder, "conversation")), F.col("messages")).select("responses", "unique_ratio", "phrase_diversity")
+    return stats.diversity(spread(table(spark, folder, "conversation")), F.col("messages")).withColumn("score", F.round("score", 9))
 
 
 @query("""
@@ -768,10 +773,10 @@ def v4_chat_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT entry_id, coalesce(len(messages) > 0 AND messages[1].role = 'system' AND messages[-1].role = 'assistant'
-  AND len(list_filter(messages, lambda m: m.role IS NULL OR (m.content IS NULL AND coalesce(len(m.tool_calls), 0) = 0))) = 0, false) AS valid FROM conversation""")
+SELECT entry_id, CASE WHEN messages IS NULL OR len(messages) = 0 THEN 'no messages' WHEN messages[1].role <> 'system' THEN 'first message must be system' WHEN messages[-1].role <> 'assistant' THEN 'last message must be assistant'
+  WHEN len(list_filter(messages, lambda m: m.role IS NULL OR (m.content IS NULL AND coalesce(len(m.tool_calls), 0) = 0))) > 0 THEN 'invalid message' END AS error FROM conversation""")
 def v5_weak_check(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversation").select("entry_id", validate.weak_error(F.col("messages")).isNull().alias("valid"))
+    return table(spark, folder, "conversation").select("entry_id", validate.weak_error(F.col("messages")).alias("error"))
 
 
 def _sql_parameters(name: str = "name", a: str = "a") -> str:
@@ -909,12 +914,6 @@ def g6_accepted(spark: SparkSession, folder: str) -> DataFrame:
     return generate.accepted(spark, 500, table(spark, folder, "locations")).select("metadata.conversation_id", "tags.persona", "tags.scenario", F.size("messages").alias("messages"))
 
 
-@query()
-def g1_weather(spark: SparkSession, folder: str) -> DataFrame:
-    places = table(spark, folder, "locations")
-    return generate.weather_at(places.select("pos", "latitude", "longitude"), "latitude", "longitude", "pos", places, 7).select("pos", "weather.*")
-
-
 @query()
 def pipeline_instruct(spark: SparkSession, folder: str) -> DataFrame:
     rows = pipelines.instruct(spread(table(spark, folder, "passages")).dropDuplicates(["passage_id"]), "passage_id").rows

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,14 @@ from quern.plans.catalog import _NEWEST, _STAGES, PHRASES, _sql_language, joined
 from quern.session import scratch, spread, table
 from quern.sources import config, readers, writers
 
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one, as a path of a mounted file system: for the small files that the driver itself writes."""
+    at = scratch(spark, name).removeprefix("file:")
+    os.makedirs(at)
+    return at
+
+
 # ---------------------------------------------------------------- readers
 
 _ITEM = "id long, content string, source string"
@@ -176,12 +185,9 @@ SELECT split, count(*) AS n, count(*) * 100 / (SELECT count(*) FROM conversation
   (SELECT CASE WHEN similarity >= 0.95 THEN 'excellent' WHEN similarity >= 0.85 THEN 'good' WHEN similarity >= 0.75 THEN 'fair' ELSE 'poor' END FROM ({_SIMILAR})) AS label
 FROM conversation WHERE split IS NOT NULL GROUP BY split""")
 def k8_split_report(spark: SparkSession, folder: str) -> DataFrame:
-    import tempfile
-
     rows = table(spark, folder, "conversation").where("split is not null")
     counts = {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()}  # a row for each split
-    with tempfile.TemporaryDirectory() as local:  # the driver's report; the rows below are what it says
-        figures = reports.split_report(f"{local}/split", counts, _similar(spark, folder).first()["similarity"], [])
+    figures = reports.split_report(f"{_folder(spark, 'k8')}/split", counts, _similar(spark, folder).first()["similarity"], [])
     return spark.createDataFrame([(s["split"], s["n"], s["percent"], figures["quality"]["label"]) for s in figures["splits"]], "split string, n long, percent double, label string")
 
 
@@ -189,13 +195,10 @@ def k8_split_report(spark: SparkSession, folder: str) -> DataFrame:
 SELECT 'book' AS kind, book_title AS value, count(*) AS n FROM passages WHERE book_title IS NOT NULL GROUP BY book_title UNION ALL SELECT 'author', author_name, count(*) FROM passages WHERE author_name IS NOT NULL GROUP BY author_name""")
 def k9_corpus_report(spark: SparkSession, folder: str) -> DataFrame:
     """Passages by book and author (A5), as the corpus report has them."""
-    import tempfile
-
     rows = table(spark, folder, "passages")
     totals = reports.as_dicts(stats.corpus(rows))[0]
     by = {k: reports.as_dicts(stats.corpus_by(rows, c)) for k, c in (("book", "book_title"), ("author", "author_name"))}
-    with tempfile.TemporaryDirectory() as local:
-        figures = reports.corpus_report(f"{local}/corpus", totals, by["book"], by["author"], reports.as_dicts(stats.top_terms(rows, F.col("matched_keywords"))))
+    figures = reports.corpus_report(f"{_folder(spark, 'k9')}/corpus", totals, by["book"], by["author"], reports.as_dicts(stats.top_terms(rows, F.col("matched_keywords"))))
     return spark.createDataFrame([(k, r["value"], r["n"]) for k, part in (("book", "books"), ("author", "authors")) for r in figures[part]], "kind string, value string, n long")
 
 
@@ -436,3 +439,80 @@ def v4_line_errors(spark: SparkSession, folder: str) -> DataFrame:
     writers.put_text(spark, f"{at}/broken.json", "{\n[1, 2]\nnot json\n")
     kinds = ("Invalid JSON", "Missing 'messages' field", "'messages' array is empty")
     return writers.line_errors(spark, at).where(F.col("error").isin(*kinds)).groupBy(F.col("error").alias("kind")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+# ---------------------------------------------------------------- generated weather, in SQL as well
+
+
+def _u(key: str, name: str) -> str:
+    return f"({sql_draw(f'{key} || {chr(39)}/{name}{chr(39)}')} / 4294967296)"
+
+
+def _between(key: str, name: str, low: object, high: object, digits: int = 1) -> str:
+    return f"round({low} + {_u(key, name)} * ({high} - {low}), {digits})"
+
+
+_ZONES = "CASE climate_zone " + " ".join(f"WHEN '{z}' THEN {sql_list(names)}" for z, names in generate.BY_CLIMATE.items()) + " ELSE ['clear', 'cloudy', 'rain'] END"
+
+
+def _condition(key: str, t: str) -> str:
+    fit = f"CASE WHEN {t} < -10 THEN list_filter(zone, lambda c: list_contains({sql_list(generate.COLD)}, c)) WHEN {t} > 35 THEN list_filter(zone, lambda c: list_contains({sql_list(generate.HOT)}, c)) ELSE zone END"
+    some = f"(CASE WHEN len({fit}) > 0 THEN {fit} ELSE ['clear', 'cloudy'] END)"
+    return f"({some})[CAST(floor({_u(key, 'c')} * len({some})) AS INT) + 1]"
+
+
+_PLACES = f"SELECT *, CAST(pos AS VARCHAR) AS k, {_ZONES} AS zone, CASE WHEN latitude >= 0 THEN summer_lo ELSE winter_lo END AS lo, CASE WHEN latitude >= 0 THEN summer_hi ELSE winter_hi END AS hi FROM locations"
+
+
+@query(f"""
+WITH a AS (SELECT *, {_between("k", "t", "lo", "hi")} AS temperature FROM ({_PLACES})), b AS (SELECT *, {_condition("k", "temperature")} AS condition FROM a)
+SELECT pos, temperature, condition, CASE WHEN condition IN ('thunderstorm', 'blizzard', 'sandstorm') THEN {_between("k", "w", 20, 50)} ELSE {_between("k", "w", 0, 20)} END AS wind_speed,
+  CAST(CASE WHEN climate_zone IN ('tropical', 'equatorial', 'oceanic') THEN {_between("k", "h", 60, 95, 0)} WHEN climate_zone IN ('desert', 'semi-arid') THEN {_between("k", "h", 10, 40, 0)} ELSE {_between("k", "h", 30, 80, 0)} END AS INT) AS humidity,
+  city || ', ' || country AS location FROM b""")
+def g1_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """The weather of July at the place nearest to each place: itself."""
+    places = table(spark, folder, "locations")
+    made = generate.weather_at(places.select("pos", "latitude", "longitude"), "latitude", "longitude", "pos", places, 7)
+    return made.select("pos", "weather.temperature", "weather.condition", "weather.wind_speed", "weather.humidity", "weather.location")
+
+
+@query(f"""
+WITH d AS (SELECT *, k || '/' || CAST(i AS VARCHAR) AS kk FROM (SELECT *, unnest(range(1, 8)) AS i FROM ({_PLACES}))),
+a AS (SELECT *, {_between("kk", "t", "lo", "hi")} AS high FROM d), b AS (SELECT *, {_condition("kk", "high")} AS condition FROM a)
+SELECT pos, strftime(DATE '2025-06-30' + CAST(i AS INT), '%Y-%m-%d') AS date, high AS temperature_max, round(high - {_between("kk", "l", 5, 12)}, 1) AS temperature_min, condition,
+  CAST(CASE WHEN condition IN ('rain', 'thunderstorm', 'snow', 'drizzle') THEN {_between("kk", "p", 60, 95, 0)} WHEN condition IN ('cloudy', 'partly_cloudy') THEN {_between("kk", "p", 10, 40, 0)} ELSE {_between("kk", "p", 0, 20, 0)} END AS INT) AS precipitation_chance,
+  {_between("kk", "w", 5, 25)} AS wind_speed FROM b""")
+def g2_forecasts(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast of a week at every place."""
+    places = table(spark, folder, "locations")
+    made = places.select("pos", generate.forecast(F.struct(*places.columns), F.lit(7), F.col("pos"), F.to_date(F.lit("2025-06-30"))).alias("f"))
+    return made.select("pos", F.explode("f.daily").alias("d")).select("pos", "d.*")
+
+
+@query("SELECT 'first' AS step, 'text 1' AS text, 1 AS fetched UNION ALL SELECT 'kept', 'text 1', 1 UNION ALL SELECT 'forced', 'text 2', 2 UNION ALL SELECT 'failed twice', 'text 5', 5")
+def s8_fetch(spark: SparkSession, folder: str) -> DataFrame:
+    """A remote text: fetched, kept, fetched again by force, and after two failures (on the driver)."""
+    tries: list[int] = []
+    fail: set[int] = {3, 4}
+
+    def fetch() -> str:
+        tries.append(1)
+        if len(tries) in fail:
+            raise OSError("no answer")
+        return f"text {len(tries)}"
+
+    out = []
+    at = f"{_folder(spark, 's8')}/book.txt"
+    for step, force in (("first", False), ("kept", False), ("forced", True), ("failed twice", True)):
+        readers.cached_fetch(at, fetch, force, wait=lambda s: None)
+        with open(at, encoding="utf-8") as f:
+            out.append((step, f.read(), len(tries)))
+    return spark.createDataFrame(out, "step string, text string, fetched int")
+
+
+@query("SELECT 'kept' AS name, '{\"_inner\": 1}' AS value UNION ALL SELECT 'number', '7'")
+def s9_config(spark: SparkSession, folder: str) -> DataFrame:
+    """A configuration file, without its keys that begin with '_' (on the driver)."""
+    at = f"{_folder(spark, 's9')}/c.json"
+    writers.write_json(at, {"_comment": "left out", "kept": {"_inner": 1}, "number": 7})
+    return spark.createDataFrame([(k, json.dumps(v)) for k, v in config.load(at).items()], "name string, value string")
