@@ -15,13 +15,14 @@ Whether a clause is in the question's language is told by letter trigrams
 table; a clause in a language the model does not know is foreign to a question
 in one that it does.
 
-The field is trained here: a bounded sample of pairs (``sample`` of them, of at
-most ``longest`` characters; parameters) that look sound gives clean
-sequences, and each of them is also spoilt on purpose: broken off, replaced by
-the question in several guises, by a declining sentence, or by an answer in
-another language.  Sound answers that begin with an apology or a caveat are
-among the clean ones.  How often a word ends a clause is counted over all
-answers.
+The field is trained here: every pair that looks sound gives a clean sequence,
+and each of them is also spoilt on purpose: broken off, replaced by the
+question in several guises, by a declining sentence, or by an answer in another
+language.  Sound answers that begin with an apology or a caveat are among the
+clean ones.  How often a word ends a clause is counted over all answers.  Pairs
+are dealt by hash into shards, a field is trained on each of them in the
+workers, and the weights are averaged: of a feature over the shards that have
+it.
 
 Defined results: null messages, messages without role and assistant messages
 before any user message give no pair; a null question is an empty one, which
@@ -31,9 +32,10 @@ nothing can echo and which has no language; a null answer is 'empty'.
 from __future__ import annotations
 
 import functools
+import itertools
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,6 +55,11 @@ PLAIN = 30  # characters of a question from which its language is plain
 DENSE = 3  # how many times as much a feature that is not of words counts
 LEAST_SEEN = 3  # of a word or pair of words, for a share of how often it ends a clause
 CELLS = 1 << 20  # of the table of these shares, by hash
+SHARD = 24_000  # pairs of a shard, about; with fewer each is gone over more often, up to EPOCHS times
+SHARD_TEXT = 10_000_000  # characters of a shard, about
+EPOCHS = 8
+CHUNK, CHUNK_TEXT = 3000, 2_000_000  # pairs and characters made into examples at once
+FINE = 1 << 20  # parts of a unit in which weights are added up, as integers, so that no order matters
 
 # The names of languages in requests.
 LANGUAGE_NAMES = {
@@ -232,6 +239,13 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return cp.mix(a * np.uint64(0x9E3779B97F4A7C15) ^ cp.mix(b))
 
 
+def _places(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand among sorted ones, and which of them are there."""
+    at = np.searchsorted(among, values)
+    at[at == len(among)] = 0
+    return at, among[at] == values if len(among) else np.zeros(len(values), bool)
+
+
 def _mean(values: np.ndarray, own: np.ndarray, n: int, none: np.ndarray | float) -> np.ndarray:
     count = np.bincount(own, minlength=n)
     return np.where(count > 0, np.bincount(own, values, minlength=n) / np.maximum(count, 1), none)
@@ -270,16 +284,18 @@ def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray,
     name = lambda h, p: cp.mix(h ^ cp.mix(p.astype(np.uint64) + np.uint64(77)))
     q_key, first = np.unique(name(q_words, q_pair), return_index=True)
     key = name(words, pair)
-    known = np.isin(key, q_key)
+    place, known = _places(key, q_key)
     next_ = pair[1:] == pair[:-1]  # neighbours in an answer, and of them those of one clause
     inner = own[1:] == own[:-1]
     two = _pair_hash(words[:-1], words[1:])
     q_next = q_pair[1:] == q_pair[:-1]
     q_two = np.unique(name(_pair_hash(q_words[:-1], q_words[1:]), q_pair[1:])[q_next])
-    two_known = np.isin(name(two, pair[1:]), q_two)
+    two_known = _places(name(two, pair[1:]), q_two)[1]
     novel = 1 - _mean(known.astype(float), pair, n, 0.0)
     echoed = _mean(two_known[next_].astype(float), pair[1:][next_], n, 0.0)
-    covered = _mean(np.isin(q_key, key).astype(float), q_pair[first], n, 0.0)
+    used = np.zeros(len(q_key))
+    used[place[known]] = 1
+    covered = _mean(used, q_pair[first], n, 0.0)
     inside = _mean(known.astype(float), own, m, 0.0)
     copied = _mean(two_known[inner].astype(float), own[1:][inner], m, inside)
 
@@ -366,7 +382,6 @@ def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray,
     put(_feature(11, kind[z], _bins(e1[z], 0, 0.02, 0.1, 0.3, 0.6)), everyone[z])
     put(_feature(12, kind[z], _bins(e2[z], 0, 0.02, 0.3, 0.8), pointed[z]), everyone[z])
     put(_feature(13, c.kind[y]), everyone[y])
-    features, at = features * DENSE, at * DENSE
     dense = sum(map(len, at))
     put((cp.mix(words ^ np.uint64(0xA5A5)) >> np.uint64(40)).astype(np.int64) % DIM, own)
     put((cp.mix(two ^ np.uint64(0x5A5A)) >> np.uint64(40)).astype(np.int64)[inner] % DIM, own[1:][inner])
@@ -374,6 +389,18 @@ def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray,
     return Batch(c, feature, at_, np.arange(len(at_)) >= dense, np.maximum(sizes, 1), n_words)
 
 
+@dataclass
+class Examples:
+    """Tagged sequences to train on: features of clauses, clause by clause, and where those of each begin; tags of clauses; where each sequence begins and how long it is."""
+
+    feature: np.ndarray
+    lexical: np.ndarray
+    starts: np.ndarray
+    tags: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
+
+
 class Field:
     """A linear-chain conditional random field over hashed clause features, with what its features need."""
 
@@ -383,9 +410,11 @@ class Field:
         self.moves = np.zeros((n, n), np.float32) if moves is None else moves
         self.ends = np.full(CELLS, -1.0, np.float32) if ends is None else ends
         self.model = model or Languages([], np.zeros((0, language.BUCKETS)))
+        self.seen = np.zeros(DIM, bool)  # features that it was trained on
 
-    def scores(self, feature: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-        return np.stack([np.bincount(at, self.w[feature, k], minlength=size) for k in range(len(LABELS))], 1)
+    def scores(self, feature: np.ndarray, at: np.ndarray, lexical: np.ndarray, size: int) -> np.ndarray:
+        times = np.where(lexical, np.float32(1), np.float32(DENSE))
+        return np.stack([np.bincount(at, self.w[feature, k] * times, minlength=size) for k in range(len(LABELS))], 1)
 
     def decode(self, s: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The likeliest tags (Viterbi) of sequences of scores, all at once, step by step; the longest come first, so those still going on are a head of the list."""
@@ -413,16 +442,14 @@ class Field:
             tags[begin[:k] + t - 1] = now[:k]
         return tags
 
-    def fit(self, feature: np.ndarray, at: np.ndarray, lexical: np.ndarray, tags: np.ndarray, begin: np.ndarray, length: np.ndarray, epochs: int = 8, rate: float = 0.15, batch: int = 32, seed: int = 6) -> Field:
+    def fit(self, chunks: Iterable[Examples], epochs: int = EPOCHS, rate: float = 0.15, batch: int = 32, seed: int = 6) -> Field:
         """Stochastic gradient ascent (AdaGrad) of the conditional likelihood, forward and backward, by batches of sequences of like length; of the features of words a share is left out by chance."""
         rng = np.random.default_rng(seed)
         n = len(LABELS)
-        order = np.argsort(at, kind="stable")
-        feature, lexical = feature[order], lexical[order]
-        starts = np.searchsorted(at[order], np.arange(len(tags) + 1))
         gw, gm = np.full(self.w.shape, 1e-6, np.float32), np.full(self.moves.shape, 1e-6, np.float32)
-        some = np.flatnonzero(length > 0)
-        for _ in range(epochs):
+        for _, x in ((e, x) for e in range(epochs) for x in chunks):
+            feature, lexical, starts, tags, begin, length = x.feature, x.lexical, x.starts, x.tags, x.begin, x.length
+            some = np.flatnonzero(length > 0)
             shuffled = some[np.argsort(length[some] + rng.random(len(some)) * 3)]
             groups = [shuffled[k : k + batch] for k in range(0, len(shuffled), batch)]
             rng.shuffle(groups)
@@ -437,9 +464,9 @@ class Field:
                 inner = np.repeat(np.arange(len(flat)), many)
                 which = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[flat], many)
                 stay = ~lexical[which] | (rng.random(len(which)) > 0.4)
-                f, inner = feature[which[stay]], inner[stay]
+                f, inner, times = feature[which[stay]], inner[stay], np.where(lexical[which[stay]], np.float32(1), np.float32(DENSE))
                 s = np.zeros((len(group), t_max, n))
-                s[mask] = np.stack([np.bincount(inner, self.w[f, k], minlength=len(flat)) for k in range(n)], 1)
+                s[mask] = np.stack([np.bincount(inner, self.w[f, k] * times, minlength=len(flat)) for k in range(n)], 1)
                 a, z = s.copy(), np.zeros_like(s)
                 for t in range(1, t_max):
                     v = a[:, t - 1, :, None] + self.moves
@@ -462,9 +489,10 @@ class Field:
                 self.moves += rate * g / np.sqrt(gm)
                 e = err[mask]
                 used, place = np.unique(f, return_inverse=True)
-                grad = np.stack([np.bincount(place, e[inner, k], minlength=len(used)) for k in range(n)], 1).astype(np.float32)
+                grad = np.stack([np.bincount(place, e[inner, k] * times, minlength=len(used)) for k in range(n)], 1).astype(np.float32)
                 gw[used] += grad * grad
                 self.w[used] += rate * grad / np.sqrt(gw[used]) - 1e-5 * self.w[used]
+                self.seen[used] = True
         return self
 
     def tagged(self, questions: list[str], answers: list[str | None]) -> tuple[list[str | None], Batch, np.ndarray]:
@@ -473,7 +501,7 @@ class Field:
         c, n = b.clauses, len(answers)
         m = len(c.pair)
         begin = np.searchsorted(c.pair, np.arange(n))
-        tags = self.decode(self.scores(b.feature, b.at, m), begin, np.searchsorted(c.pair, np.arange(n), "right") - begin)
+        tags = self.decode(self.scores(b.feature, b.at, b.lexical, m), begin, np.searchsorted(c.pair, np.arange(n), "right") - begin)
         cover = np.bincount(c.pair * len(LABELS) + tags, b.sizes, minlength=n * len(LABELS)).reshape(n, len(LABELS))
         total = cover.sum(1)
         broken = np.zeros(n, bool)
@@ -610,25 +638,26 @@ def train(pairs: list[tuple[str, str]], model: Languages, ends: np.ndarray | Non
     made = examples(pairs, model, seed)
     if ends is None:
         ends = shares_of(*count_ends([a for _, a, t in made if t == 0]))
-    field = Field(ends=ends, model=model)
-    if not made:
-        return field
-    feature, at, lexical, tags, length, clauses = [], [], [], [], [], 0
-    for k in range(0, len(made), 500):  # so the code points of some examples are held at a time
-        part = made[k : k + 500]
+    return Field(ends=ends, model=model).fit([prepared(made, ends, model)], epochs=epochs, seed=seed)
+
+
+def prepared(made: list[tuple[str, str, int | list[int]]], ends: np.ndarray, model: Languages) -> Examples:
+    """The features and tags of examples."""
+    feature, lexical, many, tags, length = [[np.zeros(0, np.int32)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    for x, y in cp.slices([q + a for q, a, _ in made], 1 << 18):  # so the code points of some examples are held at a time
+        part = made[x:y]
         b = featurize([q for q, _, _ in part], [a for _, a, _ in part], ends, model)
         c = b.clauses
         own = np.array([0 if isinstance(t, list) else t for _, _, t in part], np.int64)[c.pair]
         closing = np.array([t[0] if isinstance(t, list) else -1 for _, _, t in part], np.int64)[c.pair]
         tags.append(np.where(c.last & (closing >= 0), closing, own))
-        feature.append(b.feature.astype(np.int32))
-        at.append((b.at + clauses).astype(np.int32))
-        lexical.append(b.lexical)
+        order = np.argsort(b.at, kind="stable")
+        feature.append(b.feature[order].astype(np.int32))
+        lexical.append(b.lexical[order])
+        many.append(np.bincount(b.at, minlength=len(c.pair)))
         length.append(np.bincount(c.pair, minlength=len(part)))
-        clauses += len(c.pair)
     lengths = np.concatenate(length)
-    begin = np.cumsum(lengths) - lengths
-    return field.fit(np.concatenate(feature), np.concatenate(at), np.concatenate(lexical), np.concatenate(tags), begin, lengths, epochs=epochs, seed=seed)
+    return Examples(np.concatenate(feature), np.concatenate(lexical), np.r_[0, np.cumsum(np.concatenate(many))].astype(np.int64), np.concatenate(tags), np.cumsum(lengths) - lengths, lengths)
 
 
 # ---------------------------------------------------------------- on tables
@@ -697,17 +726,84 @@ def end_shares(rows: DataFrame) -> np.ndarray:
     return shares_of(seen.reshape(-1), ended.reshape(-1))
 
 
-def learned(rows: DataFrame, labelled: DataFrame, sample: int = 3000, longest: int = 20_000) -> Field:
-    """A field for rows (question, answer): trained on ``sample`` of the pairs of at most ``longest`` characters, those whose keys hash lowest.
+def _chunks(rows: Iterable[tuple[str, str]]) -> Iterator[list[tuple[str, str]]]:
+    """Pairs in lists of at most CHUNK of them, and of about CHUNK_TEXT characters."""
+    held, size = [], 0
+    for q, a in rows:
+        held.append((q, a))
+        size += len(q) + len(a)
+        if len(held) == CHUNK or size >= CHUNK_TEXT:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def fitted(rows: DataFrame, model: Languages, ends: np.ndarray) -> Field:
+    """A field trained on all rows (entry_id, msg_index, question, answer) with a question and an answer.
+
+    The shards and the order in them are given by the keys and texts, whatever
+    the partitioning.  Of a shard's pairs some CHUNK are held as text at a
+    time; their features are held only where they are gone over again.
+    """
+    rows = rows.where((F.length("question") > 0) & (F.length("answer") > 0))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("question") + F.length("answer")), F.lit(0)).alias("text")).first()
+    shards = max(1, -(-size["n"] // SHARD), -(-size["text"] // SHARD_TEXT))
+    epochs = min(EPOCHS, max(1, round(SHARD * shards / max(size["n"], 1))))
+    kind, labels = "block int, cells binary", len(LABELS)
+    held = rows.sparkSession.sparkContext.broadcast((model, ends))  # of fixed size
+
+    def sent(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in sums.values()], pa.binary())], names=["block", "cells"])
+
+    def said(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, str]]:
+        for batch in batches:
+            yield from zip(batch.column("shard").to_pylist(), cp_forms(batch.column("question").to_pylist()), cp_forms(batch.column("answer").to_pylist()))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, ends = held.value
+        w, moves = np.zeros((DIM, labels + 1), np.int64), np.zeros(labels * labels + 1, np.int64)
+        for shard, group in itertools.groupby(said(batches), lambda r: r[0]):
+            seed = 6 + 7919 * shard
+            made = (examples(part, model, seed + k) for k, part in enumerate(_chunks((q, a) for _, q, a in group)))
+            chunks = (prepared(m, ends, model) for m in made if m)
+            field = Field(ends=ends, model=model).fit(chunks if epochs == 1 else list(chunks), epochs, seed=seed)
+            w += np.rint(np.c_[field.w.astype(float) * FINE, field.seen]).astype(np.int64)
+            moves += np.rint(np.r_[field.moves.astype(float).reshape(-1) * FINE, field.seen.any()]).astype(np.int64)
+        if moves[-1]:
+            yield sent(dict(enumerate(w.reshape(-1, _BLOCK, labels + 1))) | {-1: moves})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("block").to_pylist(), batch.column("cells").to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(raw, "<i8")
+        if sums:
+            yield sent(sums)
+
+    keys = ["entry_id", "msg_index", "question", "answer"]
+    dealt = rows.select(F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("int").alias("shard"), *keys).repartitionById(shards, F.col("shard"))
+    dealt = dealt.sortWithinPartitions("shard", F.xxhash64("entry_id", "msg_index"), *keys).select("shard", "question", "answer")
+    got = dealt.mapInArrow(fit, kind).repartition("block").mapInArrow(add, kind).toArrow()  # of fixed size
+    w, moves = np.zeros((DIM // _BLOCK, _BLOCK, labels + 1)), np.zeros(labels * labels + 1)
+    for k, raw in zip(got.column("block").to_pylist(), got.column("cells").to_pylist()):
+        cells = np.frombuffer(raw, "<i8").astype(float)
+        if k < 0:
+            moves = cells
+        else:
+            w[k] = cells.reshape(_BLOCK, -1)
+    w = w.reshape(DIM, -1)
+    mean = w[:, :-1] / FINE / np.maximum(w[:, -1:], 1)
+    return Field(mean.astype(np.float32), (moves[:-1] / FINE / max(moves[-1], 1)).reshape(labels, labels).astype(np.float32), ends, model)
+
+
+def learned(rows: DataFrame, labelled: DataFrame) -> Field:
+    """A field for rows (entry_id, msg_index, question, answer), trained on all of them.
 
     ``labelled`` has texts with their languages (text, lang).
     """
     said = rows.select(F.explode(F.array("question", "answer")).alias("text"))
-    model = language.learned(labelled, other=said)
-    chosen = rows.where((F.length("question") > 0) & (F.length("answer") > 0) & (F.length("question") + F.length("answer") <= longest))
-    chosen = chosen.orderBy(F.xxhash64("entry_id", "msg_index"), "entry_id", "msg_index").limit(sample)
-    got = chosen.select("question", "answer").collect()
-    return train(list(zip(cp_forms([r["question"] for r in got]), cp_forms([r["answer"] for r in got]))), model, end_shares(rows))
+    return fitted(rows, language.learned(labelled, other=said), end_shares(rows))
 
 
 def tagged_pairs(rows: DataFrame, field: Field, clauses: bool = False) -> DataFrame:

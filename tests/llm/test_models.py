@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quern.functions import language
@@ -190,3 +191,70 @@ def test_end_shares_are_counted_over_all_answers(spark):
     words = cp.word_spans(*cp.explode(["at dusk"]))[0]
     cell = lambda h: int(h % np.uint64(pairs.CELLS))
     assert got[cell(words[1])] == pytest.approx(3 / 5) and got[cell(pairs._pair_hash(words[:1], words[1:])[0])] == pytest.approx(2 / 3)
+
+
+def test_a_language_model_is_counted_over_all_rows(spark):
+    rng = random.Random(7)
+    words = {"en": "the rain was cold and they would think that".split(), "de": "der regen war nicht und die schule ist zwischen".split()}
+    said = [(lang, " ".join(rng.sample(words[lang], 6))) for lang in rng.choices(["en", "de"], k=9000)]
+    plain = [" ".join(rng.sample(words[lang], 6)) for lang in rng.choices(["en", "de"], k=8000)]
+    docs = spark.createDataFrame([(t, f" {lang.upper()}") for lang, t in said], "text string, lang string").repartition(5)
+    other = spark.createDataFrame([(t,) for t in [*plain, None, "", "!"]], "text string").repartition(3)
+
+    def counted(texts, own):
+        grams, row = language.trigrams(texts)
+        return np.stack([np.bincount(grams[own[row] == k], minlength=language.BUCKETS) for k in range(2)])
+
+    texts, own = [t for _, t in said], np.array([int(lang == "en") for lang, _ in said])
+    first = language.Languages(["de", "en"], counted(texts, own))
+    taken = lambda ts: first.likeliest(*first.sums(*language.trigrams(ts), len(ts)))
+    both = texts + plain
+    want = language.Languages(["de", "en"], counted(both, np.r_[np.where(taken(texts) == own, own, -1), taken(plain)]))
+    got = language.learned(docs, other=other)
+    assert got.names == want.names and np.array_equal(got.logp, want.logp)
+
+
+def test_parts_of_batches(monkeypatch):
+    monkeypatch.setattr(language, "PART", 1 << 20)
+    texts = ["a" * 400_000, None, "ö" * 700_000, "", "b" * 3_000_000, "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    assert [p.column("text").to_pylist() for p in language._parts([batch, batch.slice(0, 0)])] == [texts[:2], texts[2:4], texts[4:5], texts[5:]]
+
+
+@pytest.fixture(scope="module")
+def talk(spark):
+    """3,600 pairs, each with a word that no other has, the last of them of more than 20,000 characters; and labelled texts."""
+    rng = random.Random(11)
+    rows = [(k, 0, Q, f"{rng.choice(EN)} The clerk from zq{k}vy said so in the evening.") for k in range(3600)]
+    rows[-1] = (*rows[-1][:3], " ".join(EN * 90) + " " + rows[-1][3])
+    docs = [(t, lang) for lang, ts in (("en", [Q, *[a for *_, a in rows[:20]]]), ("de", DE)) for t in ts for _ in range(9)]
+    return spark.createDataFrame(rows, "entry_id long, msg_index int, question string, answer string").repartition(4), spark.createDataFrame(docs, "text string, lang string"), rows
+
+
+def test_a_field_is_trained_on_all_pairs(talk, monkeypatch):
+    monkeypatch.setattr(pairs, "SHARD", 8000, raising=False)
+    rows, docs, said = talk
+    field = pairs.learned(rows, docs)
+    word = lambda k: int(cp.mix(cp.word_spans(*cp.explode([f"zq{k}vy"]))[0] ^ np.uint64(0xA5A5))[0] >> np.uint64(40)) % pairs.DIM
+    learned = [bool(field.w[word(r[0])].any()) for r in said]
+    assert np.mean(learned) > 0.97 and learned[-1]
+
+
+def test_a_field_is_the_mean_of_those_of_the_shards(spark, talk, monkeypatch):
+    monkeypatch.setattr(pairs, "SHARD", 150)
+    rows, docs, _ = talk
+    rows = rows.where("entry_id < 400")
+    model, ends = language.learned(docs), pairs.end_shares(rows)
+    got = pairs.fitted(rows, model, ends)
+    keys = ["entry_id", "msg_index", "question", "answer"]
+    parts = rows.selectExpr(f"pmod(xxhash64({', '.join(keys)}), 3) AS s", "xxhash64(entry_id, msg_index) AS h", *keys).orderBy("s", "h").collect()
+    alone = []
+    for s in range(3):
+        mine = pairs.cp_forms([r.question for r in parts if r.s == s]), pairs.cp_forms([r.answer for r in parts if r.s == s])
+        assert 100 < len(mine[0]) < 170
+        alone.append(pairs.train(list(zip(*mine)), model, ends, seed=6 + 7919 * s, epochs=1))
+    seen = np.sum([f.seen for f in alone], 0)
+    assert np.allclose(got.w, np.sum([f.w for f in alone], 0) / np.maximum(seen, 1)[:, None], atol=1e-5)
+    assert np.allclose(got.moves, np.mean([f.moves for f in alone], 0), atol=1e-5)
+    again = pairs.fitted(rows.repartition(7), model, ends)
+    assert np.array_equal(got.w, again.w) and np.array_equal(got.moves, again.moves)
