@@ -35,6 +35,7 @@ import functools
 import itertools
 import random
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -133,6 +134,7 @@ CAVEATS = {
 }
 
 _LINE = re.compile(r"^\s*(?:[-*•]+\s*)?[^\W\d_][^:]{0,30}:\s*\S.{0,30}$|^\s*(?:--|—|–|~)\s*\S.{0,40}$|^\s*\|.*\|\s*$|^\s*[-*•]\s+\S.*$")
+_WORD = re.compile(r"[^\W_]+")
 _SMILE = re.compile(r"[:;]-?[)D(]$|[\U0001F300-\U0001FAFF☀-➿]️?$")
 
 
@@ -141,6 +143,16 @@ def _marks(chars: str) -> np.ndarray:
 
 
 ENDS, CLOSERS, COMMAS, POINTS = _marks(".!?…。"), _marks("\"”»')]"), _marks(",;"), _marks(".,;!?")
+IS_END, IS_CLOSER, IS_COMMA, IS_POINT = np.uint8(1), np.uint8(2), np.uint8(4), np.uint8(8)
+
+
+@functools.cache
+def _mark_bits() -> np.ndarray:
+    """What marks each code point is among, as bits."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for bit, marks in ((IS_END, ENDS), (IS_CLOSER, CLOSERS), (IS_COMMA, COMMAS), (IS_POINT, POINTS)):
+        out[marks] |= bit
+    return out
 
 
 @functools.lru_cache(maxsize=4096)
@@ -168,6 +180,11 @@ def _feature(kind: int, *values: np.ndarray | int) -> np.ndarray:
     return (cp.mix(np.atleast_1d(h)) >> np.uint64(48)).astype(np.int64) % DIM
 
 
+def _word_feature(hashes: np.ndarray, kind: int) -> np.ndarray:
+    """Hashed numbers of words, or of pairs of words."""
+    return (cp.mix(hashes ^ np.uint64(kind)) >> np.uint64(40)).astype(np.int64) % DIM
+
+
 @dataclass
 class Clauses:
     """The clauses of a batch of answers: of each its pair, where it begins and ends in the code points, its words and kind of end; and the words with their clauses."""
@@ -198,9 +215,10 @@ def clauses_of(answers: list[str | None]) -> Clauses:
             owner.append(k)
     codes, offsets = cp.one_form(*cp.explode(lines))
     # a clause begins with a line, and after a blank that follows a sentence's end with up to two closing marks
-    stop, closer = np.isin(codes, ENDS), np.isin(codes, CLOSERS)
+    mark = _mark_bits().take(codes)
+    ended, closer = (mark & IS_END) > 0, (mark & IS_CLOSER) > 0
     before = np.zeros(len(codes), bool)
-    ended = stop.copy()
+    closer[offsets[:-1][np.diff(offsets) > 0]] = False  # what begins a line closes nothing
     for _ in range(2):
         ended[1:] |= closer[1:] & ended[:-1]
     if len(codes) > 2:
@@ -220,15 +238,15 @@ def clauses_of(answers: list[str | None]) -> Clauses:
     at = end - 1
     bare = at.copy()
     for _ in range(3):
-        bare = np.where((bare > begin) & (np.isin(codes[bare], CLOSERS) | (codes[bare] == 32) | (codes[bare] == 42)), bare - 1, bare) if len(begin) else bare
+        bare = np.where((bare > begin) & (((mark[bare] & IS_CLOSER) > 0) | (codes[bare] == 32) | (codes[bare] == 42)), bare - 1, bare) if len(begin) else bare
     kind = np.zeros(len(begin), np.int64)
     if len(begin):
         final = codes[at]
         kind[cp.tables().alnum[final]] = 1
-        kind[np.isin(final, COMMAS)] = 2
-        kind[np.isin(final, CLOSERS)] = 3
-        kind[np.isin(codes[bare], ENDS)] = 4
-        kind[(codes[bare] == ord("…")) | (codes[bare] == ord(".")) & (codes[np.maximum(bare - 1, 0)] == ord("."))] = 7
+        kind[(mark[at] & IS_COMMA) > 0] = 2
+        kind[(mark[at] & IS_CLOSER) > 0] = 3
+        kind[(mark[bare] & IS_END) > 0] = 4
+        kind[(codes[bare] == ord("…")) | (codes[bare] == ord(".")) & (bare > begin) & (codes[np.maximum(bare - 1, 0)] == ord("."))] = 7
     words, w_begin, _ = cp.word_spans(codes, offsets)
     own = np.searchsorted(begin, w_begin, "right") - 1
     last = np.r_[pair[1:] != pair[:-1], True][: len(pair)]
@@ -239,16 +257,89 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return cp.mix(a * np.uint64(0x9E3779B97F4A7C15) ^ cp.mix(b))
 
 
-def _places(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where values stand among sorted ones, and which of them are there."""
-    at = np.searchsorted(among, values)
-    at[at == len(among)] = 0
-    return at, among[at] == values if len(among) else np.zeros(len(values), bool)
-
-
-def _mean(values: np.ndarray, own: np.ndarray, n: int, none: np.ndarray | float) -> np.ndarray:
-    count = np.bincount(own, minlength=n)
-    return np.where(count > 0, np.bincount(own, values, minlength=n) / np.maximum(count, 1), none)
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each beginning on, so many each."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - begin, size)
+
+
+def _shares(flags: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The share of flags set in each group of so many that follow each other; 0 of none."""
+    upto = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=upto[1:])
+    end = np.cumsum(size)
+    return (upto[end] - upto[end - size]) / np.maximum(size, 1)
+
+
+class Index:
+    """Where values stand among distinct 64-bit hashes: by their first bits, and where several hashes share these, by search."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        bits = max(8, (len(keys) * 4).bit_length())
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        slot, at = (keys >> self.shift).astype(np.int64), np.arange(len(keys), dtype=np.int32)
+        self.table, self.crowded = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, bool)
+        self.table[slot] = at
+        lost = np.flatnonzero(self.table[slot] != at)
+        self.crowded[slot[lost]] = True
+        self.lost = lost[np.argsort(keys[lost])]
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each value, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(values), np.int32), np.zeros(len(values), bool)
+        slot = (values >> self.shift).astype(np.int64)
+        at = self.table.take(slot)
+        found = self.keys.take(at) == values
+        if len(self.lost):
+            more = np.flatnonzero(~found & self.crowded.take(slot))
+            keys = self.keys[self.lost]
+            near = np.minimum(np.searchsorted(keys, values[more]), len(keys) - 1)
+            at[more], found[more] = self.lost[near], keys[near] == values[more]
+        return at, found
+
+
+class Asked:
+    """What is to be known of questions in one form: by ``number``, their words and pairs of words, and the languages they are in and ask for."""
+
+    def __init__(self, questions: Iterable[str], model: Languages) -> None:
+        texts = list(dict.fromkeys(questions))
+        self.number = {q: k for k, q in enumerate(texts)}
+        n = len(texts)
+        self.seed = cp.mix(np.arange(n).astype(np.uint64) + np.uint64(77))
+        keys, owners, twos, sums, grams = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, len(model.names)))], [np.zeros(0, np.int64)]
+        for a, b in cp.slices(texts, 1 << 18):
+            codes, offsets = cp.one_form(*cp.explode(texts[a:b]))
+            words, begin, _ = cp.word_spans(codes, offsets)
+            own = np.searchsorted(offsets, begin, "right") - 1 + a
+            key, first = np.unique(self.name(words, own), return_index=True)
+            keys.append(key)
+            owners.append(own[first])
+            next_ = np.flatnonzero(own[1:] == own[:-1])
+            twos.append(np.unique(self.name(_pair_hash(words[next_], words[next_ + 1]), own[next_])))
+            s, m = model.sums(*language.trigrams_of(cp.tables().lower[codes], np.repeat(np.arange(b - a), np.diff(offsets))), b - a)
+            sums.append(s)
+            grams.append(m)
+        self.words, self.twos = Index(np.concatenate(keys)), Index(np.concatenate(twos))
+        own = np.concatenate(owners)
+        self.size = np.bincount(own, minlength=n)  # distinct words of each question, and the number of each word among those of its own
+        self.rank = np.zeros(len(own), np.int64)
+        self.rank[np.argsort(own, kind="stable")] = _ranges(np.zeros(n, np.int64), self.size)
+        s, m = np.concatenate(sums), np.concatenate(grams)
+        self.lang = np.where(m >= LEAST // 2, model.likeliest(s, m), -1)
+        if model.names:
+            self.lang = np.where((m >= LEAST) & (model.misfit(s, m).min(1) > FOREIGN), -1, self.lang)
+        wishes = [requested(q) if q else frozenset() for q in texts]
+        self.wished = np.array([bool(w) for w in wishes], bool)
+        self.unknown = np.array([any(x not in model.names for x in w) for w in wishes], bool)
+        self.wish = np.zeros((n, len(model.names) + 1), bool)
+        for k, w in enumerate(wishes):
+            for x in w:
+                if x in model.names:
+                    self.wish[k, model.names.index(x)] = True
+
+    def name(self, hashes: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """A hash for that of a word or pair of words in one question."""
+        return cp.mix(hashes ^ self.seed.take(number))
 
 
 @dataclass
@@ -263,65 +354,61 @@ class Batch:
     n_words: np.ndarray  # of each answer
 
 
-def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray, model: Languages) -> Batch:
+def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray, model: Languages, asked: Asked | None = None) -> Batch:
     """Hashed features of the clauses of answers to questions, both in one form.
 
     ``ends`` has, by hash of a word or pair of words, how often it ends a
-    clause; -1 for those seen too rarely to tell.
+    clause; -1 for those seen too rarely to tell.  ``asked`` may hold the
+    questions already, and others.  An answer that comes again is cut and
+    looked up once.
     """
     n = len(answers)
-    c = clauses_of(answers)
-    m = len(c.pair)
-    words, own = c.words, c.own
-    pair = c.pair[own] if len(own) else own
+    asked = asked or Asked([q or "" for q in questions], model)
+    ask = np.array([asked.number[q or ""] for q in questions], np.int64)
+    numbers: dict[str, int] = {}
+    text = np.array([numbers.setdefault(a or "", len(numbers)) for a in answers], np.int64)
+    d = clauses_of(list(numbers))
+    of_text = d.pair[d.own] if len(d.own) else d.own
+    d_clauses, d_words = np.bincount(d.pair, minlength=len(numbers)), np.bincount(of_text, minlength=len(numbers))
+    n_clauses, n_words = d_clauses[text], d_words[text]
+    d_first = np.cumsum(d_clauses) - d_clauses
+    ci, wi = _ranges(d_first[text], n_clauses), _ranges((np.cumsum(d_words) - d_words)[text], n_words)  # of each clause and word the one of the distinct answers
+    m = len(ci)
+    own = d.own.take(wi) + np.repeat(np.cumsum(n_clauses) - n_clauses - d_first[text], n_words)
+    c = Clauses(d.codes, np.repeat(np.arange(n), n_clauses), d.begin[ci], d.end[ci], d.kind[ci], d.last[ci], d.words.take(wi), own)
+    words = c.words
     sizes = np.bincount(own, minlength=m)
-    n_words = np.bincount(pair, minlength=n)
+    pair = np.repeat(np.arange(n), n_words)
 
     # what the answer has of the question
-    q_codes, q_offsets = cp.one_form(*cp.explode([q or "" for q in questions]))
-    q_words, q_begin, _ = cp.word_spans(q_codes, q_offsets)
-    q_pair = np.searchsorted(q_offsets, q_begin, "right") - 1
-    name = lambda h, p: cp.mix(h ^ cp.mix(p.astype(np.uint64) + np.uint64(77)))
-    q_key, first = np.unique(name(q_words, q_pair), return_index=True)
-    key = name(words, pair)
-    place, known = _places(key, q_key)
+    place, known = asked.words.find(asked.name(words, np.repeat(ask, n_words)))
     next_ = pair[1:] == pair[:-1]  # neighbours in an answer, and of them those of one clause
     inner = own[1:] == own[:-1]
-    two = _pair_hash(words[:-1], words[1:])
-    q_next = q_pair[1:] == q_pair[:-1]
-    q_two = np.unique(name(_pair_hash(q_words[:-1], q_words[1:]), q_pair[1:])[q_next])
-    two_known = _places(name(two, pair[1:]), q_two)[1]
-    novel = 1 - _mean(known.astype(float), pair, n, 0.0)
-    echoed = _mean(two_known[next_].astype(float), pair[1:][next_], n, 0.0)
-    used = np.zeros(len(q_key))
-    used[place[known]] = 1
-    covered = _mean(used, q_pair[first], n, 0.0)
-    inside = _mean(known.astype(float), own, m, 0.0)
-    copied = _mean(two_known[inner].astype(float), own[1:][inner], m, inside)
+    d_two = _pair_hash(d.words[:-1], d.words[1:])
+    both = np.flatnonzero(known[1:] & known[:-1] & next_)  # only such can be a pair of words of the question
+    two_known = np.zeros(len(next_), bool)
+    two_known[both] = asked.twos.find(asked.name(d_two.take(wi[both]), ask[pair[both]]))[1]
+    novel = 1 - _shares(known, n_words)
+    echoed = _shares(two_known[next_], np.maximum(n_words - 1, 0))
+    size = asked.size[ask]
+    used = np.zeros(size.sum(), bool)
+    hit = np.flatnonzero(known)
+    used[(np.cumsum(size) - size)[pair[hit]] + asked.rank[place[hit]]] = True
+    covered = _shares(used, size)
+    inside = _shares(known, sizes)
+    copied = np.where(sizes > 1, _shares(two_known[inner], np.maximum(sizes - 1, 0)), inside)
 
     # whether a clause is in the question's language, another or one asked for
-    low = cp.tables().lower
-    span = c.end - c.begin
-    row = np.repeat(np.arange(m), span)
-    chars = np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span) + np.repeat(c.begin, span)
-    s, grams = model.sums(*language.trigrams_of(low[c.codes[chars]], row), m)
-    qs, q_grams = model.sums(*language.trigrams_of(low[q_codes], np.repeat(np.arange(n), np.diff(q_offsets))), n)
-    asked = np.where(q_grams >= LEAST // 2, model.likeliest(qs, q_grams), -1)
-    if model.names:
-        asked = np.where((q_grams >= LEAST) & (model.misfit(qs, q_grams).min(1) > FOREIGN), -1, asked)
-    wishes = [requested(q) if q else frozenset() for q in questions]
-    wished = np.array([bool(w) for w in wishes], bool)
-    unknown_names = np.array([any(x not in model.names for x in w) for w in wishes], bool)
-    in_wish = np.zeros((n, len(model.names) + 1), bool)
-    for k, w in enumerate(wishes):
-        for x in w:
-            if x in model.names:
-                in_wish[k, model.names.index(x)] = True
+    began = np.zeros(len(d.codes), bool)
+    began[d.begin] = True
+    row = np.cumsum(began, dtype=np.int32) - 1  # a blank between clauses follows a mark, so it adds none to the trigrams
+    d_s, d_grams = model.sums(*language.trigrams_of(cp.tables().lower.take(d.codes), row), len(d.pair))
+    s, grams = d_s[ci], d_grams[ci]
 
     def relation_of(s: np.ndarray, grams: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """0 not known, 1 the question's language, 2 another, 3 one asked for; and by how much that is sure."""
         spoken = model.likeliest(s, grams)
-        theirs = asked[pair]
+        theirs = asked.lang[ask[pair]]
         if not model.names:
             return np.zeros(len(pair), np.int64), np.zeros(len(pair))
         off = model.misfit(s, grams)
@@ -330,32 +417,38 @@ def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray,
         ordered = np.sort(s, 1)
         sure = np.where(strange, 9.0, (ordered[:, -1] - ordered[:, -2]) / np.maximum(grams, 1) if len(model.names) > 1 else 9.0)
         relation = np.where((spoken < 0) | (theirs < 0), 0, np.where(spoken == theirs, 1, 2))
-        relation = np.where(wished[pair] & (spoken >= 0) & (in_wish[pair, np.maximum(spoken, 0)] | (strange & unknown_names[pair])), 3, relation)
+        relation = np.where(asked.wished[ask[pair]] & (spoken >= 0) & (asked.wish[ask[pair], np.maximum(spoken, 0)] | (strange & asked.unknown[ask[pair]])), 3, relation)
         return relation, sure
 
     relation, sure = relation_of(s, grams, c.pair)
-    whole = np.stack([np.bincount(c.pair, x, minlength=n) for x in s.T], 1) if model.names else np.zeros((n, 0))
-    of_all, _ = relation_of(whole, np.bincount(c.pair, grams, minlength=n).astype(np.int64), np.arange(n))
+    whole = np.stack([np.bincount(d.pair, x, minlength=len(numbers)) for x in d_s.T], 1) if model.names else np.zeros((len(numbers), 0))
+    of_all, _ = relation_of(whole[text], np.bincount(d.pair, d_grams, minlength=len(numbers)).astype(np.int64)[text], np.arange(n))
     of_all = of_all[c.pair]
     relation = np.where((relation == 0) & (of_all == 2), 2, relation)  # a clause too short to tell goes with its answer
 
     # the end of the last clause: how often its word, or its last two, end a clause
-    final = np.full(m, -1)
-    final[own] = np.arange(len(own))
+    k_last = np.flatnonzero(d.last)
+    final = np.full(len(d.pair), -1)
+    final[d.own] = np.arange(len(d.own))
+    final = final[k_last]
     tail = np.maximum(final, 0)
-    e1 = np.where(final >= 0, ends[(words[tail] % np.uint64(CELLS)).astype(np.int64)] if len(words) else -1.0, -1.0)
     before = np.maximum(tail - 1, 0)
-    has_two = (final >= 1) & (own[before] == np.arange(m)) if len(words) else np.zeros(m, bool)
-    e2 = np.where(has_two, ends[(_pair_hash(words[before], words[tail]) % np.uint64(CELLS)).astype(np.int64)], e1) if len(words) else e1
-    kind = c.kind.copy()
-    for k in np.flatnonzero(c.last & (c.kind != 4) & (c.kind != 7)).tolist():  # only ends that are not plain are looked at one by one
-        t = c.text(k)
-        kind[k] = 5 if _LINE.match(t) else 6 if _SMILE.search(t) else kind[k]
-    for k in np.flatnonzero(c.last & (c.kind == 4) & np.isin(c.codes[np.minimum(c.begin, max(len(c.codes) - 1, 0))], _marks("-*•|"))).tolist():
-        kind[k] = 5 if _LINE.match(c.text(k)) else kind[k]
-    points = np.bincount(np.repeat(c.pair, span), np.isin(c.codes[chars], POINTS), minlength=n)
-    points = points - np.bincount(c.pair[c.last], np.isin(c.codes[np.maximum(c.end - 1, 0)], POINTS)[c.last], minlength=n)
-    pointed = (points > n_words / 40)[c.pair].astype(np.uint64)
+    e1, e2 = np.full((2, len(d.pair)), -1.0)
+    if len(d.words):
+        e1[k_last] = np.where(final >= 0, ends[(d.words[tail] % np.uint64(CELLS)).astype(np.int64)], -1.0)
+        has_two = (final >= 1) & (d.own[before] == k_last)
+        e2[k_last] = np.where(has_two, ends[(_pair_hash(d.words[before], d.words[tail]) % np.uint64(CELLS)).astype(np.int64)], e1[k_last])
+    e1, e2 = e1[ci], e2[ci]
+    kind = d.kind.copy()
+    for k in np.flatnonzero(d.last & (d.kind != 4) & (d.kind != 7)).tolist():  # only ends that are not plain are looked at one by one
+        t = d.text(k)
+        kind[k] = 5 if _LINE.match(t) else 6 if _SMILE.search(t[-3:]) else kind[k]
+    for k in np.flatnonzero(d.last & (d.kind == 4) & np.isin(d.codes[d.begin], _marks("-*•|"))).tolist():
+        kind[k] = 5 if _LINE.match(d.text(k)) else kind[k]
+    kind = kind[ci]
+    point = (_mark_bits().take(d.codes) & IS_POINT) > 0
+    points = np.bincount(d.pair[row[np.flatnonzero(point)]], minlength=len(numbers)) - np.bincount(d.pair[k_last], point[d.end[k_last] - 1], minlength=len(numbers))
+    pointed = (points > d_words / 40)[text][c.pair].astype(np.uint64)
 
     fa, fe, fc = (_bins(novel, 0.02, 0.1, 0.25, 0.5, 0.8)[c.pair], _bins(echoed, 0.1, 0.4, 0.7, 0.9)[c.pair], _bins(covered, 0.3, 0.6, 0.9)[c.pair])
     nb = _bins(sizes, 1, 3, 6, 12, 25)
@@ -383,8 +476,9 @@ def featurize(questions: list[str], answers: list[str | None], ends: np.ndarray,
     put(_feature(12, kind[z], _bins(e2[z], 0, 0.02, 0.3, 0.8), pointed[z]), everyone[z])
     put(_feature(13, c.kind[y]), everyone[y])
     dense = sum(map(len, at))
-    put((cp.mix(words ^ np.uint64(0xA5A5)) >> np.uint64(40)).astype(np.int64) % DIM, own)
-    put((cp.mix(two ^ np.uint64(0x5A5A)) >> np.uint64(40)).astype(np.int64)[inner] % DIM, own[1:][inner])
+    within = np.flatnonzero(inner)
+    put(_word_feature(d.words, 0xA5A5).take(wi), own)
+    put(_word_feature(d_two, 0x5A5A).take(wi[within]), own[within])
     feature, at_ = np.concatenate(features), np.concatenate(at)
     return Batch(c, feature, at_, np.arange(len(at_)) >= dense, np.maximum(sizes, 1), n_words)
 
@@ -413,8 +507,9 @@ class Field:
         self.seen = np.zeros(DIM, bool)  # features that it was trained on
 
     def scores(self, feature: np.ndarray, at: np.ndarray, lexical: np.ndarray, size: int) -> np.ndarray:
-        times = np.where(lexical, np.float32(1), np.float32(DENSE))
-        return np.stack([np.bincount(at, self.w[feature, k] * times, minlength=size) for k in range(len(LABELS))], 1)
+        w = self.w.take(feature, axis=0)
+        w *= np.where(lexical, np.float32(1), np.float32(DENSE))[:, None]
+        return np.stack([np.bincount(at, x, minlength=size) for x in w.T], 1)
 
     def decode(self, s: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The likeliest tags (Viterbi) of sequences of scores, all at once, step by step; the longest come first, so those still going on are a head of the list."""
@@ -446,7 +541,7 @@ class Field:
         """Stochastic gradient ascent (AdaGrad) of the conditional likelihood, forward and backward, by batches of sequences of like length; of the features of words a share is left out by chance."""
         rng = np.random.default_rng(seed)
         n = len(LABELS)
-        gw, gm = np.full(self.w.shape, 1e-6, np.float32), np.full(self.moves.shape, 1e-6, np.float32)
+        both, gm = np.c_[self.w, np.full(self.w.shape, 1e-6, np.float32)], np.full(self.moves.shape, 1e-6, np.float32)  # weights and sums of squares, side by side
         for _, x in ((e, x) for e in range(epochs) for x in chunks):
             feature, lexical, starts, tags, begin, length = x.feature, x.lexical, x.starts, x.tags, x.begin, x.length
             some = np.flatnonzero(length > 0)
@@ -462,11 +557,21 @@ class Field:
                 flat = rows[mask]
                 many = starts[flat + 1] - starts[flat]
                 inner = np.repeat(np.arange(len(flat)), many)
-                which = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[flat], many)
-                stay = ~lexical[which] | (rng.random(len(which)) > 0.4)
-                f, inner, times = feature[which[stay]], inner[stay], np.where(lexical[which[stay]], np.float32(1), np.float32(DENSE))
+                which = _ranges(starts[flat], many)
+                words = lexical.take(which)
+                stay = np.flatnonzero(~words | (rng.random(len(which)) > 0.4))
+                f, inner, times = feature.take(which.take(stay)), inner.take(stay), np.where(words.take(stay), np.float32(1), np.float32(DENSE))[:, None]
+                order = np.argsort(f.astype(np.min_scalar_type(DIM - 1)), kind="stable")  # of small numbers, which are sorted digit by digit
+                ordered = f.take(order)
+                new = np.r_[True, ordered[1:] != ordered[:-1]]
+                first = np.flatnonzero(new)
+                used = ordered.take(first)
+                place = np.empty(len(f), np.int64)
+                place[order] = np.cumsum(new) - 1
+                held = both.take(used, axis=0)
+                w, squares = np.ascontiguousarray(held[:, :n]), held[:, n:]
                 s = np.zeros((len(group), t_max, n))
-                s[mask] = np.stack([np.bincount(inner, self.w[f, k] * times, minlength=len(flat)) for k in range(n)], 1)
+                s[mask] = np.add.reduceat(w.take(place, axis=0) * times, np.flatnonzero(np.r_[True, inner[1:] != inner[:-1]]), axis=0, dtype=np.float64)  # no clause is without features
                 a, z = s.copy(), np.zeros_like(s)
                 for t in range(1, t_max):
                     v = a[:, t - 1, :, None] + self.moves
@@ -480,19 +585,24 @@ class Field:
                 total = final.max(1) + np.log(np.exp(final - final.max(1, keepdims=True)).sum(1))
                 err = -np.exp(a + z - total[:, None, None])
                 np.put_along_axis(err, tags[rows][..., None], np.take_along_axis(err, tags[rows][..., None], 2) + 1, 2)
-                g = np.zeros_like(self.moves)
-                for t in range(1, t_max):
-                    on = mask[:, t]
-                    g -= np.exp(a[on, t - 1, :, None] + self.moves + (s[on, t] + z[on, t])[:, None, :] - total[on, None, None]).sum(0)
-                    np.add.at(g, (tags[rows[on, t - 1]], tags[rows[on, t]]), 1)
-                gm += g * g
-                self.moves += rate * g / np.sqrt(gm)
+                if t_max > 1:
+                    g, on = np.zeros_like(self.moves), mask.T[1:]
+                    steps = np.exp(a.swapaxes(0, 1)[:-1][on][:, :, None] + self.moves + (s + z).swapaxes(0, 1)[1:][on][:, None, :] - total[np.nonzero(on)[1], None, None])
+                    many = on.sum(1)
+                    likely = np.add.reduceat(steps, np.cumsum(many) - many, axis=0)
+                    pairs = tags[rows.T[:-1][on]], tags[rows.T[1:][on]]
+                    for t, (k, x) in enumerate(zip(np.cumsum(many).tolist(), many.tolist())):
+                        g -= likely[t]
+                        np.add.at(g, (pairs[0][k - x : k], pairs[1][k - x : k]), 1)
+                    gm += g * g
+                    self.moves += rate * g / np.sqrt(gm)
                 e = err[mask]
-                used, place = np.unique(f, return_inverse=True)
-                grad = np.stack([np.bincount(place, e[inner, k] * times, minlength=len(used)) for k in range(n)], 1).astype(np.float32)
-                gw[used] += grad * grad
-                self.w[used] += rate * grad / np.sqrt(gw[used]) - 1e-5 * self.w[used]
+                grad = np.add.reduceat((e.take(inner, axis=0) * times).take(order, axis=0), first, axis=0).astype(np.float32)
+                squares += grad * grad
+                held[:, :n] = w + (rate * grad / np.sqrt(squares) - 1e-5 * w)
+                both[used] = held
                 self.seen[used] = True
+        self.w = np.ascontiguousarray(both[:, :n])
         return self
 
     def tagged(self, questions: list[str], answers: list[str | None]) -> tuple[list[str | None], Batch, np.ndarray]:
@@ -546,11 +656,9 @@ def declined(lang: str, rng: random.Random) -> str:
 
 def invented(text: str, rng: random.Random) -> str:
     """A text in a language made up: its vowels and its other letters are exchanged among themselves."""
-    out = {}
-    for letters in ("aeiou", "bcdfghjklmnpqrstvwxyz"):
-        to = rng.sample(letters, len(letters))
-        out |= {ord(x): y for x, y in zip(letters, to)} | {ord(x.upper()): y.upper() for x, y in zip(letters, to)}
-    return text.translate(out)
+    letters = "aeiou", "bcdfghjklmnpqrstvwxyz"
+    old, new = "".join(letters), "".join("".join(rng.sample(x, len(x))) for x in letters)
+    return text.translate(str.maketrans(old + old.upper(), new + new.upper()))
 
 
 def examples(pairs: list[tuple[str, str]], model: Languages, seed: int = 6) -> list[tuple[str, str, int | list[int]]]:
@@ -563,7 +671,7 @@ def examples(pairs: list[tuple[str, str]], model: Languages, seed: int = 6) -> l
     rng = random.Random(seed)
     questions, answers = [q for q, _ in pairs], [a for _, a in pairs]
     langs, q_langs = model.best(answers), model.best(questions)
-    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    words = lambda t: _WORD.findall(t.lower())
     starts = {" ".join(words(who)) for ls in DECLINE.values() for who in ls[0]} | {" ".join(words(w)) for ls in DECLINE_WHOLE.values() for w in ls}
     declines = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, starts), key=len, reverse=True)) + r")\b")
     sound: list[tuple[str, str, str]] = []
@@ -571,7 +679,7 @@ def examples(pairs: list[tuple[str, str]], model: Languages, seed: int = 6) -> l
     for (q, a), lang, q_lang in zip(pairs, langs, q_langs):
         ws, qs = words(a), set(words(q))
         bare = a.rstrip("\"”»')] *\n")
-        if len(ws) < 8 or not q or sum(w not in qs for w in ws) < len(ws) / 2 or not bare or ord(bare[-1]) not in ENDS and not _LINE.match(a.split("\n")[-1]):
+        if len(ws) < 8 or not q or len(ws) - sum(map(qs.__contains__, ws)) < len(ws) / 2 or not bare or ord(bare[-1]) not in ENDS and not _LINE.match(a.split("\n")[-1]):
             continue
         if len(ws) < 40 and declines.search(" ".join(ws)):
             continue
@@ -593,7 +701,7 @@ def examples(pairs: list[tuple[str, str]], model: Languages, seed: int = 6) -> l
             cut = cut[: -rng.randint(1, 3)] or cut
         cut = cut.rstrip(".!?…\"”") + rng.choice(["", "", "", "", ",", " (", " -", ":", " and", " ..."])
         final = re.split(r"(?<=[.!?…])[\"”»')\]]*\s+|\n+", cut.strip())[-1]
-        if cut.strip() and not _LINE.match(final) and not _SMILE.search(final):
+        if cut.strip() and not _LINE.match(final) and not _SMILE.search(final[-3:]):
             out.append((q, cut, [UNFINISHED]))
         if rng.random() < 0.7:
             bare = " ".join(re.findall(r"[^\W_]+", q)).lower()
@@ -644,14 +752,15 @@ def train(pairs: list[tuple[str, str]], model: Languages, ends: np.ndarray | Non
 def prepared(made: list[tuple[str, str, int | list[int]]], ends: np.ndarray, model: Languages) -> Examples:
     """The features and tags of examples."""
     feature, lexical, many, tags, length = [[np.zeros(0, np.int32)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    asked = Asked([q for q, _, _ in made], model)
     for x, y in cp.slices([q + a for q, a, _ in made], 1 << 18):  # so the code points of some examples are held at a time
         part = made[x:y]
-        b = featurize([q for q, _, _ in part], [a for _, a, _ in part], ends, model)
+        b = featurize([q for q, _, _ in part], [a for _, a, _ in part], ends, model, asked)
         c = b.clauses
         own = np.array([0 if isinstance(t, list) else t for _, _, t in part], np.int64)[c.pair]
         closing = np.array([t[0] if isinstance(t, list) else -1 for _, _, t in part], np.int64)[c.pair]
         tags.append(np.where(c.last & (closing >= 0), closing, own))
-        order = np.argsort(b.at, kind="stable")
+        order = np.argsort(b.at.astype(np.min_scalar_type(len(c.pair))), kind="stable")  # of small numbers, which are sorted digit by digit
         feature.append(b.feature[order].astype(np.int32))
         lexical.append(b.lexical[order])
         many.append(np.bincount(b.at, minlength=len(c.pair)))
@@ -665,7 +774,9 @@ def prepared(made: list[tuple[str, str, int | list[int]]], ends: np.ndarray, mod
 
 def cp_forms(texts: list[str | None]) -> list[str | None]:
     """The one form of each text with its line breaks kept; None stays."""
-    return [None if t is None else t if t.isascii() else "\n".join(cp.one_form_texts(t.split("\n"))) for t in texts]
+    lines = [[] if t is None or t.isascii() else t.split("\n") for t in texts]
+    formed = iter(cp.one_form_texts(list(itertools.chain.from_iterable(lines))))
+    return ["\n".join(itertools.islice(formed, len(ls))) if ls else t for t, ls in zip(texts, lines)]
 
 
 def pair_rows(conversation: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -258,3 +259,56 @@ def test_a_field_is_the_mean_of_those_of_the_shards(spark, talk, monkeypatch):
     assert np.allclose(got.moves, np.mean([f.moves for f in alone], 0), atol=1e-5)
     again = pairs.fitted(rows.repartition(7), model, ends)
     assert np.array_equal(got.w, again.w) and np.array_equal(got.moves, again.moves)
+
+
+def test_sentences_have_the_trigrams_they_have_on_their_own():
+    rng = random.Random(4)
+    texts = ["", None, "...", ".a b", "A. b\nC! d?  e.", "hi. 42! bye", "ΑΒΣ. ΑΣ", "İstanbul. I am!", "\n\n. a\n", *["".join(rng.choice("ab .!?\n éΣ1,") for _ in range(60)) for _ in range(300)], *EN, *DE]
+    grams, row, sentence, text = language.sentence_trigrams(texts)
+    whole = language.trigrams(texts)
+    assert np.array_equal(grams, whole[0]) and np.array_equal(row, whole[1])
+    got = [(text[k], grams[sentence == k].tolist()) for k in range(len(text))]
+    want = [(k, language.trigrams([x])[0].tolist()) for k, t in enumerate(texts) for x in re.split(r"(?<=[.!?])\s+", t or "")]
+    assert [g for g in got if g[1]] == [w for w in want if w[1]]
+
+
+def test_clauses_do_not_depend_on_the_answers_beside_them():
+    texts = ["It rained.", "\" and so", ".", "\" Five six.", "One.\n.", ") x. y", "…"]
+    alone = [pairs.clauses_of([t]) for t in texts]
+    both = pairs.clauses_of(texts)
+    assert both.texts() == [x for c in alone for x in c.texts()] and both.kind.tolist() == [k for c in alone for k in c.kind.tolist()]
+    assert both.texts()[:3] == ["It rained.", "\" and so", "."] and both.kind[2] == 4
+
+
+def test_features_of_pairs_together_are_those_of_each_alone(field):
+    rng = random.Random(8)
+    said = [*EN, *DE, Q, "", None, ".", "I cannot help with that.", "Es regnet\n- Wind: 3 km/h", EN[0] + " and then the", "\" Rain :)"]
+    asked = [Q, Q.upper(), "", Q + " Please answer in German.", DE[0], EN[1] + " " + Q, "🌧"]
+    cases = [(rng.choice(asked), rng.choice(said)) for _ in range(300)]
+    held = pairs.Asked([q for q, _ in cases] + ["Another question?"], field.model)
+    got = pairs.featurize(*map(list, zip(*cases)), field.ends, field.model, held)
+    first = np.searchsorted(got.clauses.pair, np.arange(len(cases) + 1))
+    order = np.argsort(got.at, kind="stable")
+    edge = np.searchsorted(got.at[order], np.arange(first[-1] + 1))
+    for k, (q, a) in enumerate(cases):
+        one = pairs.featurize([q], [a], field.ends, field.model)
+        assert got.feature[order][edge[first[k]] : edge[first[k + 1]]].tolist() == one.feature[np.argsort(one.at, kind="stable")].tolist(), (q, a)
+
+
+def test_work_on_a_text_is_done_once(field, monkeypatch):
+    cut, formed, cut_of, form_of = [], [], pairs.clauses_of, cp.one_form_texts
+    monkeypatch.setattr(pairs, "clauses_of", lambda texts: cut.extend(texts) or cut_of(texts))
+    monkeypatch.setattr(cp, "one_form_texts", lambda texts: formed.append(len(texts)) or form_of(texts))
+    made = [(q, a, 0) for q in (Q, DE[0], EN[1]) for a in EN]
+    assert len(pairs.prepared(made, field.ends, field.model).length) == 9 and sorted(cut) == sorted(EN)
+    assert pairs.cp_forms(["é\n  ü", None, "a  b", "ö  x\ny"]) == ["é\nü", None, "a  b", "ö x\ny"] and formed == [4]
+
+
+def test_hashes_are_found_by_their_first_bits():
+    rng = np.random.default_rng(2)
+    keys = np.unique(np.r_[rng.integers(0, 1 << 63, 3000, np.uint64), rng.integers(0, 1 << 20, 500, np.uint64)])  # the last share all their first bits
+    rng.shuffle(keys)
+    asked = np.r_[keys, keys + np.uint64(1), np.uint64(0)]
+    place, found = pairs.Index(keys).find(asked)
+    assert found.tolist() == np.isin(asked, keys).tolist() and np.array_equal(keys[place[found]], asked[found])
+    assert not pairs.Index(keys[:0]).find(asked)[1].any()
